@@ -47,7 +47,7 @@ def reject_reason(body: Column | str, required: str) -> Column:
 
 
 def split_documents(
-    df: DataFrame, body: str, schema: T.StructType, required: str
+    df: DataFrame, body: str, schema: str, required: str
 ) -> tuple[DataFrame, DataFrame]:
     """Usable documents with their parsed ``doc``, and the others with ``reason``."""
     judged = df.withColumn("reason", reject_reason(body, required))

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
-
+from pyspark.sql import types as T
 
 # -- landed documents (all scalars arrive as text) ---------------------------
 
@@ -20,40 +15,40 @@ RESERVATION = (
     "price_total string, price_paidsum string, price_common string, price_balance string, "
     "creation_date string, last_updated string, startdate string, enddate string"
 )
-RESERVATION_PAGE = _ddl(
+RESERVATION_PAGE = (
     f"data struct<reservations: array<struct<{RESERVATION.replace(' string', ': string')}>>>, "
     f"reservations array<struct<{RESERVATION.replace(' string', ': string')}>>"
 )
 PRICE_DAY = "date: string, season: string, price: string, extra: string, discount: string, original_cost: string"
-PRICE_DAYS_DOC = _ddl(
+PRICE_DAYS_DOC = (
     f"data struct<reservation_id: string, reservation_days: array<struct<{PRICE_DAY}>>>"
 )
-FEES_DOC = _ddl(
+FEES_DOC = (
     "data struct<commission_information: map<string, string>, "
     "taxes_and_fees: struct<tax_fee: array<struct<id: string, name: string, value: string, "
     "percent: string, include_as_tax: string, taxable: string>>>>"
 )
 BLOCKED_PERIOD = "array<struct<startdate: string, enddate: string>>"
-RATES_DOC = _ddl(
+RATES_DOC = (
     "data array<struct<date: string, season: string, rate: string, minStay: string, "
     "rate_type: struct<season: string, rate: string, minStay: string>>>"
 )
-CUSTOM_FIELDS_DOC = _ddl(
+CUSTOM_FIELDS_DOC = (
     "data struct<field: array<struct<field_id: bigint, name: string, value: string>>>"
 )
-RESERVATION_INFO_DOC = _ddl(
+RESERVATION_INFO_DOC = (
     "data struct<reservation: struct<id: string, confirmation_id: string, "
     "referrer_url: string, startdate: string, unit_name: string, phone: string, "
     "first_name: string, last_name: string, additional_fields: struct<"
     "additional_field: array<struct<name: string, value: string>>>>>"
 )
-HOUSEKEEPING_DOC = _ddl(
+HOUSEKEEPING_DOC = (
     "data array<struct<result_id: string, past_count: string, reservations: struct<"
     "reservation: array<struct<confirmation_id: string, unit_id: string, unit_name: string, "
     "cleaning_date: string, cleaning_type: string, start_date: string, end_date: string, "
     "next_arrival_date: string, flags: struct<flag: variant>>>>>>"
 )
-WORK_ORDERS_DOC = _ddl(
+WORK_ORDERS_DOC = (
     "data struct<maintenances: struct<maintenance: array<struct<unit_id: string, "
     "unit_name: string, title: string, creation_date: string, id: string, "
     "processor_name: string, status_name: string>>>>"
@@ -63,36 +58,81 @@ PROPERTY_FIELDS = (
     "bathrooms_number: string, condo_type_name: string, condo_type_group_name: string, "
     "max_adults: string, renting_type: string"
 )
-PROPERTIES_DOC = _ddl(f"data struct<property: array<struct<{PROPERTY_FIELDS}>>>")
+PROPERTIES_DOC = f"data struct<property: array<struct<{PROPERTY_FIELDS}>>>"
 
 # -- stored tables -----------------------------------------------------------
 
-PRICE_DAYS = _ddl(
-    "date date, season string, price double, extra double, discount double, "
-    "original_cost double, reservation_id bigint, data_price timestamp_ntz, manager string"
-)
-TAXES_AND_FEES = _ddl(
-    "confirmation_id int, row_type string, fee_id bigint, name string, value decimal(18,2), "
-    "percent decimal(10,4), include_as_tax int, taxable int, "
-    "management_commission_amount decimal(18,2), management_commission_percent decimal(10,4), "
-    "owner_commission_amount decimal(18,2), owner_commission_percent decimal(10,4)"
-)
-REFERRERS = _ddl(
-    "id bigint, confirmation_id bigint, referrer_url string, collected_at timestamp_ntz, "
-    "manager string"
-)
-MONTHLY_OCCUPANCY = _ddl(
-    "unit_id bigint, year int, month int, month_str string, occupancy_rate double, "
-    "days_occupied int, days_in_month int, days_elapsed int, days_occupied_past int, "
-    "days_occupied_future int, is_complete_month int, is_future_month int"
-)
-DAILY_OCCUPANCY = _ddl(
-    "unit_id bigint, confirmation_id string, occupied_date date, days int, year int, "
-    "month int, day int, month_str string, startdate date, enddate date, rate decimal(12,2)"
-)
-CHECK_LOG = _ddl("table_name string, source_job string, run_at timestamp_ntz, status int")
-ARRIVALS_SHEET = _ddl(
-    "startdate date, unit_name string, client_name string, phone string, door_code string, "
-    "emergency_code string"
+_DAY, _TEXT, _LONG, _INT = T.DateType(), T.StringType(), T.LongType(), T.IntegerType()
+_REAL, _TIME = T.DoubleType(), T.TimestampNTZType()
+_MONEY, _PERCENT = T.DecimalType(18, 2), T.DecimalType(10, 4)
+
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+PRICE_DAYS = _table(
+    date=_DAY,
+    season=_TEXT,
+    price=_REAL,
+    extra=_REAL,
+    discount=_REAL,
+    original_cost=_REAL,
+    reservation_id=_LONG,
+    data_price=_TIME,
+    manager=_TEXT,
+)
+TAXES_AND_FEES = _table(
+    confirmation_id=_INT,
+    row_type=_TEXT,
+    fee_id=_LONG,
+    name=_TEXT,
+    value=_MONEY,
+    percent=_PERCENT,
+    include_as_tax=_INT,
+    taxable=_INT,
+    management_commission_amount=_MONEY,
+    management_commission_percent=_PERCENT,
+    owner_commission_amount=_MONEY,
+    owner_commission_percent=_PERCENT,
+)
+REFERRERS = _table(
+    id=_LONG, confirmation_id=_LONG, referrer_url=_TEXT, collected_at=_TIME, manager=_TEXT
+)
+MONTHLY_OCCUPANCY = _table(
+    unit_id=_LONG,
+    year=_INT,
+    month=_INT,
+    month_str=_TEXT,
+    occupancy_rate=_REAL,
+    days_occupied=_INT,
+    days_in_month=_INT,
+    days_elapsed=_INT,
+    days_occupied_past=_INT,
+    days_occupied_future=_INT,
+    is_complete_month=_INT,
+    is_future_month=_INT,
+)
+DAILY_OCCUPANCY = _table(
+    unit_id=_LONG,
+    confirmation_id=_TEXT,
+    occupied_date=_DAY,
+    days=_INT,
+    year=_INT,
+    month=_INT,
+    day=_INT,
+    month_str=_TEXT,
+    startdate=_DAY,
+    enddate=_DAY,
+    rate=T.DecimalType(12, 2),
+)
+CHECK_LOG = _table(table_name=_TEXT, source_job=_TEXT, run_at=_TIME, status=_INT)
+ARRIVALS_SHEET = _table(
+    startdate=_DAY,
+    unit_name=_TEXT,
+    client_name=_TEXT,
+    phone=_TEXT,
+    door_code=_TEXT,
+    emergency_code=_TEXT,
 )
 BOARD_DATES = ("cleaning_date", "check_in_date", "check_out_date", "next_arrival")

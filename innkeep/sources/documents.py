@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from innkeep import schemas
 from innkeep.operators.rows import union_ragged
@@ -38,7 +38,7 @@ def union_existing(frames: Sequence[DataFrame], wanted: Sequence[str]) -> DataFr
 
 
 def read_json_lists(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType
+    spark: SparkSession, paths: Sequence[str], schema: str
 ) -> DataFrame:
     """Several landed folders read with one schema in one scan."""
     return spark.read.schema(schema).json(list(paths), multiLine=True)
