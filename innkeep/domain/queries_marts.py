@@ -1 +1,336 @@
-"""Queries."""
+"""Queries of the marts over reservations, units and days."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from innkeep.domain import views as V
+from innkeep.domain.registry import query
+from innkeep.functions.dates import report_window
+from innkeep.plans import dimensions, occupancy, unit_days
+from innkeep.plans.reservations import reservations_by_date as by_date
+
+
+@query(
+    "units reservations",
+    """WITH grid AS (
+        SELECT id AS unit_id, CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01',
+                                                          INTERVAL 1 MONTH)) AS DATE) AS first_day
+        FROM units WHERE renting_type = 'RENTING'),
+    days AS (
+        SELECT DISTINCT unit_id, CAST(unnest(generate_series(startdate, enddate, INTERVAL 1 DAY)) AS DATE) AS d
+        FROM reservations),
+    counts AS (
+        SELECT unit_id, CAST(date_trunc('month', d) AS DATE) AS first_day, count(*) AS n,
+               count(*) FILTER (d <= DATE '1998-06-15') AS past
+        FROM days GROUP BY ALL)
+    SELECT g.unit_id, year(g.first_day) AS year, month(g.first_day) AS month,
+           strftime(g.first_day, '%Y-%m') AS month_str,
+           round(coalesce(n, 0) / day(last_day(g.first_day)), 4) AS occupancy_rate,
+           coalesce(n, 0) AS days_occupied, day(last_day(g.first_day)) AS days_in_month,
+           CASE WHEN g.first_day > DATE '1998-06-15' THEN 0
+                WHEN last_day(g.first_day) < DATE '1998-06-15' THEN day(last_day(g.first_day))
+                ELSE date_diff('day', g.first_day, DATE '1998-06-15') + 1 END AS days_elapsed,
+           coalesce(past, 0) AS days_occupied_past, coalesce(n - past, 0) AS days_occupied_future,
+           CAST(last_day(g.first_day) < DATE '1998-06-15' AS BIGINT) AS is_complete_month,
+           CAST(g.first_day > DATE '1998-06-15' AS BIGINT) AS is_future_month
+    FROM grid g LEFT JOIN counts c ON g.unit_id = c.unit_id AND g.first_day = c.first_day""",
+)
+def monthly_occupancy(spark, sf):
+    """Occupied days and rate of every unit and month."""
+    units = V.units(spark, sf).select(F.col("id").alias("unit_id"), "renting_type")
+    return occupancy.monthly_occupancy(V.reservations(spark, sf), units, V.YEARS, V.AS_OF)
+
+
+_DAILY = """WITH stays AS (
+        SELECT unit_id, CAST(confirmation_id AS VARCHAR) AS confirmation_id, startdate, enddate,
+               (2 * CAST(round(price_nightly * 100) AS BIGINT) + days_number) // (2 * days_number) AS cents
+        FROM reservations
+        WHERE unit_id IN (SELECT id FROM units WHERE renting_type = 'RENTING') AND price_nightly > 0),
+    days AS (
+        SELECT *, CAST(unnest(generate_series({lo}, {hi}, INTERVAL 1 DAY)) AS DATE) AS occupied_date
+        FROM stays WHERE {where})
+    SELECT unit_id, confirmation_id, occupied_date, CAST(1 AS BIGINT) AS days, year(occupied_date) AS year,
+           month(occupied_date) AS month, day(occupied_date) AS day,
+           strftime(occupied_date, '%Y-%m') AS month_str, startdate, enddate,
+           CAST(cents AS DOUBLE) / 100 AS rate
+    FROM days"""
+
+
+def _houses(spark, sf):
+    return V.units(spark, sf).select(F.col("id").alias("unit_id"), "renting_type")
+
+
+@query("units reservations", _DAILY.format(lo="startdate", hi="enddate", where="true"))
+def daily_occupancy(spark, sf):
+    """One row per unit, confirmation and occupied day, over all years."""
+    return occupancy.daily_occupancy(V.reservations(spark, sf), _houses(spark, sf), V.YEARS)
+
+
+@query(
+    "units reservations",
+    _DAILY.format(
+        lo="greatest(startdate, DATE '1998-01-01')",
+        hi="least(enddate, DATE '1998-12-31')",
+        where="enddate >= DATE '1998-01-01' AND startdate <= DATE '1998-12-31'",
+    ),
+)
+def daily_occupancy_clipped(spark, sf):
+    """Occupied days of one target year, cut at its ends."""
+    import datetime as dt
+
+    year = (dt.date(1998, 1, 1), dt.date(1998, 12, 31))
+    return occupancy.daily_occupancy(V.reservations(spark, sf), _houses(spark, sf), 1998, clip=year)
+
+
+def calendar_of(spark, sf):
+    import datetime as dt
+
+    start, end = V.HORIZON[0], dt.date(1998, 12, 31) + dt.timedelta(days=3 * 365)
+    return dimensions.calendar(spark, start, end, V.adjusted_days(spark, sf), V.AS_OF)
+
+
+@query("calendar", "SELECT * FROM calendar")
+def calendar_flags(spark, sf):
+    """Calendar with year/month keys and relative flags."""
+    return calendar_of(spark, sf)
+
+
+@query(
+    "spine_units",
+    """SELECT CAST(id AS VARCHAR) AS id, manager,
+           strftime(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY)),
+                    '%m/%d/%Y') AS date
+    FROM spine_units""",
+)
+def unit_date_spine(spark, sf):
+    """Every unit on every day of a year."""
+    import datetime as dt
+
+    spine = dimensions.unit_date_spine(
+        V.listed_units(spark, sf),
+        V.reservations(spark, sf),
+        dt.date(1998, 1, 1),
+        dt.date(1998, 12, 31),
+    )
+    return dimensions.spine_text(spine)
+
+
+def _houses_of(spark, sf):
+    return dimensions.house_dimension(
+        V.listed_units(spark, sf), V.unit_history(spark, sf), V.reservations(spark, sf)
+    )
+
+
+@query("houses", "SELECT * FROM houses")
+def house_dimension(spark, sf):
+    """All units ever known, with attributes where there are any."""
+    return _houses_of(spark, sf)
+
+
+def _sales_of(spark, sf):
+    return by_date(
+        V.reservations(spark, sf),
+        V.price_days(spark, sf),
+        V.mirror_units(spark, sf),
+        V.booking_patches(spark, sf),
+    )
+
+
+@query("sales", "SELECT * FROM sales")
+def reservations_by_date(spark, sf):
+    """Reservations with their latest nightly prices."""
+    return _sales_of(spark, sf)
+
+
+@query(
+    "reservations price_days mirror_units",
+    """SELECT r.id, coalesce(m.to_id, r.unit_id) AS unit_id, p.date, p.price, p.data_price
+    FROM reservations r LEFT JOIN price_days p ON r.id = p.reservation_id
+    LEFT JOIN mirror_units m ON r.unit_id = m.from_id WHERE r.status_id IN (4, 5, 6, 7)""",
+)
+def reservations_by_date_all_loads(spark, sf):
+    """Reservations with the prices of every load."""
+    rows = by_date(
+        V.reservations(spark, sf),
+        V.price_days(spark, sf),
+        V.mirror_units(spark, sf),
+        latest_only=False,
+    )
+    return rows.select("id", "unit_id", "date", "price", "data_price")
+
+
+def _inputs(spark, sf, houses) -> unit_days.Inputs:
+    return unit_days.Inputs(
+        properties=V.listed_units(spark, sf),
+        reservations=V.reservations(spark, sf),
+        sales=_sales_of(spark, sf),
+        target_rates=V.target_rates(spark, sf),
+        prices=V.current_prices(spark, sf),
+        seasons=V.seasons(spark, sf),
+        houses=houses,
+    )
+
+
+_SALE = ", ".join(
+    f"b.{c}" if c not in ("hear_about_name", "travelagent_name") else f"CAST(NULL AS VARCHAR) AS {c}"
+    for c in unit_days.SALE_COLUMNS
+)
+_HOUSE = ", ".join(f"d.{c}" for c in unit_days.HOUSE_COLUMNS)
+
+# Units x days with sales, rates and prices; the days are named by the caller.
+_UNIT_DAYS = """
+    spine AS (
+        SELECT u.id AS unit_id, u.manager,
+               CAST(unnest(generate_series({start}, {end}, INTERVAL 1 DAY)) AS DATE) AS date
+        FROM spine_units u),
+    day_rows AS (
+        SELECT a.unit_id, a.manager, a.date, b.id AS reservation,
+               CAST(NULL AS VARCHAR) AS sale_location, {sale},
+               c.season AS target_season, c.rate AS target_rate, c.min_stay AS target_min_stay,
+               g.min_stay AS current_min_stay, g.rate AS current_rate
+        FROM spine a
+        LEFT JOIN sales b ON a.unit_id = b.unit_id AND a.manager = b.manager AND a.date = b.date
+        LEFT JOIN target_rates c ON a.unit_id = c.id_unit AND a.manager = c.manager AND a.date = c.date
+        LEFT JOIN current_prices g ON a.unit_id = g.id_unit AND a.manager = g.manager AND a.date = g.date)
+"""
+
+
+@query(
+    "spine_units sales target_rates current_prices listed_units seasons",
+    "WITH "
+    + _UNIT_DAYS.format(start="DATE '1998-06-10'", end="DATE '1998-09-08'", sale=_SALE)
+    + f"""
+    SELECT a.*, {_HOUSE}, d.max_adults, d.renting_type, f.occupancy AS target_occupancy,
+           f.season AS season_name
+    FROM day_rows a LEFT JOIN listed_units d ON a.unit_id = d.id AND a.manager = d.manager
+    LEFT JOIN seasons f ON a.manager = f.manager AND a.date = f.date""",
+)
+def unit_day_base(spark, sf):
+    """Every unit and day of the report window with sales, rates and attributes."""
+    return unit_days.unit_day_base(
+        _inputs(spark, sf, V.listed_units(spark, sf)), *report_window(V.AS_OF)
+    )
+
+
+_SALES_SQL = """
+    partial AS (
+        SELECT a.*, {house}, coalesce(d.renting_type, 'NON-RENTING') AS renting_type,
+               f.occupancy AS target_occupancy, f.holiday_of_year, f.holiday_name, f.holiday_days,
+               f.season AS season_name, f.season_interval,
+               coalesce(h.status, 'Disponivel') AS sale_status, coalesce(i.value, 'NÃO') AS in_target,
+               j.channel, k.year_month AS booking_year_month, k.adjusted_day AS booking_adjusted_day,
+               k.ytd, k.mtd, k.l7d, k.week, k.year_label AS booking_year_label,
+               l.year_label AS stay_year_label, l.adjusted_day AS stay_adjusted_day,
+               year(a.date) AS year, month(a.date) AS month,
+               CAST(a.date >= DATE '1998-06-15' AS BIGINT) AS is_future,
+               date_diff('day', a.creation_date, a.date) AS lead_days,
+               strftime(k.adjusted_day, '%m. %b') AS booking_month, strftime(a.date, '%m. %b') AS stay_month
+        FROM day_rows a
+        LEFT JOIN houses d ON a.unit_id = d.id AND a.manager = d.manager
+        LEFT JOIN seasons f ON a.manager = f.manager AND a.date = f.date
+        LEFT JOIN sale_status h ON lower(a.type_name) = lower(h.type_name)
+        LEFT JOIN target_units i ON a.unit_id = i.id_unit
+        LEFT JOIN channels j ON a.type_name = j.type_name
+        LEFT JOIN calendar k ON a.creation_date = k.day
+        LEFT JOIN calendar l ON a.date = l.day),
+    first_sale AS (
+        SELECT unit_id, manager, min(creation_date) AS first_booking, max(date) AS last_sold_day,
+               min(date) AS first_sold_day
+        FROM partial WHERE reservation > 0 AND creation_date IS NOT NULL GROUP BY unit_id, manager),
+    finished AS (
+        SELECT p.*,
+               CASE WHEN lead_days IS NULL THEN '-' WHEN lead_days <= 30 THEN '<= 30 days'
+                    WHEN lead_days <= 60 THEN '<= 60 days' WHEN lead_days <= 90 THEN '<= 90 days'
+                    WHEN lead_days <= 120 THEN '<= 120 days' WHEN lead_days <= 180 THEN '<= 180 days'
+                    ELSE 'Acima de 180 days' END AS lead_band,
+               CASE WHEN lead_days IS NULL THEN '-' WHEN lead_days <= 30 THEN '1'
+                    WHEN lead_days <= 60 THEN '2' WHEN lead_days <= 90 THEN '3'
+                    WHEN lead_days <= 120 THEN '4' WHEN lead_days <= 180 THEN '5' ELSE '6' END AS lead_order,
+               CASE WHEN days_number IS NULL THEN '-' WHEN days_number <= 3 THEN '<= 3 nigths'
+                    WHEN days_number <= 5 THEN '<= 5 nigths' WHEN days_number <= 7 THEN '<= 7 nigths'
+                    WHEN days_number <= 10 THEN '<= 10 nigths' WHEN days_number <= 15 THEN '<= 15 nigths'
+                    ELSE 'Acima de 15 nigths' END AS stay_band,
+               s.first_booking, s.last_sold_day, s.first_sold_day
+        FROM partial p LEFT JOIN first_sale s ON p.unit_id = s.unit_id AND p.manager = s.manager
+        WHERE p.unit_id NOT IN (SELECT from_id FROM mirror_units))
+"""
+_SALES_VIEWS = (
+    "spine_units sales target_rates current_prices houses seasons sale_status target_units "
+    "channels calendar mirror_units"
+)
+
+
+def _unit_day_sales(spark, sf, start, end):
+    return unit_days.unit_day_sales(
+        _inputs(spark, sf, _houses_of(spark, sf)),
+        calendar_of(spark, sf),
+        V.sale_status(spark, sf),
+        V.channels(spark, sf),
+        V.target_units(spark, sf),
+        V.mirror_units(spark, sf).select(F.col("from_id").alias("unit_id")),
+        start,
+        end,
+        V.AS_OF,
+    )
+
+
+def _sales_query(start: str, end: str, tail: str) -> str:
+    return (
+        "WITH "
+        + _UNIT_DAYS.format(start=start, end=end, sale=_SALE)
+        + ","
+        + _SALES_SQL.format(house=_HOUSE)
+        + tail
+    )
+
+
+@query(
+    _SALES_VIEWS,
+    _sales_query("DATE '1998-06-10'", "DATE '1998-09-08'", "SELECT * FROM finished"),
+)
+def unit_day_sales(spark, sf):
+    """Unit-day sales with bands, flags and first-sale dates, report window."""
+    return _unit_day_sales(spark, sf, *report_window(V.AS_OF))
+
+
+@query(
+    _SALES_VIEWS,
+    _sales_query(
+        "DATE '1995-01-01'",
+        "DATE '2001-12-31'",
+        """SELECT manager, renting_type, year, month, sale_status, lead_band, stay_band, ytd, in_target,
+               count(*) AS unit_days, count(reservation) AS sold,
+               CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+               CAST(sum(CAST(target_rate AS DECIMAL(18,2))) AS DOUBLE) AS target,
+               CAST(sum(CAST(current_rate AS DECIMAL(18,2))) AS DOUBLE) AS listed,
+               CAST(sum(lead_days) AS BIGINT) AS lead_days, CAST(sum(target_occupancy) AS BIGINT) AS target_occupancy,
+               min(first_booking) AS first_booking, max(last_sold_day) AS last_sold_day,
+               min(first_sold_day) AS first_sold_day, max(channel) AS channel,
+               max(stay_adjusted_day) AS stay_adjusted_day
+        FROM finished GROUP BY ALL""",
+    ),
+)
+def unit_day_sales_by_month(spark, sf):
+    """Unit-day sales over the whole history, summed by month and band."""
+
+    def money(name):
+        return F.sum(F.col(name).cast("decimal(18,2)"))
+
+    rows = _unit_day_sales(spark, sf, *V.HORIZON)
+    return rows.groupBy(
+        "manager", "renting_type", "year", "month", "sale_status", "lead_band", "stay_band", "ytd", "in_target"
+    ).agg(
+        F.count(F.lit(1)).alias("unit_days"),
+        F.count("reservation").alias("sold"),
+        money("price").alias("revenue"),
+        money("target_rate").alias("target"),
+        money("current_rate").alias("listed"),
+        F.sum("lead_days").alias("lead_days"),
+        F.sum("target_occupancy").alias("target_occupancy"),
+        F.min("first_booking").alias("first_booking"),
+        F.max("last_sold_day").alias("last_sold_day"),
+        F.min("first_sold_day").alias("first_sold_day"),
+        F.max("channel").alias("channel"),
+        F.max("stay_adjusted_day").alias("stay_adjusted_day"),
+    )

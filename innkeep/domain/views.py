@@ -54,12 +54,12 @@ def listed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of the property list; the later one lacks units in debt and
-    has renamed the others."""
+    has renamed some."""
     every = units(spark, sf_dir)
     first = every.withColumn("load_time", F.lit("1998-06-13 05:00:00").cast("timestamp_ntz"))
     second = every.where("balance >= 0").withColumns(
         {
-            "name": F.concat("name", F.lit(" II")),
+            "name": F.concat("name", F.when(F.col("balance") > 9500, " II").otherwise("")),
             "load_time": F.lit("1998-06-14 05:00:00").cast("timestamp_ntz"),
         }
     )

@@ -27,7 +27,7 @@ VIEWS: dict[str, tuple[str, str]] = {
         """
         SELECT *, TIMESTAMP '1998-06-13 05:00:00' AS load_time FROM units
         UNION ALL
-        SELECT * REPLACE (name || ' II' AS name), TIMESTAMP '1998-06-14 05:00:00' AS load_time
+        SELECT * REPLACE (name || CASE WHEN balance > 9500 THEN ' II' ELSE '' END AS name), TIMESTAMP '1998-06-14 05:00:00' AS load_time
         FROM units WHERE balance >= 0
         """,
     ),
