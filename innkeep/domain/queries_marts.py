@@ -9,6 +9,7 @@ from innkeep.domain.registry import query
 from innkeep.functions.dates import report_window
 from innkeep.plans import dimensions, occupancy, unit_days
 from innkeep.plans.reservations import reservations_by_date as by_date
+from innkeep.session import stored
 
 
 @query(
@@ -161,13 +162,15 @@ def reservations_by_date_all_loads(spark, sf):
 
 
 def _inputs(spark, sf, houses) -> unit_days.Inputs:
+    """Inputs of the unit-day marts.  By-date rows and seasons are tables of
+    their own that the mart reads more than once, so they are stored first."""
     return unit_days.Inputs(
         properties=V.listed_units(spark, sf),
         reservations=V.reservations(spark, sf),
-        sales=_sales_of(spark, sf),
+        sales=stored(_sales_of(spark, sf), "sales"),
         target_rates=V.target_rates(spark, sf),
         prices=V.current_prices(spark, sf),
-        seasons=V.seasons(spark, sf),
+        seasons=stored(V.seasons(spark, sf), "seasons"),
         houses=houses,
     )
 
@@ -264,9 +267,9 @@ _SALES_VIEWS = (
 def _unit_day_sales(spark, sf, start, end):
     return unit_days.unit_day_sales(
         _inputs(spark, sf, _houses_of(spark, sf)),
-        calendar_of(spark, sf),
-        V.sale_status(spark, sf),
-        V.channels(spark, sf),
+        stored(calendar_of(spark, sf), "calendar"),
+        stored(V.sale_status(spark, sf), "sale_status"),
+        stored(V.channels(spark, sf), "channels"),
         V.target_units(spark, sf),
         V.mirror_units(spark, sf).select(F.col("from_id").alias("unit_id")),
         start,

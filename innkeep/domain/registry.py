@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from innkeep.domain.views_sql import with_views
+from innkeep.session import apply_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +36,7 @@ def query(views: str, sql: str | None) -> Callable[[Query], Query]:
         name = fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(fn(spark, sf_dir))
+            return comparable(fn(apply_defaults(spark), sf_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

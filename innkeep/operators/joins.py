@@ -43,20 +43,30 @@ def lookup(
 
 
 def left_details(
-    head: DataFrame, detail: DataFrame, on: Mapping[str, str], columns: Mapping[str, str]
+    head: DataFrame,
+    detail: DataFrame,
+    on: Mapping[str, str],
+    columns: Mapping[str, str],
+    latest: str | None = None,
 ) -> DataFrame:
-    """Left join of a one-to-many detail.
+    """Left join of a one-to-many detail.  With ``latest`` only the detail rows
+    of each key's largest ``latest`` value are joined.
 
     Written as inner join plus the heads without detail: an inner join lets AQE
-    split a hot key on the detail side, which a left outer join does not."""
+    split a hot key on the detail side, which a left outer join does not.  The
+    latest load is found by aggregation and carried by the heads, so the detail
+    itself moves once."""
+    keys = [f"_k{i}" for i in range(len(on))]
     side = detail.select(
-        *[F.col(f"`{d}`").alias(f"_k{i}") for i, d in enumerate(on.values())],
+        *[F.col(f"`{d}`").alias(k) for k, d in zip(keys, on.values())],
+        *([F.col(latest).alias("_load")] if latest else []),
         *[F.col(f"`{d}`").alias(target) for target, d in columns.items()],
     )
-    same = reduce(
-        Column.__and__, [F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(on)]
-    )
-    keys = [f"_k{i}" for i in range(len(on))]
-    matched = head.join(side, same, "inner").drop(*keys)
-    lone = head.join(side.select(*keys).distinct(), same, "left_anti")
-    return matched.unionByName(lone, allowMissingColumns=True)
+    same = [F.col(f"`{h}`") == F.col(k) for h, k in zip(on, keys)]
+    known = side.groupBy(*keys).agg(F.max("_load" if latest else F.lit(1)).alias("_newest"))
+    marked = head.join(known, reduce(Column.__and__, same), "left").drop(*keys)
+    lone = marked.where("_newest is null").drop("_newest")
+    if latest:
+        same.append(F.col("_newest") == F.col("_load"))
+    matched = marked.where("_newest is not null").join(side, reduce(Column.__and__, same), "inner")
+    return matched.drop(*keys, "_newest", "_load").unionByName(lone, allowMissingColumns=True)

@@ -76,10 +76,11 @@ def reservations_by_date(
     kept = cleaning.remap(kept, "unit_id", mirrors)
     if booking_patches is not None:
         kept = cleaning.patch(kept, "id", "creation_date", booking_patches)
-    prices = price_days.where(F.col("reservation_id").isNotNull())
-    if latest_only:
-        prices = rows.latest_snapshot(prices, ["reservation_id"], load_time)
-    extra = drop_clashing(prices, kept).columns
+    extra = drop_clashing(price_days, kept).columns
     return joins.left_details(
-        kept, prices, {"id": "reservation_id"}, {c: c for c in extra}
+        kept,
+        price_days,
+        {"id": "reservation_id"},
+        {c: c for c in extra},
+        latest=load_time if latest_only else None,
     )

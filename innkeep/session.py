@@ -32,6 +32,15 @@ def get_spark(app: str = "innkeep", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set the SQL settings above on a session somebody else created, where they
+    can change at run time and concern how Spark plans (not the time zone)."""
+    for key, value in DEFAULTS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named in ``spark.checkpoint.dir``.
 
@@ -58,3 +67,11 @@ def durable(df: DataFrame) -> DataFrame:
     later reads neither recompute them nor depend on any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a table in the shared folder.  Unlike ``durable``, Spark
+    then knows the table's size and can decide on a broadcast from it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
