@@ -1,7 +1,7 @@
 """Queries of the operators on landed documents.
 
-The documents are built from table rows, one per row, so that parsing them can
-be checked against SQL that never sees JSON.
+The documents are built from table rows, one per row, and landed in the shared
+folder first.  The SQL they are checked against never sees JSON.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from innkeep.domain import views as V
 from innkeep.domain.registry import query
 from innkeep.operators import cleaning as C, nested as N
 from innkeep.plans import occupancy, rates, reservations as RP
+from innkeep.session import stored
 from innkeep.sources.sheets import grid_ids, read_grid
 
 
@@ -67,7 +68,7 @@ def _pages(spark, sf) -> DataFrame:
         (F.col("id") + 100_000_000).alias("page"),
         F.to_json(F.struct(F.array(record(F.lit("1.00"))).alias("reservations"))).alias("body"),
     )
-    return first.unionByName(again)
+    return stored(first.unionByName(again), "pages")
 
 
 @query(
@@ -111,7 +112,20 @@ def _mixed_responses(spark, sf) -> DataFrame:
         },
         F.lit(""),
     )
-    return V.reservations(spark, sf).select("id", "type_name", body.alias("body"))
+    docs = V.reservations(spark, sf).select("id", "type_name", body.alias("body"))
+    return stored(docs, "responses")
+
+
+@query(
+    "reservations",
+    """SELECT CASE type_name WHEN '1-URGENT' THEN 'ok' WHEN '2-HIGH' THEN 'status E0013'
+                WHEN '3-MEDIUM' THEN 'empty data' WHEN '4-NOT SPECIFIED' THEN 'invalid json'
+                ELSE 'empty body' END AS reason, count(*) AS documents
+    FROM reservations GROUP BY ALL""",
+)
+def document_tally(spark, sf):
+    """Responses counted by outcome."""
+    return N.tally(_mixed_responses(spark, sf), "body", "$.data")
 
 
 @query(
@@ -171,7 +185,8 @@ def _calendar_docs(spark, sf) -> DataFrame:
         F.format_string('{"data": {"blocked_period": %s}}', periods),
     )
     body = F.when(F.col("days_number") == 2, '{"status": {"code": "E0013"}}').otherwise(body)
-    return V.reservations(spark, sf).select("unit_id", body.alias("body"))
+    docs = V.reservations(spark, sf).select("unit_id", body.alias("body"))
+    return stored(docs, "calendars")
 
 
 @query(
@@ -246,7 +261,7 @@ def _fee_docs(spark, sf) -> DataFrame:
     body = F.format_string(
         '{"data": {"commission_information": %s, "taxes_and_fees": {"tax_fee": %s}}}', commission, section
     )
-    return items.select(F.col("l_orderkey").alias("confirmation_id"), body.alias("body"))
+    return stored(items.select(F.col("l_orderkey").alias("confirmation_id"), body.alias("body")), "fees")
 
 
 _FEE_ROWS = """fee_rows AS (
@@ -318,7 +333,7 @@ def price_days_explode(spark, sf):
     body = F.to_json(
         F.struct(F.struct(key.alias("reservation_id"), days.alias("reservation_days")).alias("data"))
     )
-    docs = items.select(body.alias("body"))
+    docs = stored(items.select(body.alias("body")), "price_documents")
     return RP.reservation_price_days(docs, V.load_time(), F.lit("main office"))
 
 
@@ -337,7 +352,8 @@ def _rate_docs(spark, sf) -> DataFrame:
     body = F.when(F.col("balance") >= -500, F.to_json(F.struct(F.array(rate, rate).alias("data")))).otherwise(
         '{"data": []}'
     )
-    return V.units(spark, sf).select(F.col("id").alias("unit_id"), "manager", "balance", body.alias("body"))
+    docs = V.units(spark, sf).select(F.col("id").alias("unit_id"), "manager", "balance", body.alias("body"))
+    return stored(docs, "rates")
 
 
 _RATE_ROWS = """SELECT id AS id_unit, manager, '06/15/1998' AS date, location_name AS season,
@@ -397,7 +413,7 @@ def custom_field_filter(spark, sf):
     docs = V.table(spark, sf, "events").select(
         F.col("event_id").alias("unit_id"), F.lit("main office").alias("manager"), body.alias("body")
     )
-    return rates.unit_filter_flag(docs, 42, V.load_time())[0]
+    return rates.unit_filter_flag(stored(docs, "fields"), 42, V.load_time())[0]
 
 
 def _pairs(spark, sf) -> DataFrame:
@@ -518,7 +534,7 @@ def referrers(spark, sf):
         F.to_json(F.struct(F.struct(info.alias("reservation")).alias("data")))
     )
     docs = V.reservations(spark, sf).select("manager", body.alias("body"))
-    return rates.referrers(docs, V.load_time())[0]
+    return rates.referrers(stored(docs, "infos"), V.load_time())[0]
 
 
 # -- grids ------------------------------------------------------------------------------

@@ -309,7 +309,7 @@ def unit_day_sales(spark, sf):
                CAST(sum(CAST(current_rate AS DECIMAL(18,2))) AS DOUBLE) AS listed,
                CAST(sum(lead_days) AS BIGINT) AS lead_days, CAST(sum(target_occupancy) AS BIGINT) AS target_occupancy,
                min(first_booking) AS first_booking, max(last_sold_day) AS last_sold_day,
-               min(first_sold_day) AS first_sold_day, max(channel) AS channel,
+               min(first_sold_day) AS first_sold_day, count(channel) AS with_channel,
                max(stay_adjusted_day) AS stay_adjusted_day
         FROM finished GROUP BY ALL""",
     ),
@@ -334,6 +334,6 @@ def unit_day_sales_by_month(spark, sf):
         F.min("first_booking").alias("first_booking"),
         F.max("last_sold_day").alias("last_sold_day"),
         F.min("first_sold_day").alias("first_sold_day"),
-        F.max("channel").alias("channel"),
+        F.count("channel").alias("with_channel"),
         F.max("stay_adjusted_day").alias("stay_adjusted_day"),
     )

@@ -11,6 +11,7 @@ from innkeep.domain.registry import query
 from innkeep.functions import text as X
 from innkeep.operators import numbering, rows as R
 from innkeep.plans import operations as O
+from innkeep.session import stored
 
 # -- housekeeping --------------------------------------------------------------
 
@@ -39,7 +40,7 @@ def _housekeeping_docs(spark, sf) -> DataFrame:
         F.date_format(F.date_add("enddate", 3), "MM/dd/yyyy"),
         flag,
     )
-    return V.reservations(spark, sf).select(body.alias("body"))
+    return stored(V.reservations(spark, sf).select(body.alias("body")), "housekeeping")
 
 
 _FLAGS = """CASE type_name WHEN '1-URGENT' THEN maketype_description || ' (1-URGENT), VIP'
@@ -165,10 +166,11 @@ def _info_docs(spark, sf) -> DataFrame:
         F.col("last_name"),
         fields.alias("additional_fields"),
     )
-    return V.reservations(spark, sf).select(
+    docs = V.reservations(spark, sf).select(
         "confirmation_id",
         F.to_json(F.struct(F.struct(info.alias("reservation")).alias("data"))).alias("body"),
     )
+    return stored(docs, "infos")
 
 
 _ARRIVALS = """SELECT startdate, 'Unit ' || unit_id AS unit_name,

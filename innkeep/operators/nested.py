@@ -7,7 +7,7 @@ used, because ``from_json`` turns a shape mismatch into NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -27,32 +27,51 @@ def status_code(body: Column | str) -> Column:
     return F.get_json_object(_col(body), "$.status.code")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often and in
+    whichever branch ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def reject_reason(body: Column | str, required: str) -> Column:
     """Why a document is unusable, NULL when it is fine.
 
     ``required`` is the path that must hold a non-empty list or object."""
     body = _col(body)
-    parsed = F.try_parse_json(body)
-    value = F.try_variant_get(parsed, required, "variant")
-    items = F.try_variant_get(parsed, required, "array<variant>")
-    fields = F.try_variant_get(parsed, required, "map<string,variant>")
-    filled = F.coalesce(F.size(items), F.size(fields), F.lit(0)) > 0
-    code = status_code(body)
-    return (
-        F.when(body.isNull() | (F.trim(body) == ""), "empty body")
-        .when(parsed.isNull(), "invalid json")
-        .when(code.isNotNull() & ~code.isin(*OK_CODES), F.concat(F.lit("status "), code))
-        .when(value.isNull() | ~filled, "empty data")
-    )
+
+    def judge(parsed: Column) -> Column:
+        items = F.try_variant_get(parsed, required, "array<variant>")
+        fields = F.try_variant_get(parsed, required, "map<string,variant>")
+        filled = F.coalesce(F.size(items), F.size(fields), F.lit(0)) > 0
+        code = F.try_variant_get(parsed, "$.status.code", "string")
+        return (
+            F.when(body.isNull() | (F.trim(body) == ""), "empty body")
+            .when(parsed.isNull(), "invalid json")
+            .when(code.isNotNull() & ~code.isin(*OK_CODES), F.concat(F.lit("status "), code))
+            .when(~filled, "empty data")
+        )
+
+    return _once(F.try_parse_json(body), judge)
 
 
 def split_documents(
     df: DataFrame, body: str, schema: str, required: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Usable documents with their parsed ``doc``, and the others with ``reason``."""
-    judged = df.withColumn("reason", reject_reason(body, required))
-    good = judged.where("reason is null").drop("reason")
-    return good.withColumn("doc", F.from_json(body, schema)), judged.where("reason is not null")
+    """Usable documents with their parsed ``doc``, and the others with ``reason``.
+
+    Usable ones come out of a generator, not a filter: a filter would be moved
+    below earlier joins and parse documents those joins drop."""
+    reason = reject_reason(body, required)
+    good = df.withColumn(
+        "doc", F.explode(F.when(reason.isNull(), F.array(F.from_json(body, schema))))
+    )
+    return good, df.withColumn("reason", reason).where("reason is not null")
+
+
+def tally(df: DataFrame, body: str, required: str) -> DataFrame:
+    """Documents per outcome: ``ok`` or the reason they are unusable."""
+    reason = F.coalesce(reject_reason(body, required), F.lit("ok"))
+    return df.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("documents"))
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:
