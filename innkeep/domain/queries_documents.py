@@ -11,11 +11,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from innkeep.domain import views as V
 from innkeep.domain.registry import query
 from innkeep.operators import cleaning as C, nested as N
+from innkeep.operators.stays import spread
 from innkeep.plans import occupancy, rates, reservations as RP
 from innkeep.session import stored
 from innkeep.sources.sheets import grid_ids, read_grid
 
 
+def _bookings(spark, sf) -> DataFrame:
+    """Reservations over all tasks: building documents is the slow part, and the
+    test tables come as one file each."""
+    return spread(V.reservations(spark, sf), "id")
+
+
+def _items(spark, sf) -> DataFrame:
+    return spread(V.table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+
+
 def _us(c: str) -> Column:
     return F.date_format(c, "MM/dd/yyyy")
 
@@ -34,7 +45,7 @@ def _by_type(values: dict[str, Column], default: Column) -> Column:
 def _pages(spark, sf) -> DataFrame:
     """One page per reservation; cancelled ones also appear on a second, later
     page with another price.  The page holding them has either shape."""
-    rows = V.reservations(spark, sf)
+    rows = _bookings(spark, sf)
     price = _by_type(
         {"1-URGENT": F.lit("abc"), "5-LOW": F.lit("nan")},
         F.col("price_nightly").cast("decimal(18,2)").cast("string"),
@@ -112,7 +123,7 @@ def _mixed_responses(spark, sf) -> DataFrame:
         },
         F.lit(""),
     )
-    docs = V.reservations(spark, sf).select("id", "type_name", body.alias("body"))
+    docs = _bookings(spark, sf).select("id", "type_name", body.alias("body"))
     return stored(docs, "responses")
 
 
@@ -185,7 +196,7 @@ def _calendar_docs(spark, sf) -> DataFrame:
         F.format_string('{"data": {"blocked_period": %s}}', periods),
     )
     body = F.when(F.col("days_number") == 2, '{"status": {"code": "E0013"}}').otherwise(body)
-    docs = V.reservations(spark, sf).select("unit_id", body.alias("body"))
+    docs = _bookings(spark, sf).select("unit_id", body.alias("body"))
     return stored(docs, "calendars")
 
 
@@ -234,7 +245,7 @@ def occupancy_from_calendars(spark, sf):
 def _fee_docs(spark, sf) -> DataFrame:
     """One fee document per line item.  Return flag and line status decide
     which sections it has and whether the fee section is one bare object."""
-    items = V.table(spark, sf, "lineitem")
+    items = _items(spark, sf)
 
     def fee(code: int, name: str, value: str, percent: str) -> Column:
         return F.format_string(
@@ -316,7 +327,7 @@ def fee_rejects(spark, sf):
 )
 def price_days_explode(spark, sf):
     """Nightly prices of price documents; one has no days, one no id."""
-    items = V.table(spark, sf, "lineitem")
+    items = _items(spark, sf)
     day = F.struct(
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"),
         F.col("l_returnflag").alias("season"),
@@ -533,7 +544,7 @@ def referrers(spark, sf):
     body = F.when(F.col("type_name") == "1-URGENT", '{"data": {"reservation": []}}').otherwise(
         F.to_json(F.struct(F.struct(info.alias("reservation")).alias("data")))
     )
-    docs = V.reservations(spark, sf).select("manager", body.alias("body"))
+    docs = _bookings(spark, sf).select("manager", body.alias("body"))
     return rates.referrers(stored(docs, "infos"), V.load_time())[0]
 
 

@@ -10,6 +10,7 @@ from innkeep.domain import views as V
 from innkeep.domain.registry import query
 from innkeep.functions import text as X
 from innkeep.operators import numbering, rows as R
+from innkeep.operators.stays import spread
 from innkeep.plans import operations as O
 from innkeep.session import stored
 
@@ -17,8 +18,9 @@ from innkeep.session import stored
 
 
 def _housekeeping_docs(spark, sf) -> DataFrame:
-    """One housekeeping response per reservation.  Its flags are a list, one
-    object or null; comments are text, blank, or an empty object."""
+    """One housekeeping response per reservation; in status 5 it has a second,
+    earlier cleaning.  Flags are a list, one object or null; comments are text,
+    blank, or an empty object."""
     one = F.format_string('{"name": "%s", "comments": "%s"}', "maketype_description", "type_name")
     flag = (
         F.when(F.col("type_name") == "1-URGENT", F.format_string('[%s, {"name": "VIP", "comments": {}}]', one))
@@ -27,27 +29,43 @@ def _housekeeping_docs(spark, sf) -> DataFrame:
         .when(F.col("type_name") == "4-NOT SPECIFIED", "[]")
         .otherwise("null")
     )
+
+    def record(kind: str, cleaning: str) -> Column:
+        return F.format_string(
+            '{"confirmation_id": "%s", "unit_id": "%s", "unit_name": "Unit %s", "cleaning_date": "%s", '
+            f'"cleaning_type": "{kind}", "start_date": "%s", "end_date": "%s", "next_arrival_date": "%s", '
+            '"flags": {"flag": %s}}',
+            F.col("confirmation_id").cast("string"),
+            F.when(F.col("status_id") == 8, "n/a").otherwise(F.col("unit_id").cast("string")),
+            F.col("unit_id").cast("string"),
+            F.date_format(cleaning, "MM/dd/yyyy"),
+            F.date_format("startdate", "MM/dd/yyyy"),
+            F.date_format("enddate", "MM/dd/yyyy"),
+            F.date_format(F.date_add("enddate", 3), "MM/dd/yyyy"),
+            flag,
+        )
+
+    last, early = record("full", "enddate"), record("short", "startdate")
+    records = F.when(F.col("status_id") == 5, F.concat(early, F.lit(", "), last)).otherwise(last)
     body = F.format_string(
-        '{"data": [{"result_id": "1", "past_count": "0", "reservations": {"reservation": [{"confirmation_id": "%s", '
-        '"unit_id": "%s", "unit_name": "Unit %s", "cleaning_date": "%s", "cleaning_type": "full", '
-        '"start_date": "%s", "end_date": "%s", "next_arrival_date": "%s", "flags": {"flag": %s}}]}}]}',
-        F.col("confirmation_id").cast("string"),
-        F.when(F.col("status_id") == 8, "n/a").otherwise(F.col("unit_id").cast("string")),
-        F.col("unit_id").cast("string"),
-        F.date_format("enddate", "MM/dd/yyyy"),
-        F.date_format("startdate", "MM/dd/yyyy"),
-        F.date_format("enddate", "MM/dd/yyyy"),
-        F.date_format(F.date_add("enddate", 3), "MM/dd/yyyy"),
-        flag,
+        '{"data": [{"result_id": "1", "past_count": "0", "reservations": {"reservation": [%s]}}]}', records
     )
-    return stored(V.reservations(spark, sf).select(body.alias("body")), "housekeeping")
+    return stored(spread(V.reservations(spark, sf), "id").select(body.alias("body")), "housekeeping")
 
 
 _FLAGS = """CASE type_name WHEN '1-URGENT' THEN maketype_description || ' (1-URGENT), VIP'
                 WHEN '2-HIGH' THEN maketype_description || ' (2-HIGH)' WHEN '3-MEDIUM' THEN 'PET' END"""
 
 
-@query("reservations", f"SELECT CAST(id AS VARCHAR) AS confirmation_id, {_FLAGS} AS flags FROM reservations")
+_CLEANINGS = """cleanings AS (
+    SELECT *, enddate AS cleaning, 'full' AS cleaning_type FROM reservations
+    UNION ALL SELECT *, startdate, 'short' FROM reservations WHERE status_id = 5)"""
+
+
+@query(
+    "reservations",
+    f"WITH {_CLEANINGS} SELECT CAST(id AS VARCHAR) AS confirmation_id, {_FLAGS} AS flags FROM cleanings",
+)
 def flag_text(spark, sf):
     """Flags of each cleaning, formatted and joined in order."""
     rows = O.housekeeping_rows(_housekeeping_docs(spark, sf))
@@ -70,20 +88,20 @@ def flags_per_reservation(spark, sf):
     return R.join_ordered(rows, ["l_orderkey"], "flag", ["l_linenumber", "l_shipdate", "l_partkey"], "flags")
 
 
-_BOARD = f"""SELECT enddate AS cleaning_date, 'full' AS cleaning_type, CAST(r.id AS VARCHAR) AS reservation,
-           {_FLAGS} AS flags, type_name AS res_type,
+_BOARD = f"""WITH {_CLEANINGS}, flagged AS (SELECT *, {_FLAGS} AS flags FROM cleanings)
+    SELECT cleaning AS cleaning_date, cleaning_type, CAST(r.id AS VARCHAR) AS reservation,
+           flags || CASE WHEN status_id = 5 THEN ', ' || flags ELSE '' END AS flags, type_name AS res_type,
            regexp_replace('Unit ' || unit_id || CASE WHEN status_id <> 8 THEN coalesce(' (' || bedrooms_number
                || 'br/' || bathrooms_number || 'ba)', '') ELSE '' END, '^Unit 7 .*$', 'House seven') AS unit,
            '' AS cleaning_event, '' AS unit_status, startdate AS check_in_date, enddate AS check_out_date,
            enddate + 3 AS next_arrival, '' AS next_arrival_type, '' AS next_arrival_flags, '' AS night_gap,
            CASE WHEN status_id <> 8 AND unit_id = 7 THEN 'Cleaning' ELSE 'Cleaning and laundry' END AS service_name,
            '' AS note, '' AS staff
-    FROM reservations r LEFT JOIN units u ON r.unit_id = u.id"""
+    FROM flagged r LEFT JOIN units u ON r.unit_id = u.id"""
 
 
 def _board(spark, sf) -> DataFrame:
-    rows = O.housekeeping_rows(_housekeeping_docs(spark, sf))
-    rows = rows.withColumn("flag_text", O.flags_text("flag"))
+    rows = O.with_flags(O.housekeeping_rows(_housekeeping_docs(spark, sf)))
     return O.housekeeping_board(
         rows,
         V.reservations(spark, sf).select("confirmation_id", "type_name"),
@@ -166,7 +184,7 @@ def _info_docs(spark, sf) -> DataFrame:
         F.col("last_name"),
         fields.alias("additional_fields"),
     )
-    docs = V.reservations(spark, sf).select(
+    docs = spread(V.reservations(spark, sf), "id").select(
         "confirmation_id",
         F.to_json(F.struct(F.struct(info.alias("reservation")).alias("data"))).alias("body"),
     )

@@ -181,24 +181,37 @@ _COMMISSION = (
 )
 
 
+def _fee_sections(body: Column | str) -> Column:
+    """Both sections of a fee document, whatever their shape."""
+    data = F.from_json(_col(body), schemas.FEES_DOC).getField("data")
+    return F.struct(
+        data.getField("taxes_and_fees").getField("tax_fee").alias("fees"),
+        data.getField("commission_information").alias("commission"),
+    )
+
+
+def _present(value: Column) -> Column:
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def _fee_reject(sections: Column) -> Column:
+    fees, commission = sections.getField("fees"), sections.getField("commission")
+    is_list = F.try_variant_get(fees, "$", "array<variant>").isNotNull()
+    is_object = F.try_variant_get(commission, "$", "map<string,variant>").isNotNull()
+    return F.when(_present(fees) & ~is_list, "fees not a list").when(
+        _present(commission) & ~is_object, "commission not an object"
+    )
+
+
 def fee_reject(body: Column | str) -> Column:
     """Reason a fee document fails: a section of the wrong shape."""
-    fees = F.get_json_object(_col(body), "$.data.taxes_and_fees.tax_fee")
-    commission = F.get_json_object(_col(body), "$.data.commission_information")
-    return F.when(~fees.startswith("["), "fees not a list").when(
-        ~commission.startswith("{"), "commission not an object"
-    )
+    return _once(_fee_sections(body), _fee_reject)
 
 
 def explode_fees(df: DataFrame, body: str = "body", key: str = "confirmation_id") -> DataFrame:
     """One row per fee, plus one commission row when that section has content;
-    the commission columns repeat on every row.  Values stay text."""
-    doc = F.from_json(_col(body), schemas.FEES_DOC).getField("data")
-    parsed = df.where(fee_reject(body).isNull()).select(
-        key,
-        doc.getField("commission_information").alias("_c"),
-        doc.getField("taxes_and_fees").getField("tax_fee").alias("_f"),
-    )
+    the commission columns repeat on every row.  Values stay text.  Documents
+    with a section of the wrong shape give no rows."""
     text = F.lit(None).cast("string")
     fee_fields = ("id", "name", "value", "percent", "include_as_tax", "taxable")
 
@@ -206,14 +219,21 @@ def explode_fees(df: DataFrame, body: str = "body", key: str = "confirmation_id"
         named = [v.alias("fee_id" if n == "id" else n) for n, v in zip(fee_fields, values)]
         return F.struct(F.lit(kind).alias("row_type"), *named)
 
-    fees = F.transform("_f", lambda f: row("tax_fee", [f.getField(n) for n in fee_fields]))
-    summary = row("commission", [text, F.lit("Commission Summary"), text, text, text, text])
-    empty = F.filter(F.array(summary), lambda _: F.lit(False))
-    rows = F.concat(
-        F.coalesce(fees, empty), F.when(F.size("_c") > 0, F.array(summary)).otherwise(empty)
+    listed = F.try_variant_get("_s.fees", "$", f"array<{schemas.FEE}>")
+    fees = F.transform(listed, lambda f: row("tax_fee", [f.getField(n) for n in fee_fields]))
+    summary = F.array(row("commission", [text, F.lit("Commission Summary"), text, text, text, text]))
+    none = F.filter(summary, lambda _: F.lit(False))
+    has_commission = F.size(F.try_variant_get("_s.commission", "$", "map<string,variant>")) > 0
+    rows = F.concat(F.coalesce(fees, none), F.when(has_commission, summary).otherwise(none))
+    exploded = df.select(key, _fee_sections(body).alias("_s")).select(
+        key, "_s.commission", F.inline(F.when(_fee_reject(F.col("_s")).isNull(), rows))
     )
-    return parsed.select(
-        key, F.inline(rows), *[F.try_element_at("_c", F.lit(n)).alias(n) for n in _COMMISSION]
+    return exploded.select(
+        key,
+        "row_type",
+        "fee_id",
+        *fee_fields[1:],
+        *[F.try_variant_get("commission", f"$.{n}", "string").alias(n) for n in _COMMISSION],
     )
 
 

@@ -15,7 +15,7 @@ from innkeep.operators.changes import change_text, snapshot_changes
 from innkeep.operators.cleaning import set_where_in
 from innkeep.operators.columns import conform, map_columns
 from innkeep.operators.joins import lookup
-from innkeep.operators.rows import in_both, not_in, pending
+from innkeep.operators.rows import in_both, join_ordered, not_in, pending
 
 # Board columns and where they come from (None stays empty).
 BOARD = {
@@ -42,14 +42,36 @@ BOARD = {
 NO_ARRIVAL = (6, 8, 10, 1)
 
 _FLAG = "struct<name: string, comments: variant>"
+_PLACE = ("page", "group_no", "pos")
 
 
-def housekeeping_rows(docs: DataFrame, body: str = "body") -> DataFrame:
-    """Report rows of landed housekeeping responses, one per scheduled cleaning."""
+def housekeeping_rows(docs: DataFrame, body: str = "body", page: Column | None = None) -> DataFrame:
+    """Report rows of landed housekeeping responses, one per scheduled cleaning,
+    each with its place (page, group_no, pos)."""
     doc = F.from_json(body, schemas.HOUSEKEEPING_DOC).getField("data")
-    groups = docs.select(F.inline(doc))
-    rows = nested.explode_path(groups, "reservations.reservation", ["result_id", "past_count"])
-    return rows.withColumn("flag", F.col("flags.flag")).drop("flags")
+    page = F.lit(0).cast("bigint") if page is None else page
+    groups = docs.select(page.alias("page"), F.posexplode(doc).alias("group_no", "g"))
+    rows = groups.select(
+        "page",
+        "group_no",
+        "g.result_id",
+        "g.past_count",
+        F.posexplode("g.reservations.reservation").alias("pos", "r"),
+    )
+    flat = rows.select("r.*", "result_id", "past_count", "page", "group_no", "pos")
+    return flat.withColumn("flag", F.col("flags.flag")).drop("flags")
+
+
+def with_flags(rows: DataFrame) -> DataFrame:
+    """Report rows with ``flag_text``: the flags of all rows of their reservation,
+    in report order.  Each row's own flags are joined before rows meet."""
+    own = rows.select("confirmation_id", *_PLACE, flags_text("flag").alias("flag_text")).where(
+        "flag_text is not null and confirmation_id is not null"
+    )
+    joined = join_ordered(own, ["confirmation_id"], "flag_text", _PLACE, "flag_text")
+    return lookup(
+        rows.drop("flag", *_PLACE), joined, {"confirmation_id": "confirmation_id"}, {"flag_text": "flag_text"}
+    )
 
 
 def flags_text(flag: Column | str) -> Column:

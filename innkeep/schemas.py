@@ -24,9 +24,11 @@ PRICE_DAYS_DOC = (
     f"data struct<reservation_id: string, reservation_days: array<struct<{PRICE_DAY}>>>"
 )
 FEES_DOC = (
-    "data struct<commission_information: map<string, string>, "
-    "taxes_and_fees: struct<tax_fee: array<struct<id: string, name: string, value: string, "
-    "percent: string, include_as_tax: string, taxable: string>>>>"
+    "data struct<commission_information: variant, taxes_and_fees: struct<tax_fee: variant>>"
+)
+FEE = (
+    "struct<id: string, name: string, value: string, percent: string, include_as_tax: string, "
+    "taxable: string>"
 )
 BLOCKED_PERIOD = "array<struct<startdate: string, enddate: string>>"
 RATES_DOC = (
