@@ -33,16 +33,19 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def reject_reason(body: Column | str, required: str) -> Column:
+def reject_reason(body: Column | str, required: str, shape: str | None = None) -> Column:
     """Why a document is unusable, NULL when it is fine.
 
-    ``required`` is the path that must hold a non-empty list or object."""
+    ``required`` is the path that must hold something: a ``list`` or ``object``
+    with content, or, without ``shape``, either of them."""
     body = _col(body)
 
     def judge(parsed: Column) -> Column:
         items = F.try_variant_get(parsed, required, "array<variant>")
         fields = F.try_variant_get(parsed, required, "map<string,variant>")
-        filled = F.coalesce(F.size(items), F.size(fields), F.lit(0)) > 0
+        found = {"list": [F.size(items)], "object": [F.size(fields)]}
+        sizes = found[shape] if shape else found["list"] + found["object"]
+        filled = F.coalesce(*sizes, F.lit(0)) > 0
         code = F.try_variant_get(parsed, "$.status.code", "string")
         return (
             F.when(body.isNull() | (F.trim(body) == ""), "empty body")
@@ -55,13 +58,13 @@ def reject_reason(body: Column | str, required: str) -> Column:
 
 
 def split_documents(
-    df: DataFrame, body: str, schema: str, required: str
+    df: DataFrame, body: str, schema: str, required: str, shape: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Usable documents with their parsed ``doc``, and the others with ``reason``.
 
     Usable ones come out of a generator, not a filter: a filter would be moved
     below earlier joins and parse documents those joins drop."""
-    reason = reject_reason(body, required)
+    reason = reject_reason(body, required, shape)
     good = df.withColumn(
         "doc", F.explode(F.when(reason.isNull(), F.array(F.from_json(body, schema))))
     )

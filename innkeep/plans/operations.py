@@ -183,7 +183,9 @@ def arrivals_sheet(
     """Arrivals sheet from reservation responses (confirmation_id, body): guest
     name, door code and emergency code.  Sort when writing: ``by_arrival``."""
     due = docs.join(arriving(reservations, as_of), "confirmation_id", "left_semi")
-    good, _ = nested.split_documents(due, body, schemas.RESERVATION_INFO_DOC, "$.data.reservation")
+    good, _ = nested.split_documents(
+        due, body, schemas.RESERVATION_INFO_DOC, "$.data.reservation", "object"
+    )
     info = good.select(
         F.col("confirmation_id").alias("_confirmation"),
         F.col("doc.data.reservation").alias("r"),

@@ -21,7 +21,7 @@ def taxes_and_fees(docs: DataFrame, body: str = "body") -> DataFrame:
 def rate_rows(docs: DataFrame, load_time: Column, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """(rates, rejects) of rate responses (unit_id, manager, body): one row per
     day, nested fields flattened to dotted names, with unit, load time, manager."""
-    good, rejects = nested.split_documents(docs, body, schemas.RATES_DOC, "$.data")
+    good, rejects = nested.split_documents(docs, body, schemas.RATES_DOC, "$.data", "list")
     rows = good.select("unit_id", "manager", F.explode("doc.data").alias("r"))
     flat = nested.flatten(rows.select("unit_id", "manager", "r.*"))
     return (
@@ -59,7 +59,7 @@ def unit_filter_flag(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of custom-field responses (unit_id, manager, body),
     keeping one field id."""
-    good, rejects = nested.split_documents(docs, body, schemas.CUSTOM_FIELDS_DOC, "$.data.field")
+    good, rejects = nested.split_documents(docs, body, schemas.CUSTOM_FIELDS_DOC, "$.data.field", "list")
     keep = good.select(F.col("unit_id").alias("id_unit"), "manager", F.col("doc.data.field").alias("_fields"))
     rows = nested.field_rows(keep, "_fields", field_id, ["id_unit", "manager"])
     return rows.withColumn("data_price", load_time), rejects
@@ -69,7 +69,7 @@ def referrers(docs: DataFrame, collected_at: Column, body: str = "body") -> tupl
     """(rows, rejects) of reservation responses (manager, body): id,
     confirmation and referring URL."""
     good, rejects = nested.split_documents(
-        docs, body, schemas.RESERVATION_INFO_DOC, "$.data.reservation"
+        docs, body, schemas.RESERVATION_INFO_DOC, "$.data.reservation", "object"
     )
     rows = nested.pick(good, "doc.data.reservation", ["id", "confirmation_id", "referrer_url"])
     typed = rows.withColumns(
