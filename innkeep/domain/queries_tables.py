@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from innkeep import schemas
 from innkeep.domain import views as V
+from innkeep.domain.queries_documents import _grid, _pages
 from innkeep.domain.registry import query
 from innkeep.operators.nested import split_documents
 from innkeep.operators.quality import quality_gate
+from innkeep.operators.stays import spread
+from innkeep.plans.sheets import reference_sheets as load_sheets
 from innkeep.session import scratch_path
 from innkeep.sinks import export, publish, snapshots, tables
 from innkeep.sources import documents, sheets
 from innkeep.sources.tables import read_table
+from innkeep.streaming.landing import append_price_days, stream_documents
 
 _DAY1, _DAY2 = dt.date(1998, 6, 14), dt.date(1998, 6, 15)
 _RUN = dt.datetime(1998, 6, 15, 6, 0)
@@ -39,7 +43,7 @@ def publish_swap(spark, sf):
     new = _small(spark, sf)
     base = new.where("startdate < date'2001-05-01'")
     assert publish.publish(base, root)
-    assert not publish.publish(base.where("id < 0"), root)
+    assert not publish.publish(base.where("false"), root)
     shrunk = quality_gate(base.where("status_id = 4"), publish.read_published(spark, root), "price_nightly")
     assert not publish.publish_if(shrunk, base.where("status_id = 4"), root)
     gate = quality_gate(new, publish.read_published(spark, root), "price_nightly")
@@ -80,7 +84,7 @@ def snapshot_replace_day(spark, sf):
     snapshots.snapshot_replace(rows, path, _DAY1)
     snapshots.snapshot_replace(rows.where("status_id = 4"), path, _DAY2)
     snapshots.snapshot_replace(rows.where("status_id in (5, 8)"), path, _DAY2)
-    snapshots.snapshot_replace(rows.where("id < 0"), path, _DAY1)
+    snapshots.snapshot_replace(rows.where("false"), path, _DAY1)
     return spark.read.parquet(path)
 
 
@@ -216,12 +220,53 @@ def landed_documents(spark, sf):
 def landed_pages(spark, sf):
     """Response files written and read back whole, pages unwrapped."""
     path = scratch_path(spark, "pages")
-    # a page per day and unit stays far below the API's page size
-    from innkeep.domain.queries_documents import _pages
-
     first = _pages(spark, sf).where("page < 100000000").select("body")
     first.write.text(path)
     pages = spark.read.text(path).select(F.col("value").alias("body"), F.monotonically_increasing_id().alias("page"))
     records = documents.page_reservations(pages, "body", "page")
     managers = V.units(spark, sf).select(F.col("id").cast("string").alias("unit_id"), "manager")
     return records.join(managers, "unit_id").groupBy("manager").agg(F.count(F.lit(1)).alias("reservations"))
+
+
+@query(
+    "",
+    """SELECT l_orderkey AS reservation_id, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS price,
+           l_returnflag AS season, 'main office' AS manager
+    FROM lineitem""",
+)
+def price_days_stream(spark, sf):
+    """Landed price documents streamed into a table in two runs; files already
+    taken are not taken again."""
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "prices", "offsets"))
+    items = spread(V.table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+    day = F.struct(
+        F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_returnflag").alias("season"),
+    )
+    doc = F.struct(F.col("l_orderkey").alias("reservation_id"), F.array(day).alias("reservation_days"))
+    lines = items.select("l_linestatus", F.to_json(F.struct(doc.alias("data"))).alias("value"))
+    for status in ("F", "O"):
+        lines.where(F.col("l_linestatus") == status).select("value").write.mode("append").text(landing)
+        docs = stream_documents(spark, landing, whole_files=False)
+        append_price_days(docs, F.lit("main office"), table, checkpoint).awaitTermination()
+    return spark.read.parquet(table).select("reservation_id", "date", "price", "season", "manager")
+
+
+@query(
+    "",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS __col_3,
+           CASE WHEN c_acctbal > 0 THEN 'paid' ELSE '' END AS name_2
+    FROM customer""",
+)
+def reference_sheets(spark, sf):
+    """Sheets replacing their tables; an empty sheet keeps the old one."""
+    root = scratch_path(spark, "sheets")
+    grid = _grid(spark, sf)
+    header = grid.where("row_no = 1")
+    assert load_sheets({"targets": grid}, root) == {"targets": True}
+    assert load_sheets({"targets": header, "empty": header.where("false")}, root) == {
+        "targets": False,
+        "empty": False,
+    }
+    return publish.read_published(spark, f"{root}/targets")

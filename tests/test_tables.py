@@ -7,7 +7,9 @@ from innkeep.operators.quality import quality_gate
 from innkeep.session import durable, scratch_path, shared_dir, stored
 from innkeep.sinks import export, publish, snapshots, tables
 from innkeep.sources import sheets
+from innkeep.plans.sheets import reference_sheets
 from innkeep.sources.tables import counts_for_day, read_table
+from innkeep.streaming.landing import append_price_days, stream_documents
 
 DAY1, DAY2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
 
@@ -130,3 +132,23 @@ def test_durable_and_stored_hold_the_rows(spark, rows):
     assert rows(durable(df)) == rows(stored(df, "t")) == [(1,), (2,)]
     plan = durable(df.groupBy("id").count())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_sheets_replace_tables_unless_empty(spark, root, rows):
+    schema = "row_no int, cells array<string>"
+    sheet = spark.createDataFrame([(1, ["id", "v"]), (2, ["1"])], schema)
+    assert reference_sheets({"a": sheet}, root) == {"a": True}
+    assert reference_sheets({"a": sheet.where("row_no = 1")}, root) == {"a": False}
+    assert rows(publish.read_published(spark, root + "/a")) == [("1", "")]
+
+
+def test_stream_takes_each_file_once(spark, tmp_path, rows):
+    landing, table, offsets = (str(tmp_path / n) for n in ("landing", "table", "offsets"))
+    body = '{"data": {"reservation_id": %d,\n "reservation_days": [{"date": "13/04/2025", "price": "5"}]}}'
+    (tmp_path / "landing").mkdir()
+    for run in (1, 2):
+        (tmp_path / "landing" / f"{run}.json").write_text(body % run)
+        docs = stream_documents(spark, landing)
+        append_price_days(docs, F.lit("m"), table, offsets).awaitTermination()
+        got = spark.read.parquet(table)
+        assert rows(got, "reservation_id", "date", "price") == [(n, dt.date(2025, 4, 13), 5.0) for n in range(1, run + 1)]
