@@ -180,7 +180,7 @@ def date_parts(spark, sf):
     start = F.col("startdate")
     first = D.month_start(start)
     state = D.month_state(first, V.AS_OF)
-    return V.reservations(spark, sf).select(
+    return V.bookings(spark, sf).select(
         "id",
         F.year(start).alias("year"),
         F.month(start).alias("month"),
@@ -218,7 +218,7 @@ def date_parts(spark, sf):
 def lead_time_bands(spark, sf):
     """Lead-time and stay-length bands."""
     lead = F.when(F.col("status_id") != 8, F.datediff("enddate", "creation_date"))
-    return V.reservations(spark, sf).select(
+    return V.bookings(spark, sf).select(
         "id",
         lead.alias("lead"),
         N.lead_band(lead).alias("lead_band"),
@@ -237,7 +237,7 @@ def lead_time_bands(spark, sf):
 def nightly_rate(spark, sf):
     """Total divided by nights, to the cent; NULL without nights."""
     nights = F.col("days_number") - 1
-    return V.reservations(spark, sf).select(
+    return V.bookings(spark, sf).select(
         "id", nights.alias("nights"), N.nightly_rate("price_nightly", nights).alias("rate")
     )
 
@@ -407,7 +407,7 @@ def conform_columns(spark, sf):
 )
 def remap_and_patch(spark, sf):
     """Mirror units to main units, corrected booking dates, value by list."""
-    rows = V.reservations(spark, sf).select("id", "unit_id", "creation_date", "type_name")
+    rows = V.bookings(spark, sf).select("id", "unit_id", "creation_date", "type_name")
     rows = C.remap(rows, "unit_id", V.mirror_units(spark, sf))
     rows = C.patch(rows, "id", "creation_date", V.booking_patches(spark, sf))
     rows = rows.withColumn("service", F.lit("normal"))
@@ -425,7 +425,7 @@ def filtered_reservations(spark, sf):
     import datetime as dt
 
     return (
-        V.reservations(spark, sf)
+        V.bookings(spark, sf)
         .where(
             R.not_in("status_id", [4, 6])
             & R.overlaps("startdate", "enddate", dt.date(1998, 1, 1), dt.date(1998, 12, 31))

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from innkeep.domain import views as V
 from innkeep.domain.registry import query
 from innkeep.operators import cleaning as C, nested as N
-from innkeep.operators.stays import spread
 from innkeep.plans import occupancy, rates, reservations as RP
 from innkeep.session import stored
 from innkeep.sources.sheets import grid_ids, read_grid
@@ -20,11 +19,11 @@ from innkeep.sources.sheets import grid_ids, read_grid
 def _bookings(spark, sf) -> DataFrame:
     """Reservations over all tasks: building documents is the slow part, and the
     test tables come as one file each."""
-    return spread(V.reservations(spark, sf), "id")
+    return V.bookings(spark, sf).repartition("id")
 
 
 def _items(spark, sf) -> DataFrame:
-    return spread(V.table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+    return V.table(spark, sf, "lineitem").repartition("l_orderkey", "l_partkey")
 
 
 def _us(c: str) -> Column:
@@ -544,7 +543,7 @@ def referrers(spark, sf):
     body = F.when(F.col("type_name") == "1-URGENT", '{"data": {"reservation": []}}').otherwise(
         F.to_json(F.struct(F.struct(info.alias("reservation")).alias("data")))
     )
-    docs = _bookings(spark, sf).select("manager", body.alias("body"))
+    docs = V.reservations(spark, sf).select("manager", body.alias("body"))
     return rates.referrers(stored(docs, "infos"), V.load_time())[0]
 
 

@@ -40,7 +40,7 @@ from innkeep.session import stored
 def monthly_occupancy(spark, sf):
     """Occupied days and rate of every unit and month."""
     units = V.units(spark, sf).select(F.col("id").alias("unit_id"), "renting_type")
-    return occupancy.monthly_occupancy(V.reservations(spark, sf), units, V.YEARS, V.AS_OF)
+    return occupancy.monthly_occupancy(V.bookings(spark, sf), units, V.YEARS, V.AS_OF)
 
 
 _DAILY = """WITH stays AS (
@@ -65,7 +65,7 @@ def _houses(spark, sf):
 @query("units reservations", _DAILY.format(lo="startdate", hi="enddate", where="true"))
 def daily_occupancy(spark, sf):
     """One row per unit, confirmation and occupied day, over all years."""
-    return occupancy.daily_occupancy(V.reservations(spark, sf), _houses(spark, sf), V.YEARS)
+    return occupancy.daily_occupancy(V.bookings(spark, sf), _houses(spark, sf), V.YEARS)
 
 
 @query(
@@ -81,7 +81,7 @@ def daily_occupancy_clipped(spark, sf):
     import datetime as dt
 
     year = (dt.date(1998, 1, 1), dt.date(1998, 12, 31))
-    return occupancy.daily_occupancy(V.reservations(spark, sf), _houses(spark, sf), 1998, clip=year)
+    return occupancy.daily_occupancy(V.bookings(spark, sf), _houses(spark, sf), 1998, clip=year)
 
 
 def calendar_of(spark, sf):

@@ -10,7 +10,6 @@ from innkeep.domain import views as V
 from innkeep.domain.registry import query
 from innkeep.functions import text as X
 from innkeep.operators import numbering, rows as R
-from innkeep.operators.stays import spread
 from innkeep.plans import operations as O
 from innkeep.session import stored
 
@@ -50,7 +49,7 @@ def _housekeeping_docs(spark, sf) -> DataFrame:
     body = F.format_string(
         '{"data": [{"result_id": "1", "past_count": "0", "reservations": {"reservation": [%s]}}]}', records
     )
-    return stored(spread(V.reservations(spark, sf), "id").select(body.alias("body")), "housekeeping")
+    return stored(V.bookings(spark, sf).repartition("id").select(body.alias("body")), "housekeeping")
 
 
 _FLAGS = """CASE type_name WHEN '1-URGENT' THEN maketype_description || ' (1-URGENT), VIP'
@@ -104,7 +103,7 @@ def _board(spark, sf) -> DataFrame:
     rows = O.with_flags(O.housekeeping_rows(_housekeeping_docs(spark, sf)))
     return O.housekeeping_board(
         rows,
-        V.reservations(spark, sf).select("confirmation_id", "type_name"),
+        V.bookings(spark, sf).select("confirmation_id", "type_name"),
         V.units(spark, sf),
         "Cleaning and laundry",
         ["House seven"],
@@ -184,7 +183,7 @@ def _info_docs(spark, sf) -> DataFrame:
         F.col("last_name"),
         fields.alias("additional_fields"),
     )
-    docs = spread(V.reservations(spark, sf), "id").select(
+    docs = V.bookings(spark, sf).repartition("id").select(
         "confirmation_id",
         F.to_json(F.struct(F.struct(info.alias("reservation")).alias("data"))).alias("body"),
     )
@@ -202,7 +201,7 @@ _ARRIVALS = """SELECT startdate, 'Unit ' || unit_id AS unit_name,
 
 def _arrivals(spark, sf, as_of):
     sheet = O.arrivals_sheet(
-        V.reservations(spark, sf), _info_docs(spark, sf), as_of, "Lock Code", "with code", "without code"
+        V.bookings(spark, sf), _info_docs(spark, sf), as_of, "Lock Code", "with code", "without code"
     )
     return O.by_arrival(sheet)
 

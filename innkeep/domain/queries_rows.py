@@ -74,7 +74,7 @@ def pending_units(spark, sf):
     """Rented-out units not loaded yet (one anti join)."""
     from innkeep.plans.rates import pending_targets
 
-    loaded = V.reservations(spark, sf).where("startdate >= date'2001-01-01'")
+    loaded = V.bookings(spark, sf).where("startdate >= date'2001-01-01'")
     return pending_targets(
         V.listed_units(spark, sf), loaded.select(F.col("unit_id").alias("id_unit"))
     )
@@ -88,7 +88,7 @@ def pending_units(spark, sf):
 )
 def next_pending_units(spark, sf):
     """The next batch of pending units in priority order (a top-k)."""
-    loaded = V.reservations(spark, sf).where("startdate >= date'2001-01-01'")
+    loaded = V.bookings(spark, sf).where("startdate >= date'2001-01-01'")
     done = loaded.select(F.col("unit_id").alias("id"))
     units = V.listed_units(spark, sf)
     return R.next_pending(units, done, ["id"], 25, [F.desc("balance"), "id"]).select("id", "manager")
@@ -101,7 +101,7 @@ def next_pending_units(spark, sf):
 )
 def prices_of_active(spark, sf):
     """Detail rows of a key set, by semi join instead of key batches."""
-    keys = V.reservations(spark, sf).where(F.col("status_id").isin(4, 5, 6, 7))
+    keys = V.bookings(spark, sf).where(F.col("status_id").isin(4, 5, 6, 7))
     prices = V.price_days(spark, sf).select("reservation_id", "date", "price")
     return R.only_keys(prices, keys.select(F.col("id").alias("reservation_id")), ["reservation_id"])
 
@@ -140,7 +140,7 @@ def two_calendars(spark, sf):
     from innkeep.domain.queries_marts import calendar_of
 
     calendar = calendar_of(spark, sf)
-    rows = V.reservations(spark, sf).select("id", "creation_date", "startdate")
+    rows = V.bookings(spark, sf).select("id", "creation_date", "startdate")
     rows = J.lookup(
         rows,
         calendar,
@@ -162,7 +162,7 @@ def two_calendars(spark, sf):
 )
 def reservation_details(spark, sf):
     """Left join of a one-to-many detail."""
-    heads = V.reservations(spark, sf).select("id")
+    heads = V.bookings(spark, sf).select("id")
     return J.left_details(
         heads, V.price_days(spark, sf), {"id": "reservation_id"}, {"date": "date", "price": "price"}
     )
@@ -237,7 +237,7 @@ def quality_gate(spark, sf):
     """Checks of a load against the published table, in one pass over both."""
     from innkeep.plans.reservations import reservation_quality_gate
 
-    new = V.reservations(spark, sf)
+    new = V.bookings(spark, sf)
     return reservation_quality_gate(new, new.where("startdate < date'2001-05-01'"))
 
 
@@ -275,7 +275,7 @@ def day_count(spark, sf):
 )
 def distinct_counts(spark, sf):
     """Exact distinct counts and the longest text."""
-    return V.reservations(spark, sf).agg(
+    return V.bookings(spark, sf).agg(
         F.count_distinct("confirmation_id").alias("reservations"),
         F.count_distinct("unit_id").alias("units"),
         F.max(F.length("email")).alias("longest_email"),
@@ -340,7 +340,7 @@ def column_profile(spark, sf):
 )
 def sorted_by_arrival(spark, sf):
     """Sort by arrival."""
-    return V.reservations(spark, sf).select("id", "unit_id", "startdate").orderBy("startdate", "id")
+    return V.bookings(spark, sf).select("id", "unit_id", "startdate").orderBy("startdate", "id")
 
 
 @query(
@@ -350,7 +350,7 @@ def sorted_by_arrival(spark, sf):
 )
 def drop_clashing(spark, sf):
     """Columns of the right side that the left already has are dropped."""
-    rows = V.reservations(spark, sf)
+    rows = V.bookings(spark, sf)
     left = rows.select(F.col("id").alias("id_a"), "startdate", "unit_id")
     right = rows.select(
         F.col("id").alias("reservation_id"), F.col("enddate").alias("StartDate"), "unit_id"
@@ -384,7 +384,7 @@ def relative_to_today(spark, sf):
     """As-of comparisons, report window and price horizon."""
     lo, hi = D.report_window(V.AS_OF)
     start, today = F.col("startdate"), F.lit(V.AS_OF)
-    return V.reservations(spark, sf).select(
+    return V.bookings(spark, sf).select(
         "id",
         (start >= today).alias("upcoming"),
         (start > today).alias("later"),

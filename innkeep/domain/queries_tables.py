@@ -13,7 +13,6 @@ from innkeep.domain.queries_documents import _grid, _pages
 from innkeep.domain.registry import query
 from innkeep.operators.nested import split_documents
 from innkeep.operators.quality import quality_gate
-from innkeep.operators.stays import spread
 from innkeep.plans.sheets import reference_sheets as load_sheets
 from innkeep.session import scratch_path
 from innkeep.sinks import export, publish, snapshots, tables
@@ -26,7 +25,7 @@ _RUN = dt.datetime(1998, 6, 15, 6, 0)
 
 
 def _small(spark, sf):
-    return V.reservations(spark, sf).select("id", "unit_id", "status_id", "startdate", "price_nightly")
+    return V.bookings(spark, sf).select("id", "unit_id", "status_id", "startdate", "price_nightly")
 
 
 _COLUMNS = "id, unit_id, status_id, startdate, price_nightly"
@@ -154,7 +153,7 @@ def evolved_table(spark, sf):
 def export_text(spark, sf):
     """Text export with formatted dates, from today on, read back."""
     path = scratch_path(spark, "export")
-    rows = V.reservations(spark, sf).select(
+    rows = V.bookings(spark, sf).select(
         "id", "startdate", F.when(F.col("status_id") != 8, F.col("enddate")).alias("enddate"), "type_name"
     )
     export.export_text(rows, path, ["startdate", "enddate"], V.AS_OF)
@@ -238,7 +237,7 @@ def price_days_stream(spark, sf):
     """Landed price documents streamed into a table in two runs; files already
     taken are not taken again."""
     landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "prices", "offsets"))
-    items = spread(V.table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+    items = V.table(spark, sf, "lineitem").repartition("l_orderkey", "l_partkey")
     day = F.struct(
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"),
         F.col("l_extendedprice").alias("price"),

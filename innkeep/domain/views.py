@@ -66,39 +66,42 @@ def unit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
-def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reservations: one row per order, with the manager of its unit."""
+def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservations without their manager: one row per order."""
     key = F.col("o_orderkey")
     start = F.col("o_orderdate").cast("date")
     status = F.expr("case o_orderstatus when 'F' then 4 when 'O' then 5 else 8 end")
-    managers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return (
-        table(spark, sf_dir, "orders")
-        .join(managers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select(
-            key.alias("id"),
-            key.alias("confirmation_id"),
-            F.col("o_custkey").alias("unit_id"),
-            (F.col("o_custkey") + 1000).alias("client_id"),
-            (1 + key % 8).alias("occupants"),
-            (key % 3).alias("occupants_small"),
-            F.concat(F.lit("guest"), key.cast("string"), F.lit("@example.com")).alias("email"),
-            F.lit("Guest").alias("first_name"),
-            key.cast("string").alias("last_name"),
-            (1 + key % 9).alias("days_number"),
-            F.col("o_orderstatus").alias("maketype_description"),
-            F.col("o_orderpriority").alias("type_name"),
-            status.cast("bigint").alias("status_code"),
-            status.cast("bigint").alias("status_id"),
-            F.col("o_totalprice").alias("price_nightly"),
-            F.col("o_totalprice").alias("price_total"),
-            F.date_sub(start, (key % 200).cast("int")).alias("creation_date"),
-            start.alias("startdate"),
-            F.date_add(start, (1 + key % 9).cast("int")).alias("enddate"),
-            start.alias("last_updated"),
-            F.col("c_mktsegment").alias("manager"),
-        )
+    return table(spark, sf_dir, "orders").select(
+        key.alias("id"),
+        key.alias("confirmation_id"),
+        F.col("o_custkey").alias("unit_id"),
+        (F.col("o_custkey") + 1000).alias("client_id"),
+        (1 + key % 8).alias("occupants"),
+        (key % 3).alias("occupants_small"),
+        F.concat(F.lit("guest"), key.cast("string"), F.lit("@example.com")).alias("email"),
+        F.lit("Guest").alias("first_name"),
+        key.cast("string").alias("last_name"),
+        (1 + key % 9).alias("days_number"),
+        F.col("o_orderstatus").alias("maketype_description"),
+        F.col("o_orderpriority").alias("type_name"),
+        status.cast("bigint").alias("status_code"),
+        status.cast("bigint").alias("status_id"),
+        F.col("o_totalprice").alias("price_nightly"),
+        F.col("o_totalprice").alias("price_total"),
+        F.date_sub(start, (key % 200).cast("int")).alias("creation_date"),
+        start.alias("startdate"),
+        F.date_add(start, (1 + key % 9).cast("int")).alias("enddate"),
+        start.alias("last_updated"),
+    )
+
+
+def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservations with the manager of their unit."""
+    managers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("_unit"), F.col("c_mktsegment").alias("manager")
     )
+    rows = bookings(spark, sf_dir)
+    return rows.join(managers, rows["unit_id"] == F.col("_unit"), "left").drop("_unit")
 
 
 def price_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +188,7 @@ def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adjusted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjusted day of each arrival date: the latest booking made for it."""
     return (
-        reservations(spark, sf_dir)
+        bookings(spark, sf_dir)
         .groupBy("startdate")
         .agg(F.max("creation_date").alias("adjusted_day"))
         .select(F.date_format("startdate", "dd-MM-yyyy").alias("day_text"), "adjusted_day")
@@ -241,7 +244,7 @@ def board_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yesterday's board: reservations in status 4 or 5, some keys with ``.0``."""
     suffix = F.when(F.col("type_name") == "1-URGENT", ".0").otherwise("")
     return _board(
-        reservations(spark, sf_dir).where("status_id in (4, 5)"),
+        bookings(spark, sf_dir).where("status_id in (4, 5)"),
         reservation=F.concat(F.col("id").cast("string"), suffix),
     )
 
@@ -255,7 +258,7 @@ def board_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     moved_unit = F.col("unit_id") + F.when(F.col("type_name") == "5-LOW", 1).otherwise(0)
     return _board(
-        reservations(spark, sf_dir).where("status_id in (5, 8)"),
+        bookings(spark, sf_dir).where("status_id in (5, 8)"),
         unit=F.concat(F.lit("Unit "), moved_unit.cast("string")),
         check_in_date=later("3-MEDIUM", "startdate", 1),
         next_arrival=later("2-HIGH", "enddate", 2, 3),

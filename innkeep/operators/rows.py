@@ -73,8 +73,8 @@ def union_ragged(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def in_both(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows present in both."""
-    return a.intersect(b)
+    """Distinct rows present in both.  Copies are dropped before the rows meet."""
+    return a.distinct().intersect(b.distinct())
 
 
 def not_in_other(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
