@@ -98,8 +98,17 @@ def first_sale(sold: DataFrame, keys: Sequence[str], booked: str, day: str) -> D
 def join_ordered(
     df: DataFrame, keys: Sequence[str], text: str, pos: Sequence[str], alias: str, sep: str = ", "
 ) -> DataFrame:
-    """Texts of each key joined in ``pos`` order."""
-    listed = F.expr(
-        f"listagg({text}, '{sep}') within group (order by {', '.join(pos)})"
-    )
-    return df.groupBy(*keys).agg(listed.alias(alias))
+    """Texts of each key joined in ``pos`` order, NULL texts left out.
+
+    With several ordering columns, rows that share the first one are joined
+    first: they are neighbours in the result, and a key with very many rows is
+    worked on in parts before its one text is put together."""
+
+    def listed(column: str, order: Sequence[str], name: str) -> Column:
+        by = ", ".join(order)
+        return F.expr(f"listagg({column}, '{sep}') within group (order by {by})").alias(name)
+
+    if len(pos) == 1:
+        return df.groupBy(*keys).agg(listed(text, pos, alias))
+    parts = df.groupBy(*keys, pos[0]).agg(listed(text, pos[1:], "_part"))
+    return parts.groupBy(*keys).agg(listed("_part", pos[:1], alias))

@@ -118,6 +118,14 @@ def test_join_ordered(spark, rows):
     assert rows(R.join_ordered(df, ["k"], "t", ["p"], "out")) == [(1, "a, b"), (2, "c")]
 
 
+def test_join_ordered_in_parts(spark, rows):
+    df = spark.createDataFrame(
+        [(1, 2, 1, "d"), (1, 1, 2, "b"), (1, 1, 1, "a"), (1, 2, 0, "c"), (1, 3, 0, None), (2, 1, 1, None)],
+        "k int, p int, q int, t string",
+    )
+    assert rows(R.join_ordered(df, ["k"], "t", ["p", "q"], "out")) == [(1, "a, b, c, d"), (2, None)]
+
+
 def test_numbering_is_gap_free_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), F.lit("x").alias("t"))
     numbered = numbering.number_rows(df, ["v"], start=5)
