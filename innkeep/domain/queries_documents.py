@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from innkeep.domain import views as V
 from innkeep.domain.registry import query
 from innkeep.operators import cleaning as C, nested as N
-from innkeep.plans import occupancy, rates, reservations as RP
+from innkeep.plans import dimensions, occupancy, operations, rates, reservations as RP
 from innkeep.session import stored
 from innkeep.sources.sheets import grid_ids, read_grid
 
@@ -547,6 +547,50 @@ def referrers(spark, sf):
     return rates.referrers(stored(docs, "infos"), V.load_time())[0]
 
 
+@query(
+    "units",
+    """SELECT manager, id, name, location_name, bedrooms_number, bathrooms_number, condo_type_name,
+           condo_type_group_name, CASE WHEN balance > 0 THEN max_adults END AS max_adults, renting_type,
+           TIMESTAMP '1998-06-15 02:00:00' AS load_time
+    FROM units""",
+)
+def property_list(spark, sf):
+    """Property responses as a typed list with manager and load time."""
+    fields = [
+        "name", "location_name", "condo_type_name", "condo_type_group_name", "renting_type",
+    ]
+    item = F.struct(
+        F.col("id").cast("string").alias("id"),
+        F.col("bedrooms_number").cast("double").cast("string").alias("bedrooms_number"),
+        F.col("bathrooms_number"),
+        F.when(F.col("balance") > 0, F.col("max_adults").cast("string")).otherwise("many").alias("max_adults"),
+        *fields,
+    )
+    body = F.to_json(F.struct(F.struct(F.array(item).alias("property")).alias("data")))
+    docs = stored(V.units(spark, sf).select("manager", body.alias("body")), "properties")
+    return dimensions.property_list(docs, V.load_time())
+
+
+@query(
+    "work_orders",
+    """SELECT DISTINCT id, unit_name, title, processor_name, status_name FROM work_orders
+    WHERE status_name <> 'status es'""",
+)
+def work_order_rows(spark, sf):
+    """Work orders out of responses; one status has none, one repeats them."""
+    order = F.struct("id", "unit_name", "title", "processor_name", "status_name")
+    twice = F.when(F.col("status_name") == "status fr", F.array(order, order)).otherwise(F.array(order))
+    none = F.filter(F.array(order), lambda _: F.lit(False))
+    orders = F.when(F.col("status_name") == "status es", none).otherwise(twice)
+    body = F.to_json(
+        F.struct(F.struct(F.struct(orders.alias("maintenance")).alias("maintenances")).alias("data"))
+    )
+    docs = stored(V.work_orders(spark, sf).select(body.alias("body")), "orders")
+    return operations.work_order_rows(docs).select(
+        "id", "unit_name", "title", "processor_name", "status_name"
+    )
+
+
 # -- grids ------------------------------------------------------------------------------
 
 

@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from innkeep import schemas
 from innkeep.functions import dates as D
+from innkeep.functions.numbers import to_number
 from innkeep.operators.joins import lookup
 from innkeep.operators.rows import latest_row, pending, union_distinct
 from innkeep.operators.stays import unit_date_spine as spine
@@ -57,6 +59,19 @@ def calendar(
     )
 
 
+def property_list(docs: DataFrame, load_time: Column, body: str = "body") -> DataFrame:
+    """Properties of each manager's response (manager, body), typed, with their
+    load time; appended loads make up the history of the house dimension."""
+    rows = docs.select(
+        "manager",
+        F.inline(F.from_json(body, schemas.PROPERTIES_DOC).getField("data").getField("property")),
+    )
+    whole = ("id", "bedrooms_number", "bathrooms_number", "max_adults")
+    return rows.withColumns(
+        {**{c: to_number(c, "bigint") for c in whole}, "load_time": load_time}
+    )
+
+
 def spine_units(properties: DataFrame, reservations: DataFrame) -> DataFrame:
     """Distinct (id, manager) of rented-out properties and of reservations."""
     listed = properties.where(F.col("renting_type") == RENTING).select("id", "manager")

@@ -207,6 +207,13 @@ def by_arrival(sheet: DataFrame) -> DataFrame:
     return sheet.orderBy("startdate", "unit_name", "client_name")
 
 
+def work_order_rows(docs: DataFrame, body: str = "body") -> DataFrame:
+    """Work orders of landed responses, one response per status, without repeats."""
+    doc = F.from_json(body, schemas.WORK_ORDERS_DOC).getField("data")
+    orders = doc.getField("maintenances").getField("maintenance")
+    return docs.select(F.inline(orders)).distinct()
+
+
 def work_order_triage(
     orders: DataFrame,
     known_ids: DataFrame,

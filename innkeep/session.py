@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Spark decides broadcasts by size (static or, with AQE, measured) and splits
 # skewed shuffle partitions at run time, also where that costs one more shuffle.
+# Joins whose measured build partitions are small are hashed instead of sorted.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }

@@ -224,3 +224,11 @@ def test_referrers(spark, rows):
 def test_union_existing(spark, rows):
     a, b = spark.sql("select 1 as id, 'x' as title"), spark.sql("select 1 as id, 'x' as title, 2 as other")
     assert rows(documents.union_existing([a, b], ["title", "id", "none"])) == [("x", 1)]
+
+
+def test_lists_of_several_folders_in_one_scan(spark, tmp_path):
+    for status in ("open", "done"):
+        (tmp_path / status).mkdir()
+        (tmp_path / status / "a.json").write_text(json.dumps({"data": {"maintenances": {"maintenance": [{"id": status}]}}}, indent=1))
+    df = documents.read_json_lists(spark, [str(tmp_path / s) for s in ("open", "done")], schemas.WORK_ORDERS_DOC)
+    assert sorted(r.id for r in df.select(F.inline("data.maintenances.maintenance")).collect()) == ["done", "open"]

