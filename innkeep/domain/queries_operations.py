@@ -156,6 +156,24 @@ def snapshot_changes(spark, sf):
     return O.housekeeping_changes(V.board_current(spark, sf), V.board_previous(spark, sf), V.AS_OF)
 
 
+@query(
+    "board_previous",
+    """SELECT reservation || CASE WHEN reservation IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders
+                                  WHERE o_orderpriority = '1-URGENT') THEN '.0' ELSE '' END AS reservation,
+           unit, check_in_date, check_out_date, next_arrival, cleaning_date
+    FROM board_previous""",
+)
+def board_sheet(spark, sf):
+    """Yesterday's board written to its sheet as text and read back as a grid."""
+    sheet = O.board_to_sheet(V.board_previous(spark, sf))
+    cells = F.array(*[F.col(f"`{c}`") for c in sheet.columns])
+    header = spark.range(1).select(
+        F.lit(0).cast("bigint").alias("row_no"), F.array(*[F.lit(c) for c in sheet.columns]).alias("cells")
+    )
+    body = numbering.number_rows(sheet, ["Reservation #"]).select("row_no", cells.alias("cells"))
+    return O.board_from_sheet(header.unionByName(body))
+
+
 # -- arrivals --------------------------------------------------------------------
 
 _FRIDAY = dt.date(1998, 6, 19)

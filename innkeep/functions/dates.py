@@ -31,6 +31,8 @@ TIMESTAMP_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
     "M/d/yyyy H:mm:ss",
     "M/d/yyyy H:mm",
+    "M/d/yyyy h:mm:ss a",
+    "M/d/yyyy h:mm a",
     "M/d/yyyy",
     "yyyy-MM-dd",
 )

@@ -16,6 +16,8 @@ from innkeep.operators.cleaning import set_where_in
 from innkeep.operators.columns import conform, map_columns
 from innkeep.operators.joins import lookup
 from innkeep.operators.rows import in_both, join_ordered, not_in, pending
+from innkeep.sinks.export import as_text
+from innkeep.sources.sheets import read_grid
 
 # Board columns and where they come from (None stays empty).
 BOARD = {
@@ -38,6 +40,27 @@ BOARD = {
     "staff": None,
 }
 
+# Titles of the board's columns on its sheet.
+BOARD_TITLES = {
+    "cleaning_date": "Cleaning Date",
+    "cleaning_type": "Cleaning Type",
+    "reservation": "Reservation #",
+    "flags": "Flags",
+    "res_type": "Res Type",
+    "unit": "Unit",
+    "cleaning_event": "Cleaning Event",
+    "unit_status": "Unit Status",
+    "check_in_date": "Check-In Date",
+    "check_out_date": "Check-Out Date",
+    "next_arrival": "Next Arrival",
+    "next_arrival_type": "Next Arrival Type",
+    "next_arrival_flags": "Next Arrival Flags",
+    "night_gap": "Night Gap",
+    "service_name": "Service name",
+    "note": "Observacao",
+    "staff": "Staff",
+}
+
 # Statuses that do not arrive.
 NO_ARRIVAL = (6, 8, 10, 1)
 
@@ -129,6 +152,24 @@ def housekeeping_board(
     return set_where_in(dated, "unit", special_units, "service_name", special_service)
 
 
+def board_to_sheet(board: DataFrame) -> DataFrame:
+    """The board as text under its sheet titles."""
+    text = as_text(board, schemas.BOARD_DATES)
+    return text.withColumnsRenamed({n: t for n, t in BOARD_TITLES.items() if n in text.columns})
+
+
+def board_from_sheet(grid: DataFrame) -> DataFrame | None:
+    """A stored board back from its sheet (row_no, cells): titled columns only,
+    dates read day-first, blank texts as they are.  None for an empty sheet."""
+    table = read_grid(grid)
+    if table is None:
+        return None
+    names = {title: name for name, title in BOARD_TITLES.items()}
+    board = table.select(*[F.col(f"`{c}`").alias(names[c]) for c in table.columns if c in names])
+    dates = [c for c in schemas.BOARD_DATES if c in board.columns]
+    return board.withColumns({c: D.parse_date_day_first(c) for c in dates})
+
+
 def housekeeping_changes(current: DataFrame, previous: DataFrame, as_of: dt.date) -> DataFrame:
     """Changed and cancelled cleanings between two boards, with a message each."""
     fields = ["check_in_date", "check_out_date", "next_arrival", "cleaning_date", "unit"]

@@ -79,6 +79,8 @@ def test_zone_letters(value, raw, text):
         ("2025-01-02 10:00:00.900", dt.datetime(2025, 1, 2, 7, 0)),
         ("2025-01-02T10:00:00Z", dt.datetime(2025, 1, 2, 7, 0)),
         ("1/2/2025 9:05", dt.datetime(2025, 1, 2, 6, 5)),
+        ("1/2/2025 9:05 PM", dt.datetime(2025, 1, 2, 18, 5)),
+        ("01/02/2025 09:05:06 PM EST", dt.datetime(2025, 1, 2, 23, 5, 6)),
         ("2025-01-02", dt.datetime(2025, 1, 1, 21, 0)),
         ("01/02/2025 10:00:00 XYZ", None),
         ("soon", None),

@@ -135,6 +135,17 @@ def test_empty_boards(spark, as_of):
     assert O.housekeeping_changes(none, some, as_of).first().change == "cancelled"
 
 
+def test_board_survives_its_sheet(spark, as_of, rows):
+    before = board(spark, ("1.0", "A", 1, 20, None, 20))
+    sheet = O.board_to_sheet(before)
+    assert sheet.columns[:2] == ["Reservation #", "Unit"]
+    grid = [(0, [*sheet.columns, "Extra"]), (1, [*sheet.first(), "x"]), (2, ["2", "B", "soon"])]
+    back = O.board_from_sheet(spark.createDataFrame(grid, "row_no int, cells array<string>"))
+    assert back.columns == before.columns
+    assert rows(back) == [("1.0", "A", day(1), day(20), None, day(20)), ("2", "B", None, None, None, None)]
+    assert O.board_from_sheet(spark.createDataFrame([], "row_no int, cells array<string>")) is None
+
+
 def test_boards_are_shuffled_once(spark, as_of):
     some = board(spark, ("1", "A", 1, 20, 25, 20))
     plan = O.housekeeping_changes(some, some, as_of)._jdf.queryExecution().executedPlan().toString()

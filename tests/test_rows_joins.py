@@ -139,3 +139,67 @@ def test_number_after_skips_blank_tail(spark, rows):
     assert rows(numbering.number_after(new, target, "row_no", "t", ["v"]), "v", "row_no") == [("x", 3), ("y", 4)]
     assert rows(numbering.number_after(new, target.where("false"), "row_no", "t", ["v"]), "row_no") == [(1,), (2,)]
     assert numbering.number_after(new.where("false"), target, "row_no", "t", ["v"]).isEmpty()
+
+
+def copies(spark):
+    """A third of the rows are copies of one row."""
+    return spark.range(9000).select(
+        F.when(F.col("id") < 3000, 7).otherwise(F.col("id") % 500).alias("k"),
+        F.when(F.col("id") < 3000, 1).otherwise(F.col("id") % 3).alias("t"),
+    )
+
+
+def test_hot_copies_in_sets(spark, rows):
+    df = copies(spark)
+    want = {(7, 1)} | {(i % 500, i % 3) for i in range(3000, 9000)}
+    assert rows(R.union_distinct([df, df])) == sorted(want, key=repr)
+    other = df.where("k < 10")
+    assert rows(R.in_both(df, other)) == sorted((w for w in want if w[0] < 10), key=repr)
+    assert R.pending(df, other, ["k"]).count() == sum(1 for i in range(3000, 9000) if i % 500 >= 10)
+    plan = R.in_both(df, other)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "HashAggregate" in below
+
+
+def test_hot_key_first_row(spark, rows):
+    df = spark.range(9000).select(
+        F.when(F.col("id") < 3000, 7).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v")
+    )
+    first = {7: 0}
+    for i in range(3000, 9000):
+        first[i % 500] = min(first.get(i % 500, i), i)
+    assert rows(R.first_by(df, ["k"], ["v"])) == sorted(first.items(), key=repr)
+
+
+def test_numbering_with_a_hot_order_value(spark):
+    df = copies(spark).withColumn("id", F.monotonically_increasing_id())
+    got = sorted((r.k, r.id, r.row_no) for r in numbering.number_rows(df, ["k", "id"]).collect())
+    assert [n for _, _, n in got] == list(range(1, 9001))
+
+
+def test_chained_lookups_on_a_hot_key(spark):
+    """Both joins share a key, so splitting it takes one more shuffle."""
+    hot = spark.range(60_000).select(
+        F.when(F.col("id") < 20_000, 7).otherwise(F.col("id") % 300).alias("k"), F.col("id").alias("v")
+    )
+    dim = spark.range(200).select(F.col("id"), (F.col("id") * 2).alias("a"), (F.col("id") * 3).alias("b"))
+    settings = {
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        first = J.lookup(hot, dim, {"k": "id"}, {"a": "a"})
+        got = J.lookup(first, dim, {"k": "id"}, {"b": "b"})
+        found = sorted((r.v, r.k, r.a, r.b) for r in got.collect())
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    keys = [7 if i < 20_000 else i % 300 for i in range(60_000)]
+    assert found == [(i, k, k * 2, k * 3) if k < 200 else (i, k, None, None) for i, k in enumerate(keys)]
+    assert "skew=true" in plan
