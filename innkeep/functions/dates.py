@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from innkeep.functions import as_col
+
 # Zone abbreviations understood in source timestamps.
 ZONE_OFFSETS = {
     "EST": "-05:00", "EDT": "-04:00",
@@ -49,10 +51,6 @@ REPORT_DAYS_FORWARD = 85
 PRICE_DAYS_FORWARD = 547
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _day_or_month_first(c: Column, sep: str) -> Column:
     day_first = F.substring_index(c, sep, 1).try_cast("int") > 12
     return F.when(day_first, F.try_to_date(c, f"dd{sep}MM{sep}yyyy")).otherwise(
@@ -63,7 +61,7 @@ def _day_or_month_first(c: Column, sep: str) -> Column:
 def parse_date_flex(c: Column | str) -> Column:
     """Text to date: ``NN/NN/YYYY`` and ``NN-NN-YYYY`` are day-first only when the
     first part exceeds 12, ``YYYY-MM-DD`` is ISO, anything else is NULL."""
-    c = _col(c)
+    c = as_col(c)
     return (
         F.when(c.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), _day_or_month_first(c, "/"))
         .when(c.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
@@ -80,19 +78,19 @@ def as_date(df: DataFrame, name: str) -> Column:
 
 def parse_date(c: Column | str, fmt: str = "M/d/yyyy") -> Column:
     """Fixed-format text to date, NULL when it does not parse."""
-    return F.try_to_date(_col(c), fmt)
+    return F.try_to_date(as_col(c), fmt)
 
 
 def parse_date_day_first(c: Column | str) -> Column:
     """``d/M/yyyy`` text to date, falling back to ISO."""
-    c = _col(c)
+    c = as_col(c)
     return F.coalesce(F.try_to_date(c, "d/M/yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 def zone_to_offset(c: Column | str) -> Column:
     """Squeeze blanks and replace a trailing zone abbreviation by its offset.
     Unknown abbreviations are left in place."""
-    text = F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    text = F.trim(F.regexp_replace(as_col(c), r"\s+", " "))
     abbr = F.regexp_extract(text, r"\b([A-Z]{2,4})$", 1)
     pairs = [F.lit(v) for kv in ZONE_OFFSETS.items() for v in kv]
     offset = F.try_element_at(F.create_map(*pairs), abbr)
@@ -115,7 +113,7 @@ def to_business_time(c: Column | str, zone: str = BUSINESS_ZONE) -> Column:
     Goes through the epoch, so the session time zone does not matter."""
     utc = F.timestamp_add(
         "SECOND",
-        F.unix_seconds(_col(c)),
+        F.unix_seconds(as_col(c)),
         F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
     )
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
@@ -123,7 +121,7 @@ def to_business_time(c: Column | str, zone: str = BUSINESS_ZONE) -> Column:
 
 def strip_zone(c: Column | str) -> Column:
     """Drop trailing zone letters."""
-    return F.regexp_replace(_col(c), r"\s?[A-Z]{2,4}$", "")
+    return F.regexp_replace(as_col(c), r"\s?[A-Z]{2,4}$", "")
 
 
 def parse_local_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
@@ -135,28 +133,28 @@ def parse_local_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS)
 
 
 def month_start(c: Column | str) -> Column:
-    return F.trunc(_col(c), "MM").cast("date")
+    return F.trunc(as_col(c), "MM").cast("date")
 
 
 def days_in_month(c: Column | str) -> Column:
-    return F.day(F.last_day(_col(c)))
+    return F.day(F.last_day(as_col(c)))
 
 
 def year_month(c: Column | str) -> Column:
     """``year * 100 + month``."""
-    c = _col(c)
+    c = as_col(c)
     return F.year(c) * 100 + F.month(c)
 
 
 def month_label(c: Column | str) -> Column:
     """``MM. MMM``, e.g. ``06. Jun``."""
-    return F.date_format(_col(c), "MM. MMM")
+    return F.date_format(as_col(c), "MM. MMM")
 
 
 def month_state(first: Column | str, as_of: dt.date) -> dict[str, Column]:
     """Length, elapsed days and complete/future flags of the month that starts
     on ``first``, as seen on ``as_of``."""
-    first = _col(first)
+    first = as_col(first)
     today = F.lit(as_of)
     length = days_in_month(first)
     complete = F.last_day(first) < today
@@ -195,7 +193,7 @@ def arrival_days(as_of: dt.date) -> list[dt.date]:
 def relative_flags(adjusted: Column | str, as_of: dt.date) -> dict[str, Column]:
     """Year/month/week flags of an adjusted day against ``as_of``.  A missing day
     gives the "to go" labels.  The month flag compares the month number only."""
-    day = _col(adjusted)
+    day = as_col(adjusted)
     today = F.lit(as_of)
     ago = F.datediff(today, day)
     past = F.coalesce(day < today, F.lit(False))
@@ -210,4 +208,4 @@ def relative_flags(adjusted: Column | str, as_of: dt.date) -> dict[str, Column]:
 
 def year_label(c: Column | str, as_of: dt.date) -> Column:
     """``Y-n``, n years before ``as_of``'s year (``Y--1`` is next year)."""
-    return F.concat(F.lit("Y-"), (F.lit(as_of.year) - F.year(_col(c))).cast("string"))
+    return F.concat(F.lit("Y-"), (F.lit(as_of.year) - F.year(as_col(c))).cast("string"))

@@ -7,6 +7,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
+from innkeep.functions import as_col
+
 MONEY = "decimal(18,2)"
 
 # What a numeric column may hold as text.  Checked before the cast because the
@@ -23,13 +25,9 @@ STAY_OVER = "Acima de 15 nigths"
 NO_BAND = "-"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def to_number(c: Column | str, kind: str = "double") -> Column:
     """Text to a number, NULL when it is not one.  Whole types accept ``12.0``."""
-    text = _col(c).cast("string")
+    text = as_col(c).cast("string")
     if kind in ("int", "bigint", "tinyint", "smallint"):
         value = text.try_cast("decimal(38,6)").try_cast(kind)
     else:
@@ -39,24 +37,24 @@ def to_number(c: Column | str, kind: str = "double") -> Column:
 
 def flag_int(c: Column | str) -> Column:
     """Boolean to 0/1/NULL."""
-    return _col(c).cast("int")
+    return as_col(c).cast("int")
 
 
 def nightly_rate(total: Column | str, nights: Column | str) -> Column:
     """``total / nights`` to the cent, half away from zero; NULL without nights."""
-    total, nights = _col(total).try_cast(MONEY), _col(nights).cast("int")
+    total, nights = as_col(total).try_cast(MONEY), as_col(nights).cast("int")
     return F.when(nights > 0, F.round(total / nights, 2).cast("decimal(12,2)"))
 
 
 def occupancy_rate(days: Column | str, length: Column | str) -> Column:
     """Share of a month's days, four digits, never above 1."""
-    days, length = _col(days), _col(length)
+    days, length = as_col(days), as_col(length)
     return F.round(F.least(days, length) / length, 4)
 
 
 def drift(new: Column | str, base: Column | str) -> Column:
     """Relative change against ``base``; NULL on a zero base."""
-    new, base = _col(new), _col(base)
+    new, base = as_col(new), as_col(base)
     return F.try_divide(new - base, F.nullif(base, F.lit(0)))
 
 
@@ -80,9 +78,9 @@ def has_code(code: Column | str) -> Column:
 
 def code_or(code: Column | str, fallback: Column | str) -> Column:
     """``code#`` for a positive numeric code, else the fallback as text."""
-    code = _col(code)
+    code = as_col(code)
     return F.when(has_code(code), F.concat(code.cast("string"), F.lit("#"))).otherwise(
-        F.coalesce(_col(fallback).cast("string"), F.lit(""))
+        F.coalesce(as_col(fallback).cast("string"), F.lit(""))
     )
 
 
@@ -94,7 +92,7 @@ def band(
     null_label: str = NO_BAND,
 ) -> Column:
     """Label of the first limit that is not exceeded."""
-    c = _col(c)
+    c = as_col(c)
     out = F.when(c.isNull(), null_label)
     for limit, label in zip(limits, labels, strict=True):
         out = out.when(c <= limit, label)

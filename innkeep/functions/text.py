@@ -7,39 +7,37 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from innkeep.functions import as_col
+
 # Spaces of every kind, not only ASCII.
 _SPACE = r"(?U)\s+"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def norm_key(c: Column | str) -> Column:
     """Join key that ignores case and trailing blanks."""
-    return F.lower(F.rtrim(_col(c)))
+    return F.lower(F.rtrim(as_col(c)))
 
 
 def norm_id(c: Column | str) -> Column:
     """Identifier as trimmed text: ``123.0`` becomes ``123``, NULL becomes ``''``."""
-    text = F.trim(_col(c).cast("string"))
+    text = F.trim(as_col(c).cast("string"))
     return F.coalesce(F.regexp_replace(text, r"^(\d+)\.0$", "$1"), F.lit(""))
 
 
 def id_text(c: Column | str) -> Column:
     """All-digit ids without leading zeros, others unchanged, NULL as ``''``."""
-    text = _col(c).cast("string")
+    text = as_col(c).cast("string")
     number = text.try_cast("decimal(38,0)").cast("string")
     return F.coalesce(F.when(text.rlike("^[0-9]+$"), number), text, F.lit(""))
 
 
 def squeeze(c: Column | str) -> Column:
     """Line breaks and runs of blanks to one blank, trimmed."""
-    return F.trim(F.regexp_replace(_col(c), _SPACE, " "))
+    return F.trim(F.regexp_replace(as_col(c), _SPACE, " "))
 
 
 def non_blank(c: Column | str) -> Column:
-    return F.trim(F.regexp_replace(_col(c), _SPACE, " ")) != ""
+    return F.trim(F.regexp_replace(as_col(c), _SPACE, " ")) != ""
 
 
 def phrase_pattern(phrases: Sequence[str]) -> str:
@@ -51,16 +49,16 @@ def excludes_phrases(c: Column | str, phrases: Sequence[str]) -> Column:
     """True where no phrase occurs, ignoring case (NULL text holds none)."""
     if not phrases:
         return F.lit(True)
-    return ~F.coalesce(_col(c).rlike(phrase_pattern(phrases)), F.lit(False))
+    return ~F.coalesce(as_col(c).rlike(phrase_pattern(phrases)), F.lit(False))
 
 
 def contains_ci(c: Column | str, piece: str) -> Column:
-    return F.lower(_col(c)).contains(piece.lower())
+    return F.lower(as_col(c)).contains(piece.lower())
 
 
 def trailing_tag(c: Column | str) -> Column:
     """Lower-cased text of a parenthesised tag at the end, NULL without one."""
-    tag = F.regexp_extract(_col(c), r"\(([^)]+)\)\s*$", 1)
+    tag = F.regexp_extract(as_col(c), r"\(([^)]+)\)\s*$", 1)
     return F.lower(F.nullif(tag, F.lit("")))
 
 
@@ -72,7 +70,7 @@ def area(
 ) -> Column:
     """Category of a tag, else the first fallback rule naming the processor,
     else ``''``.  ``categories`` and ``fallbacks`` are small rule tables."""
-    tag, processor = _col(tag), _col(processor)
+    tag, processor = as_col(tag), as_col(processor)
     parts = []
     if categories:
         pairs = [F.lit(v) for kv in categories.items() for v in kv]
@@ -83,7 +81,7 @@ def area(
 
 def flag_text(name: Column | str, comment: Column | str) -> Column:
     """``name (comment)``, or the bare name when the comment is blank."""
-    name, comment = _col(name), _col(comment)
+    name, comment = as_col(name), as_col(comment)
     name = F.coalesce(name, F.lit(""))
     has = F.coalesce(F.trim(comment) != "", F.lit(False))
     return F.when(has, F.concat(name, F.lit(" ("), comment, F.lit(")"))).otherwise(name)
@@ -92,26 +90,26 @@ def flag_text(name: Column | str, comment: Column | str) -> Column:
 def size_label(beds: Column | str, baths: Column | str) -> Column:
     """``5br/4ba``; NULL when either number is."""
     return F.concat(
-        _col(beds).cast("string"), F.lit("br/"), _col(baths).cast("string"), F.lit("ba")
+        as_col(beds).cast("string"), F.lit("br/"), as_col(baths).cast("string"), F.lit("ba")
     )
 
 
 def unit_label(name: Column | str, size: Column | str) -> Column:
     """``name (size)``; the bare name when the size is unknown."""
-    name = _col(name)
-    return F.coalesce(F.concat(name, F.lit(" ("), _col(size), F.lit(")")), name)
+    name = as_col(name)
+    return F.coalesce(F.concat(name, F.lit(" ("), as_col(size), F.lit(")")), name)
 
 
 def full_name(first: Column | str, last: Column | str) -> Column:
     blank = F.lit("")
     return F.trim(
-        F.concat(F.coalesce(_col(first), blank), F.lit(" "), F.coalesce(_col(last), blank))
+        F.concat(F.coalesce(as_col(first), blank), F.lit(" "), F.coalesce(as_col(last), blank))
     )
 
 
 def fix_labels(c: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
     """Regular-expression corrections, applied in order."""
-    out = _col(c)
+    out = as_col(c)
     for pattern, replacement in rules:
         out = F.regexp_replace(out, pattern, replacement)
     return out

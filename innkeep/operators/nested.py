@@ -12,19 +12,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from innkeep import schemas
+from innkeep.functions import as_col
 from innkeep.functions.numbers import MONEY, to_number
 
 # Status codes that mean success.
 OK_CODES = ("0", "SUCCESS")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def status_code(body: Column | str) -> Column:
     """Status code carried inside a response body, NULL without one."""
-    return F.get_json_object(_col(body), "$.status.code")
+    return F.get_json_object(as_col(body), "$.status.code")
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -38,12 +35,12 @@ def reject_reason(body: Column | str, required: str, shape: str | None = None) -
 
     ``required`` is the path that must hold something: a ``list`` or ``object``
     with content, or, without ``shape``, either of them."""
-    body = _col(body)
+    body = as_col(body)
 
     def judge(parsed: Column) -> Column:
         items = F.try_variant_get(parsed, required, "array<variant>")
         fields = F.try_variant_get(parsed, required, "map<string,variant>")
-        found = {"list": [F.size(items)], "object": [F.size(fields)]}
+        found = {"list": [F.array_size(items)], "object": [F.array_size(F.map_keys(fields))]}
         sizes = found[shape] if shape else found["list"] + found["object"]
         filled = F.coalesce(*sizes, F.lit(0)) > 0
         code = F.try_variant_get(parsed, "$.status.code", "string")
@@ -84,7 +81,7 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
 def unwrap(df: DataFrame, body: str, paths: Sequence[str], items: str, alias: str) -> DataFrame:
     """One row per list element, from the first path that holds a non-empty list
     (``items`` is the list type).  Documents without any give no rows."""
-    parsed = F.try_parse_json(_col(body))
+    parsed = F.try_parse_json(as_col(body))
     lists = [F.try_variant_get(parsed, path, items) for path in paths]
     filled = [F.when(F.size(found) > 0, found) for found in lists]
     return df.withColumn(alias, F.explode(F.coalesce(*filled)))
@@ -92,7 +89,7 @@ def unwrap(df: DataFrame, body: str, paths: Sequence[str], items: str, alias: st
 
 def as_list(value: Column | str, item: str) -> Column:
     """VARIANT that is a list, one item or null, as an array of ``item``."""
-    value = _col(value)
+    value = as_col(value)
     return F.coalesce(
         F.try_variant_get(value, "$", f"array<{item}>"),
         F.when(
@@ -140,7 +137,7 @@ def field_rows(df: DataFrame, fields: str, field_id: int, keep: Sequence[str]) -
 
 def named_value(pairs: Column | str, name: str) -> Column:
     """Value of a name in a name/value list; the last duplicate wins."""
-    hits = F.filter(_col(pairs), lambda p: p.getField("name") == name)
+    hits = F.filter(as_col(pairs), lambda p: p.getField("name") == name)
     return F.try_element_at(hits, F.lit(-1)).getField("value")
 
 
@@ -151,7 +148,7 @@ def name_value_columns(df: DataFrame, pairs: str, names: Sequence[str]) -> DataF
 
 def name_value_map(pairs: Column | str) -> Column:
     """Name/value list as a map; the last duplicate wins."""
-    pairs = _col(pairs)
+    pairs = as_col(pairs)
     names = F.array_distinct(F.transform(pairs, lambda p: p.getField("name")))
     names = F.filter(names, lambda n: n.isNotNull())
 
@@ -164,7 +161,7 @@ def name_value_map(pairs: Column | str) -> Column:
 
 def explode_price_days(df: DataFrame, body: str, load_time: Column, manager: Column) -> DataFrame:
     """Nightly prices of each document; documents without id or days drop out."""
-    doc = F.from_json(_col(body), schemas.PRICE_DAYS_DOC)
+    doc = F.from_json(as_col(body), schemas.PRICE_DAYS_DOC)
     days = df.withColumn("_d", doc.getField("data")).where(
         F.col("_d.reservation_id").isNotNull() & (F.col("_d.reservation_id") != "")
     )
@@ -186,7 +183,7 @@ _COMMISSION = (
 
 def _fee_sections(body: Column | str) -> Column:
     """Both sections of a fee document, whatever their shape."""
-    data = F.from_json(_col(body), schemas.FEES_DOC).getField("data")
+    data = F.from_json(as_col(body), schemas.FEES_DOC).getField("data")
     return F.struct(
         data.getField("taxes_and_fees").getField("tax_fee").alias("fees"),
         data.getField("commission_information").alias("commission"),
