@@ -107,6 +107,17 @@ def unparsed_rows(spark, sf):
     return C.unparsed(rows, "raw", "parsed").select("id", "raw")
 
 
+@query(
+    "",
+    f"""WITH {_RAW_DATES}
+    SELECT DISTINCT raw FROM raw_dates WHERE try_strptime(raw, '%m/%d/%Y') IS NULL ORDER BY raw LIMIT 5""",
+)
+def unparsed_samples(spark, sf):
+    """The first five texts that did not parse (a top-k report)."""
+    rows = _raw_dates(spark, sf).withColumn("parsed", D.parse_date("raw"))
+    return C.unparsed_samples(rows, "raw", "parsed")
+
+
 @query(
     "",
     f"""WITH {_RAW_DATES}

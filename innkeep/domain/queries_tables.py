@@ -12,7 +12,7 @@ from innkeep.domain import views as V
 from innkeep.domain.queries_documents import _grid, _pages
 from innkeep.domain.registry import query
 from innkeep.operators.nested import split_documents
-from innkeep.operators.quality import quality_gate
+from innkeep.operators.quality import has_key, quality_gate
 from innkeep.plans.sheets import reference_sheets as load_sheets
 from innkeep.session import scratch_path
 from innkeep.sinks import export, publish, snapshots, tables
@@ -144,6 +144,25 @@ def evolved_table(spark, sf):
     return tables.read_evolved(spark, path)
 
 
+@query(
+    "reservations",
+    """SELECT id, unit_id, CASE WHEN status_id = 5 THEN price_nightly END AS rate
+    FROM reservations WHERE status_id IN (4, 5)""",
+)
+def catalog_table(spark, sf):
+    """Catalog table created from a query, given a new column, and inserted to."""
+    path = scratch_path(spark, "catalog")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = _small(spark, sf)
+    old = rows.where("status_id = 4").select("id", "unit_id")
+    tables.create_as(old, name, path)
+    new = rows.where("status_id = 5").select("id", "unit_id", F.col("price_nightly").alias("rate"))
+    assert tables.add_missing_columns(spark, name, new.schema) == ["rate"]
+    new.write.insertInto(name)
+    assert has_key(spark.table(name), ["id"])
+    return spark.table(name)
+
+
 @query(
     "reservations",
     """SELECT CAST(id AS VARCHAR) AS id, strftime(startdate, '%d/%m/%Y') AS startdate,

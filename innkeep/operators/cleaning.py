@@ -89,6 +89,11 @@ def unparsed(df: DataFrame, raw: str, parsed: str) -> DataFrame:
     return df.where(F.col(raw).isNotNull() & F.col(parsed).isNull())
 
 
+def unparsed_samples(df: DataFrame, raw: str, parsed: str, n: int = 5) -> DataFrame:
+    """The first ``n`` distinct values that did not parse, in text order."""
+    return unparsed(df, raw, parsed).select(raw).distinct().orderBy(raw).limit(n)
+
+
 def unparsed_report(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """One row per raw column: how many values failed, and the smallest and
     largest failing value as samples.  One pass, whatever the column count."""

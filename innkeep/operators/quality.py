@@ -64,6 +64,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
+def has_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether ``keys`` identify every row and are never NULL."""
+    missing = df.where(" or ".join(f"`{k}` is null" for k in keys))
+    return missing.isEmpty() and duplicate_keys(df, keys).isEmpty()
+
+
 def column_profile(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """Per column: type, row and null counts, longest text, suggested width.
     One aggregation over the table, then one row per column."""

@@ -19,7 +19,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 # Queries whose result is one row or a first-n list, gathered at the end.
 GATHERS = {
     "quality_gate", "quality_gate_columns", "day_count", "distinct_counts", "column_profile",
-    "unparsed_report", "next_pending_units",
+    "unparsed_report", "unparsed_samples", "next_pending_units",
 }
 
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from innkeep.operators.quality import quality_gate
+from innkeep.operators.quality import has_key, quality_gate
 from innkeep.session import durable, scratch_path, shared_dir, stored
 from innkeep.sinks import export, publish, snapshots, tables
 from innkeep.sources import sheets
@@ -92,6 +92,26 @@ def test_ensure_like_creates_once(spark, root, rows):
     assert rows(tables.read_evolved(spark, root)) == [(5, None), (6, 1.5)]
 
 
+def test_catalog_table(spark, root, rows):
+    tables.create_as(nums(spark, 1), "kept_numbers", root)
+    try:
+        wider = nums(spark, 2).withColumn("rate", F.lit(1.5))
+        assert tables.add_missing_columns(spark, "kept_numbers", wider.schema) == ["rate"]
+        assert tables.add_missing_columns(spark, "kept_numbers", wider.schema) == []
+        wider.write.insertInto("kept_numbers")
+        assert rows(spark.table("kept_numbers")) == [(1, None), (2, 1.5)]
+        tables.create_as(nums(spark, 3), "kept_numbers", root)
+        assert rows(spark.table("kept_numbers")) == [(3,)]
+    finally:
+        spark.sql("DROP TABLE kept_numbers")
+
+
+def test_key(spark):
+    assert has_key(nums(spark, 1, 2), ["id"])
+    assert not has_key(nums(spark, 1, 1), ["id"])
+    assert not has_key(nums(spark, 1, None), ["id"])
+
+
 def test_export(spark, root):
     df = spark.createDataFrame([(1, DAY1, None), (2, DAY2, DAY2)], "id int, a date, b date")
     export.export_text(df, root, ["a", "b"], as_of=DAY1, as_of_col="a")
