@@ -81,10 +81,12 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
 def unwrap(df: DataFrame, body: str, paths: Sequence[str], items: str, alias: str) -> DataFrame:
     """One row per list element, from the first path that holds a non-empty list
     (``items`` is the list type).  Documents without any give no rows."""
-    parsed = F.try_parse_json(as_col(body))
-    lists = [F.try_variant_get(parsed, path, items) for path in paths]
-    filled = [F.when(F.size(found) > 0, found) for found in lists]
-    return df.withColumn(alias, F.explode(F.coalesce(*filled)))
+    parsed = df.withColumn("_v", F.try_parse_json(as_col(body)))
+    filled = [
+        _once(F.try_variant_get("_v", path, items), lambda found: F.when(F.size(found) > 0, found))
+        for path in paths
+    ]
+    return parsed.withColumn(alias, F.explode(F.coalesce(*filled))).drop("_v")
 
 
 def as_list(value: Column | str, item: str) -> Column:
@@ -161,15 +163,15 @@ def name_value_map(pairs: Column | str) -> Column:
 
 def explode_price_days(df: DataFrame, body: str, load_time: Column, manager: Column) -> DataFrame:
     """Nightly prices of each document; documents without id or days drop out."""
-    doc = F.from_json(as_col(body), schemas.PRICE_DAYS_DOC)
-    days = df.withColumn("_d", doc.getField("data")).where(
-        F.col("_d.reservation_id").isNotNull() & (F.col("_d.reservation_id") != "")
-    )
-    return days.select(
-        F.col("_d.reservation_id").alias("reservation_id"),
-        load_time.alias("data_price"),
-        manager.alias("manager"),
-        F.inline("_d.reservation_days"),
+    data = F.from_json(as_col(body), schemas.PRICE_DAYS_DOC).getField("data")
+    known = F.coalesce(F.col("_d.reservation_id") != "", F.lit(False))
+    return df.select(
+        load_time.alias("data_price"), manager.alias("manager"), data.alias("_d")
+    ).select(
+        "_d.reservation_id",
+        "data_price",
+        "manager",
+        F.inline(F.when(known, F.col("_d.reservation_days"))),
     )
 
 
@@ -181,21 +183,18 @@ _COMMISSION = (
 )
 
 
-def _fee_sections(body: Column | str) -> Column:
+def _fee_data(body: Column | str) -> Column:
     """Both sections of a fee document, whatever their shape."""
-    data = F.from_json(as_col(body), schemas.FEES_DOC).getField("data")
-    return F.struct(
-        data.getField("taxes_and_fees").getField("tax_fee").alias("fees"),
-        data.getField("commission_information").alias("commission"),
-    )
+    return F.from_json(as_col(body), schemas.FEES_DOC).getField("data")
 
 
 def _present(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def _fee_reject(sections: Column) -> Column:
-    fees, commission = sections.getField("fees"), sections.getField("commission")
+def _fee_reject(data: Column) -> Column:
+    fees = data.getField("taxes_and_fees").getField("tax_fee")
+    commission = data.getField("commission_information")
     is_list = F.try_variant_get(fees, "$", "array<variant>").isNotNull()
     is_object = F.try_variant_get(commission, "$", "map<string,variant>").isNotNull()
     return F.when(_present(fees) & ~is_list, "fees not a list").when(
@@ -205,7 +204,7 @@ def _fee_reject(sections: Column) -> Column:
 
 def fee_reject(body: Column | str) -> Column:
     """Reason a fee document fails: a section of the wrong shape."""
-    return _once(_fee_sections(body), _fee_reject)
+    return _once(_fee_data(body), _fee_reject)
 
 
 def explode_fees(df: DataFrame, body: str = "body", key: str = "confirmation_id") -> DataFrame:
@@ -219,14 +218,17 @@ def explode_fees(df: DataFrame, body: str = "body", key: str = "confirmation_id"
         named = [v.alias("fee_id" if n == "id" else n) for n, v in zip(fee_fields, values)]
         return F.struct(F.lit(kind).alias("row_type"), *named)
 
-    listed = F.try_variant_get("_s.fees", "$", f"array<{schemas.FEE}>")
+    fees_path, commission_path = "_d.taxes_and_fees.tax_fee", "_d.commission_information"
+    listed = F.try_variant_get(fees_path, "$", f"array<{schemas.FEE}>")
     fees = F.transform(listed, lambda f: row("tax_fee", [f.getField(n) for n in fee_fields]))
     summary = F.array(row("commission", [text, F.lit("Commission Summary"), text, text, text, text]))
     none = F.filter(summary, lambda _: F.lit(False))
-    has_commission = F.size(F.try_variant_get("_s.commission", "$", "map<string,variant>")) > 0
+    has_commission = F.size(F.try_variant_get(commission_path, "$", "map<string,variant>")) > 0
     rows = F.concat(F.coalesce(fees, none), F.when(has_commission, summary).otherwise(none))
-    exploded = df.select(key, _fee_sections(body).alias("_s")).select(
-        key, "_s.commission", F.inline(F.when(_fee_reject(F.col("_s")).isNull(), rows))
+    exploded = df.select(key, _fee_data(body).alias("_d")).select(
+        key,
+        F.col(commission_path).alias("commission"),
+        F.inline(F.when(_fee_reject(F.col("_d")).isNull(), rows)),
     )
     return exploded.select(
         key,

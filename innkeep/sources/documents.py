@@ -22,13 +22,12 @@ def read_documents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def page_reservations(pages: DataFrame, body: str, page: Column | str) -> DataFrame:
     """Reservations of all pages, each with its place ``(page, pos)``.  Records
     sit under ``data.reservations`` or ``reservations``; empty pages give none."""
-    doc = F.from_json(body, schemas.RESERVATION_PAGE)
-    nested = doc.getField("data").getField("reservations")
-    records = F.coalesce(F.when(F.size(nested) > 0, nested), doc.getField("reservations"))
+    # parsed in a step of its own: a generator would parse at every mention
     page = F.col(page) if isinstance(page, str) else page
-    return pages.select(page.alias("page"), F.posexplode(records).alias("pos", "r")).select(
-        "r.*", "page", "pos"
-    )
+    parsed = pages.select(page.alias("page"), F.from_json(body, schemas.RESERVATION_PAGE).alias("_d"))
+    nested = F.col("_d.data.reservations")
+    records = F.coalesce(F.when(F.size(nested) > 0, nested), F.col("_d.reservations"))
+    return parsed.select("page", F.posexplode(records).alias("pos", "r")).select("r.*", "page", "pos")
 
 
 def union_existing(frames: Sequence[DataFrame], wanted: Sequence[str]) -> DataFrame:
