@@ -38,13 +38,18 @@ def calendar(
 ) -> DataFrame:
     """Calendar with year/month keys and relative flags of the adjusted day.
 
-    ``adjusted`` has ``day_text`` (``dd-MM-yyyy``) and ``adjusted_day``; days it
-    does not list have no adjusted day.  Without the table, today is used."""
+    ``adjusted`` has ``day_text`` (``dd-MM-yyyy``) and ``adjusted_day`` (a date or
+    date text); days it does not list have no adjusted day.  Without the table, today is used."""
     base = days(spark, start, end)
     if adjusted is None:
         joined = base.withColumn("adjusted_day", F.lit(as_of))
     else:
-        keyed = adjusted.withColumn("_day", D.parse_date("day_text", "dd-MM-yyyy"))
+        keyed = adjusted.withColumns(
+            {
+                "_day": D.parse_date("day_text", "dd-MM-yyyy"),
+                "adjusted_day": D.as_date(adjusted, "adjusted_day"),
+            }
+        )
         joined = lookup(base, keyed, {"day": "_day"}, {"adjusted_day": "adjusted_day"})
     return joined.select(
         "day",

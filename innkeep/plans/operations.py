@@ -171,11 +171,12 @@ def board_from_sheet(grid: DataFrame) -> DataFrame | None:
 
 
 def housekeeping_changes(current: DataFrame, previous: DataFrame, as_of: dt.date) -> DataFrame:
-    """Changed and cancelled cleanings between two boards, with a message each."""
+    """Changed and cancelled cleanings between two boards, with a message each.
+    A missing unit compares as a blank one."""
     fields = ["check_in_date", "check_out_date", "next_arrival", "cleaning_date", "unit"]
     diff = snapshot_changes(
-        current,
-        previous,
+        current.fillna("", ["unit"]),
+        previous.fillna("", ["unit"]),
         "reservation",
         fields,
         ["next_arrival", "cleaning_date", "unit"],

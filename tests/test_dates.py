@@ -172,6 +172,11 @@ def test_calendar(spark, as_of, rows):
     ]
 
 
+def test_calendar_takes_adjusted_days_as_text(spark, as_of):
+    adjusted = spark.createDataFrame([("15-06-1998", "14-06-1998")], "day_text string, adjusted_day string")
+    assert dimensions.calendar(spark, as_of, as_of, adjusted, as_of).first().adjusted_day == dt.date(1998, 6, 14)
+
+
 def test_calendar_without_adjusted_days_uses_today(spark, as_of):
     cal = dimensions.calendar(spark, as_of, as_of, None, as_of)
     row = cal.first()

@@ -128,6 +128,11 @@ def test_nothing_changes_against_itself(spark, as_of):
     assert O.housekeeping_changes(same, same, as_of).isEmpty()
 
 
+def test_missing_and_blank_unit_are_the_same(spark, as_of):
+    missing, blank = board(spark, ("1", None, 1, 20, 25, 20)), board(spark, ("1", "", 1, 20, 25, 20))
+    assert O.housekeeping_changes(missing, blank, as_of).isEmpty()
+
+
 def test_empty_boards(spark, as_of):
     some, none = board(spark, ("1", "A", 1, 20, 25, 20)), board(spark)
     assert O.housekeeping_changes(none, none, as_of).isEmpty()
