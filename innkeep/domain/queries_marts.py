@@ -310,6 +310,13 @@ def unit_day_sales(spark, sf):
                CAST(sum(lead_days) AS BIGINT) AS lead_days, CAST(sum(target_occupancy) AS BIGINT) AS target_occupancy,
                min(first_booking) AS first_booking, max(last_sold_day) AS last_sold_day,
                min(first_sold_day) AS first_sold_day, count(channel) AS with_channel,
+               count(name) AS named, CAST(sum(bedrooms_number) AS BIGINT) AS bedrooms,
+               CAST(sum(target_min_stay) AS BIGINT) AS target_min_stay,
+               CAST(sum(current_min_stay) AS BIGINT) AS current_min_stay,
+               CAST(sum(booking_year_month) AS BIGINT) AS booking_year_month,
+               CAST(sum(holiday_days) AS BIGINT) AS holiday_days, CAST(sum(is_future) AS BIGINT) AS future_days,
+               count(*) FILTER (season_name = 'HIGH') AS high_days, count(*) FILTER (l7d = 'L7D') AS l7d_days,
+               count(*) FILTER (week = 'S-1') AS last_week_days, count(*) FILTER (mtd = 'MTD') AS mtd_days,
                max(stay_adjusted_day) AS stay_adjusted_day
         FROM finished GROUP BY ALL""",
     ),
@@ -335,5 +342,16 @@ def unit_day_sales_by_month(spark, sf):
         F.max("last_sold_day").alias("last_sold_day"),
         F.min("first_sold_day").alias("first_sold_day"),
         F.count("channel").alias("with_channel"),
+        F.count("name").alias("named"),
+        F.sum("bedrooms_number").alias("bedrooms"),
+        F.sum("target_min_stay").alias("target_min_stay"),
+        F.sum("current_min_stay").alias("current_min_stay"),
+        F.sum("booking_year_month").alias("booking_year_month"),
+        F.sum("holiday_days").alias("holiday_days"),
+        F.sum("is_future").alias("future_days"),
+        F.count_if(F.col("season_name") == "HIGH").alias("high_days"),
+        F.count_if(F.col("l7d") == "L7D").alias("l7d_days"),
+        F.count_if(F.col("week") == "S-1").alias("last_week_days"),
+        F.count_if(F.col("mtd") == "MTD").alias("mtd_days"),
         F.max("stay_adjusted_day").alias("stay_adjusted_day"),
     )
