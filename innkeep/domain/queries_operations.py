@@ -73,18 +73,19 @@ def flag_text(spark, sf):
 
 @query(
     "",
-    """SELECT l_orderkey, string_agg(CASE WHEN l_discount > 0.05 THEN l_returnflag || ' (' || l_linestatus || ')'
-                                     ELSE l_returnflag END, ', '
-                                     ORDER BY l_linenumber, l_shipdate, l_partkey) AS flags
-    FROM lineitem GROUP BY l_orderkey""",
+    """SELECT l_orderkey, string_agg(flag, ', ' ORDER BY l_linenumber, l_shipdate, l_partkey, flag) AS flags
+    FROM (SELECT *, CASE WHEN l_discount > 0.05 THEN l_returnflag || ' (' || l_linestatus || ')'
+                         ELSE l_returnflag END AS flag FROM lineitem)
+    GROUP BY l_orderkey""",
 )
 def flags_per_reservation(spark, sf):
-    """Flags of all rows of a reservation joined in order."""
+    """Flags of all rows of a reservation joined in order, ties by the flag."""
     comment = F.when(F.col("l_discount") > 0.05, F.col("l_linestatus")).otherwise("")
+    place = ["l_linenumber", "l_shipdate", "l_partkey"]
     rows = V.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", X.flag_text("l_returnflag", comment).alias("flag")
+        "l_orderkey", *place, X.flag_text("l_returnflag", comment).alias("flag")
     )
-    return R.join_ordered(rows, ["l_orderkey"], "flag", ["l_linenumber", "l_shipdate", "l_partkey"], "flags")
+    return R.join_ordered(rows, ["l_orderkey"], "flag", [*place, "flag"], "flags")
 
 
 _BOARD = f"""WITH {_CLEANINGS}, flagged AS (SELECT *, {_FLAGS} AS flags FROM cleanings)
