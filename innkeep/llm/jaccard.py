@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.llm.common import maybe_broadcast, small_batches
@@ -19,8 +20,11 @@ BAND = 1.5
 SPARE = 0.2
 #: Words whose hashes a worker remembers at once.
 REMEMBERED = 300_000
-#: Rounds in which a bucket's texts are compared with one of them.
-STAR_ROUNDS = 3
+#: Least words of a folded sketch, and sketch words per word of it in higher bands.
+FOLD, FOLDED = 16, 8
+#: Buckets up to this size give all their pairs; larger ones are compared in blocks of
+#: about so many sets, and so many rows make up one task's group.
+SMALL, BLOCK, GROUP_ROWS = 16, 1000, 20_000
 
 _U = np.uint64
 _MULTIPLIERS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -92,16 +96,22 @@ def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
-    """(band, need, tokens) for the band of the set's size, and for the one below if a
-    set there can still be similar.
+def folded(words: np.ndarray) -> np.ndarray:
+    """The sketch with fewer words, by XOR: still a parity sketch of the same set."""
+    size = max(FOLD, len(words) // FOLDED)
+    return np.bitwise_xor.reduce(np.pad(words, (0, -len(words) % size)).reshape(-1, size), axis=0)
+
+
+def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(band, need, tokens, folded sketch) for the band of the set's size, and for the
+    one below if a set there can still be similar.
 
     A token is the hash of a sketch word with its place; similar sets share all tokens
     but at most d of them, d being the largest difference from any partner.  So under
     any common order their first d + 1 tokens have one in common.  Empty words come last
     in the order: they are tokens only where the others don't fill d + 1.  ``need`` is
-    d + 1 less the number of non-empty words; the words that no other set has, once
-    known, fill the first places."""
+    d + 1 less the number of tokens; those that no other set has, once known, fill the
+    first places."""
     size, home = len(hashes), band_of(len(hashes))
     out = []
     for band in (home, home - 1):
@@ -115,13 +125,12 @@ def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]
                 continue
             d = most_different(size, high, percent)
         words = sketch(hashes, sketch_words(band, percent))
-        full = np.flatnonzero(words)
-        place = full
-        if len(full) < d + 1:
-            place = np.concatenate([full, np.flatnonzero(words == 0)[: d + 1 - len(full)]])
+        place = np.flatnonzero(words)
+        if len(place) < d + 1:
+            place = np.concatenate([place, np.flatnonzero(words == 0)[: d + 1 - len(place)]])
         with np.errstate(over="ignore"):
             tokens = _mix(words[place] ^ _mix(place.astype(np.uint64) * _MULTIPLIERS[0] + _U(band + 1) * _MULTIPLIERS[1]))
-        out.append((band, d + 1 - len(place), tokens))
+        out.append((band, d + 1 - len(place), tokens, folded(words)))
     return out
 
 
@@ -136,7 +145,7 @@ def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
     """``doc_id, n, set, roles``: set sizes, equal sets' number, and tokens by band; the
     latter once for each set and task."""
     names = ["doc_id", "n", "set", "roles"]
-    kind = pa.list_(pa.struct([("band", pa.int32()), ("need", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
+    kind = pa.list_(pa.struct([("band", pa.int32()), ("need", pa.int32()), ("tokens", pa.list_(pa.int64())), ("fold", pa.list_(pa.int64()))]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = _Hashes(), set()
@@ -151,44 +160,127 @@ def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
                     own.append([])
                     continue
                 seen.add(number)
-                own.append([{"band": b, "need": need, "tokens": tokens.view(np.int64)} for b, need, tokens in roles(hashes, percent)])
+                found = roles(hashes, percent)
+                own.append([{"band": b, "need": need, "tokens": t.view(np.int64), "fold": f.view(np.int64)} for b, need, t, f in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()), pa.array(own, kind)], names)
 
-    return documents.mapInArrow(work, "doc_id long, n long, set long, roles array<struct<band int, need int, tokens array<long>>>")
+    return documents.mapInArrow(work, "doc_id long, n long, set long, roles array<struct<band int, need int, tokens array<long>, fold array<long>>>")
 
 
 def buckets(sketches: DataFrame) -> DataFrame:
-    """``token, set``: for each set the tokens among its first d + 1 that another row has
-    too, in the order of the number of rows that have them, rarest first."""
+    """``token, band, set, size``: for each set those of its first d + 1 tokens that are
+    another set's as well.  The order is by the number of rows that have a token, rarest
+    first, so that what many texts share comes last.  ``size`` counts the token's sets."""
     own = sketches.select("set", F.explode("roles").alias("r"))
     tokens = own.select(
         F.explode("r.tokens").alias("token"), "set", F.expr("shiftleft(cast(r.band as bigint), 32) + r.need + 1073741824L").alias("role")
     )
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    found = tokens.join(common, "token").distinct()
-    per = found.groupBy("set", "role").agg(F.sort_array(F.collect_list(F.struct("rows", "token"))).alias("found"))
+    found = tokens.join(common, "token")
+    per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("rows", "token")))).alias("found"))
     keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
     kept = per.withColumn("keep", keep).where("keep > 0")
-    return kept.select(F.explode(F.expr("slice(found, 1, keep)")["token"]).alias("token"), "set").distinct()
-
-
-def _pairs(members: DataFrame) -> DataFrame:
-    """Pairs of each bucket's smallest set with the bucket's sets of other components."""
-    first = members.groupBy("token").agg(F.min(F.struct("set", "component")).alias("first"))
-    pairs = members.join(first, "token").where("component <> first.component")
-    return pairs.select(F.col("first.set").alias("a"), F.col("set").alias("b")).distinct()
+    band = F.expr("cast(shiftright(role, 32) as int)").alias("band")
+    kept = stored(kept.select(F.explode(F.expr("slice(found, 1, keep)")["token"]).alias("token"), band, "set"), "prefixes")
+    sizes = kept.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return stored(kept.join(sizes, "token"), "buckets")
+
+
+def _folds(sketches: DataFrame, members: DataFrame) -> DataFrame:
+    """``set, band, n, fold`` of the sets that are in a bucket."""
+    wanted = members.select("set", "band").distinct()
+    own = sketches.select("set", "n", F.explode("roles").alias("r")).select("set", "n", "r.band", "r.fold")
+    return stored(own.join(wanted, ["set", "band"], "left_semi").dropDuplicates(["set", "band"]), "folds")
+
+
+def _close(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can be similar by their sizes and folded sketches, which differ
+    in no more bits than the sets have elements not in common."""
+    differ = f"aggregate(zip_with({a}.fold, {b}.fold, (p, q) -> bit_count(p ^ q)), 0, (total, x) -> total + cast(x as int))"
+    bound = f"({100 - percent} * ({a}.n + {b}.n)) div {100 + percent}"
+    return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) and {differ} <= {bound}")
+
+
+def _small_pairs(members: DataFrame, folds: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that meet in a small bucket and can be similar."""
+    small = members.where(f"size <= {SMALL}").select("token", "band", "set")
+    met = small.join(small.select("token", F.col("set").alias("b")), "token").where("set < b")
+    met = met.select(F.col("set").alias("a"), "b", "band").distinct()
+    detail = F.struct("n", "fold")
+    met = met.join(folds.select(F.col("set").alias("a"), "band", detail.alias("x")), ["a", "band"])
+    met = met.join(folds.select(F.col("set").alias("b"), "band", detail.alias("y")), ["b", "band"])
+    return met.where(_close("x", "y", percent)).select("a", "b")
+
+
+def _large_rows(members: DataFrame, folds: DataFrame) -> DataFrame:
+    """Members of large buckets with their folded sketches and all their large buckets,
+    once for each two blocks of the bucket that a block with the set is part of."""
+    large = members.where(f"size > {SMALL}")
+    mine = large.groupBy("set", "band").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    rows = large.join(folds.join(mine, ["set", "band"]), ["set", "band"])
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    rows = rows.withColumn("own", F.pmod("set", F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    return stored(rows.select("token", low, high, "own", "set", "n", "fold", "tokens"), "large-buckets")
+
+
+def _compared(rows: DataFrame, found: DataFrame | None, percent: int, every: bool) -> DataFrame:
+    """Pairs in large buckets, of different components, that can be similar: all of them
+    (each in the first bucket that its sets share), or as many as connect all of them
+    within the two blocks."""
+    groups = max(1, rows.count() // GROUP_ROWS + 1)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)))
+    if found is None:
+        rows = rows.withColumn("component", F.col("set"))
+    else:
+        rows = rows.join(found, "set", "left").withColumn("component", F.coalesce("component", "set"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (token, i, j), block in group.groupby(["token", "i", "j"], sort=False):
+            block = block.sort_values(["own", "set"])
+            out += _block_pairs(block, int(token), i != j, percent, every)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("part").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _block_pairs(block: pd.DataFrame, token: int, across: bool, percent: int, every: bool) -> list[tuple[int, int]]:
+    sets, n, own = (block[c].to_numpy(np.int64) for c in ("set", "n", "own"))
+    folds = np.stack(block["fold"].to_list()).astype(np.int64).view(np.uint64)
+    label, out = block["component"].to_numpy(np.int64).copy(), []
+    tokens = block["tokens"].to_list()
+    for r in range(len(sets) - 1):
+        later = slice(r + 1, None)
+        small, large = np.minimum(n[later], n[r]), np.maximum(n[later], n[r])
+        can = (label[later] != label[r]) & (100 * small >= percent * large)
+        if across:
+            can &= own[later] != own[r]
+        at = np.flatnonzero(can) + r + 1
+        if not len(at):
+            continue
+        differ = np.bitwise_count(folds[at] ^ folds[r]).sum(1, dtype=np.int64)
+        at = at[differ <= (100 - percent) * (n[at] + n[r]) // (100 + percent)]
+        if every:
+            at = [k for k in at if np.intersect1d(tokens[r], tokens[k]).min() == token]
+        elif len(at):
+            new, first = np.unique(label[at], return_index=True)
+            at = at[first]
+            label[np.isin(label, new)] = label[r]
+        out += [(min(sets[r], sets[k]), max(sets[r], sets[k])) for k in at]
+    return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that reach the similarity."""
+def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that reach the similarity, by their whole sets."""
+    pairs = stored(pairs.distinct(), "near-pairs")
+    sets = _shingle_sets(rows, docs, pairs.select(F.explode(F.array("a", "b")).alias("set")), width)
     left = sets.select(F.col("set").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("set").alias("b"), F.col("hashes").alias("y"))
-    sized = sets.select("set", F.size("hashes").alias("n"))
-    near = pairs.join(sized.withColumnsRenamed({"set": "a", "n": "n"}), "a").join(sized.withColumnsRenamed({"set": "b", "n": "m"}), "b")
-    near = near.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b")
-    both = near.join(left, "a").join(right, "b")
+    both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return stored(both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "near-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -226,40 +318,32 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     other columns don't matter.
 
     Sets are sketched per size band and meet in buckets of sketch words (``roles``).
-    Texts in one bucket are not paired all with all: each is compared with one of them,
-    what is linked becomes a component, and only what lies in other components is
-    compared further, until no bucket holds two components that were not compared."""
+    What folded sketches don't rule out is verified on whole sets.  A small bucket gives
+    all its pairs.  A large one is compared block by block and gives, first, only as many
+    pairs as connect its close sets; once these are verified and components known, the
+    close pairs between different components that are left.  So a group of many near
+    copies gives pairs in proportion to its size, and no link between components is lost."""
     spark = documents.sparkSession
     small_batches(spark)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = stored(sketched(rows, width, percent), "sketches")
-    members = stored(buckets(docs), "buckets")
-    sets = _involved(rows, docs, members, width)
-    alone = members.withColumn("component", F.col("set"))
-    links, found = _verified(_pairs(alone), sets, percent), None
-    for turn in range(1, STAR_ROUNDS + 1):
-        links = stored(links, "near-links")
-        if links.isEmpty():
-            if turn == 1:
-                found = None
-        else:
-            found = components(links if found is None else links.unionByName(found.select(F.col("set").alias("a"), F.col("component").alias("b"))))
-        members = _open(members, found)
-        if members.isEmpty():
-            break
-        pairs = _pairs(members) if turn < STAR_ROUNDS else _all_pairs(members)
-        links = _verified(pairs, sets, percent)
-    else:
-        links = stored(links, "near-links")
-        if not links.isEmpty():
-            found = components(links if found is None else links.unionByName(found.select(F.col("set").alias("a"), F.col("component").alias("b"))))
+    members = buckets(docs)
+    folds = _folds(docs, members)
+    large = _large_rows(members, folds)
+    pairs = _small_pairs(members, folds, percent).unionByName(_compared(large, None, percent, every=False))
+    links = _verified(pairs, rows, docs, width, percent)
+    found = None if links.isEmpty() else components(links)
+    more = _verified(_compared(large, found, percent, every=True), rows, docs, width, percent)
+    if not more.isEmpty():
+        known = links if found is None else found.select(F.col("set").alias("a"), F.col("component").alias("b"))
+        found = components(more.unionByName(known))
     return _named(docs, found)
 
 
-def _involved(rows: DataFrame, docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """``set, hashes`` of the sets that are in a bucket, from one of their documents."""
-    wanted = docs.join(members.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stored(wanted, "involved")
+def _shingle_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``set, hashes`` of the wanted sets, each from one of its documents."""
+    wanted = docs.join(wanted.distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
+    wanted = stored(wanted, "wanted-sets")
     picked = maybe_broadcast(wanted.withColumnRenamed("doc_id", "id_"), wanted.count())
     texts = rows.join(picked, F.col("doc_id").eqNullSafe(F.col("id_"))).select("set", "text")
 
@@ -277,25 +361,6 @@ def _involved(rows: DataFrame, docs: DataFrame, members: DataFrame, width: int)
     return stored(texts.mapInArrow(hashed, "set long, hashes array<long>").dropDuplicates(["set"]), "shingle-sets")
 
 
-def _open(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Buckets that still hold sets of several components, without each bucket's
-    smallest set, which was compared with all others there."""
-    compared = members.groupBy("token").agg(F.min("set").alias("first"))
-    left = members.join(compared, "token").where("set > first").select("token", "set")
-    if found is None:
-        left = left.withColumn("component", F.col("set"))
-    else:
-        left = left.join(found, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    several = left.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    return stored(left.join(several.select("token"), "token", "left_semi"), "open-buckets")
-
-
-def _all_pairs(members: DataFrame) -> DataFrame:
-    other = members.select("token", F.col("set").alias("b"), F.col("component").alias("component_b"))
-    pairs = members.join(other, "token").where("set < b and component <> component_b")
-    return pairs.select(F.col("set").alias("a"), "b").distinct()
-
-
 def _named(docs: DataFrame, found: DataFrame | None) -> DataFrame:
     docs = docs.select("doc_id", "n", "set")
     sets = docs.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first"))
