@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
+from unicodedata import is_normalized
 from zlib import crc32
 
 import numpy as np
@@ -17,33 +20,95 @@ from pyspark.sql import functions as F
 from innkeep.llm.common import numbered_copies, small_batches
 from innkeep.session import stored
 
-#: Words whose ids a worker remembers at once.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers, twice at most.
+REMEMBERED = 500_000
 #: Pieces ranked by one window, about.
 RANKED = 100_000
 
 
-class Words(dict):
-    """The ids of blank-separated words as little-endian bytes.  The tokenizer drops
-    white space and never joins what it divides, so a text's ids are its words' ids."""
+#: What the tokenizer divides a text into, once in lower case.  Fixed patterns, for ASCII
+#: texts and for others that ``_simple`` accepts.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\t-\r ]+")
+_OTHER = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+
+
+@cache
+def _simple(character: str) -> bool:
+    """Whether Python's classes and lower case treat the character as the tokenizer does."""
+    if character.isalpha():
+        return len(character.lower()) == 1 and character != "Σ"
+    if character.isalnum():
+        return character.isdecimal()
+    return not "\x1c" <= character <= "\x1f"
+
+
+class Words:
+    """The ids of texts as little-endian bytes, by way of their words.
+
+    The tokenizer lower-cases, drops white space and never joins what it divides, so a
+    text's ids are those of its words.  Each batch's distinct words are looked up once
+    and the unknown ones are encoded together.  Texts on which Python and the tokenizer
+    might divide differently are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        if len(self) >= REMEMBERED:
-            self.clear()
-        out = np.array(ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = out
-        return out
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [self._split(text) for text in texts]
+        known = self._known(set().union(*(words for words in split if words is not None)))
+        return [self._encode(text) if words is None else b"".join(map(known.__getitem__, words)) for text, words in zip(texts, split)]
+
+    @staticmethod
+    def _split(text: str) -> list[str] | None:
+        if "<|" in text:  # may be a special token
+            return None
+        if text.isascii():
+            return _ASCII.findall(text.lower())
+        if all(map(_simple, set(text))) and is_normalized("NFC", text):
+            return _OTHER.findall(text.lower())
+        return None
+
+    def _known(self, words: set[str]) -> dict[str, bytes]:
+        known, fresh = {}, []
+        for word in words:
+            ids = self.recent.get(word)
+            if ids is None:
+                ids = self.older.get(word)
+                if ids is None:
+                    fresh.append(word)
+                    continue
+                self.recent[word] = ids
+            known[word] = ids
+        letters = [word for word in fresh if word.isalpha()]
+        learned = dict(zip(letters, self._encode_joined(letters)))
+        learned.update((word, self._encode(word)) for word in fresh if not word.isalpha())
+        self.recent.update(learned)
+        if len(self.recent) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        return known | learned
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode_joined(self, words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        first = np.array(found.offsets, np.int64)[:, 0]
+        ends = np.searchsorted(first, starts[1:]).tolist()
+        ids, cuts = np.array(found.ids, "<u4").tobytes(), [0, *(4 * e for e in ends), 4 * len(first)]
+        return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
+
+
+@cache
+def _words(path: str) -> Words:
+    """One per worker, which keeps it from task to task."""
+    return Words(path)
 
 
 def pieces(documents: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -54,11 +119,11 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int, end_id: int, key
     last = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer)
+        words = _words(tokenizer)
         for batch in batches:
             out = []
-            for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.ids(whole) + last
+            for doc, ids in zip(batch.column(0).to_pylist(), words.ids(batch.column(1).to_pylist())):
+                ids += last
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     out.append((doc, piece, start // 4, len(part) // 4, crc32(part)))
