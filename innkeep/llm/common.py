@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innkeep.session import scratch_path
+
 #: A word: a run of characters other than ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a missing doc_id where ids are ordered; sorts after all others.
@@ -54,3 +56,10 @@ def hash_bits(text: Column, digits: int) -> Column:
 def maybe_broadcast(small: DataFrame, rows: int) -> DataFrame:
     """``small`` marked for broadcast if its counted ``rows`` fit, else left to Spark."""
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+
+
+def packed(df: DataFrame, name: str) -> DataFrame:
+    """As ``innkeep.session.stored``, for tables of many hashes: packed more densely."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

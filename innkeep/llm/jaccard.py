@@ -11,8 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import maybe_broadcast, small_batches
-from innkeep.session import stored
+from innkeep.llm.common import maybe_broadcast, packed, small_batches
 
 #: Each size band's upper end over its lower end.
 BAND = 1.5
@@ -22,6 +21,8 @@ SPARE = 0.2
 REMEMBERED = 300_000
 #: Least words of a folded sketch, and sketch words per word of it in higher bands.
 FOLD, FOLDED = 16, 8
+#: Bits of a token.  Two that are equal by chance cost a comparison, nothing else.
+TOKEN_BITS = 48
 #: Buckets up to this size give all their pairs; larger ones are compared in blocks of
 #: about so many sets, and so many rows make up one task's group.
 SMALL, BLOCK, GROUP_ROWS = 16, 1000, 20_000
@@ -129,7 +130,7 @@ def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray,
         if len(place) < d + 1:
             place = np.concatenate([place, np.flatnonzero(words == 0)[: d + 1 - len(place)]])
         with np.errstate(over="ignore"):
-            tokens = _mix(words[place] ^ _mix(place.astype(np.uint64) * _MULTIPLIERS[0] + _U(band + 1) * _MULTIPLIERS[1]))
+            tokens = _mix(words[place] ^ _mix(place.astype(np.uint64) * _MULTIPLIERS[0] + _U(band + 1) * _MULTIPLIERS[1])) >> _U(64 - TOKEN_BITS)
         out.append((band, d + 1 - len(place), tokens, folded(words)))
     return out
 
@@ -176,21 +177,25 @@ def buckets(sketches: DataFrame) -> DataFrame:
         F.explode("r.tokens").alias("token"), "set", F.expr("shiftleft(cast(r.band as bigint), 32) + r.need + 1073741824L").alias("role")
     )
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    found = tokens.join(common, "token")
-    per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("rows", "token")))).alias("found"))
+    # one number holds a token and, above it, its rows; beyond 15 bits the token decides
+    place = F.shiftleft(F.least("rows", F.lit(2**15 - 1)), TOKEN_BITS).bitwiseOR(F.col("token")).alias("place")
+    found = tokens.join(common, "token").select("set", "role", place)
+    per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
     keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
     kept = per.withColumn("keep", keep).where("keep > 0")
     band = F.expr("cast(shiftright(role, 32) as int)").alias("band")
-    kept = stored(kept.select(F.explode(F.expr("slice(found, 1, keep)")["token"]).alias("token"), band, "set"), "prefixes")
+    first = F.explode(F.expr("slice(found, 1, keep)")).alias("place")
+    kept = kept.select(first, band, "set").select(F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token"), "band", "set")
+    kept = packed(kept, "prefixes")
     sizes = kept.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return stored(kept.join(sizes, "token"), "buckets")
+    return packed(kept.join(sizes, "token"), "buckets")
 
 
 def _folds(sketches: DataFrame, members: DataFrame) -> DataFrame:
     """``set, band, n, fold`` of the sets that are in a bucket."""
     wanted = members.select("set", "band").distinct()
     own = sketches.select("set", "n", F.explode("roles").alias("r")).select("set", "n", "r.band", "r.fold")
-    return stored(own.join(wanted, ["set", "band"], "left_semi").dropDuplicates(["set", "band"]), "folds")
+    return packed(own.join(wanted, ["set", "band"], "left_semi").dropDuplicates(["set", "band"]), "folds")
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -222,7 +227,7 @@ def _large_rows(members: DataFrame, folds: DataFrame) -> DataFrame:
     rows = rows.withColumn("own", F.pmod("set", F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    return stored(rows.select("token", low, high, "own", "set", "n", "fold", "tokens"), "large-buckets")
+    return packed(rows.select("token", low, high, "own", "set", "n", "fold", "tokens"), "large-buckets")
 
 
 def _compared(rows: DataFrame, found: DataFrame | None, percent: int, every: bool) -> DataFrame:
@@ -274,20 +279,20 @@ def _block_pairs(block: pd.DataFrame, token: int, across: bool, percent: int, ev
 
 def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that reach the similarity, by their whole sets."""
-    pairs = stored(pairs.distinct(), "near-pairs")
+    pairs = packed(pairs.distinct(), "near-pairs")
     sets = _shingle_sets(rows, docs, pairs.select(F.explode(F.array("a", "b")).alias("set")), width)
     left = sets.select(F.col("set").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("set").alias("b"), F.col("hashes").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return stored(both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "near-links")
+    return packed(both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "near-links")
 
 
 def components(links: DataFrame) -> DataFrame:
     """``set, component``: for each set in ``links`` (a, b) the smallest it is connected
     with.  Every node points to the smallest set in reach of its neighbours, and each
     edge is hung on these, until all are stars."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    edges = packed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -297,14 +302,14 @@ def components(links: DataFrame) -> DataFrame:
         large = large.unionByName(edges.join(low.withColumnRenamed("u", "v"), "v").where("v > low").select(F.col("v").alias("u"), F.col("low").alias("v")))
         small = large.groupBy("u").agg(F.min("v").alias("low"))
         hung = large.join(small, "u").where("v > low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = stored(hung.unionByName(small.select("u", F.col("low").alias("v"))).distinct(), "links")
+        edges = packed(hung.unionByName(small.select("u", F.col("low").alias("v"))).distinct(), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     low = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "set")
     roots = edges.select("v").distinct().join(edges.select("u"), F.col("v") == F.col("u"), "left_anti")
-    return stored(low.unionByName(roots.select(F.col("v").alias("set"), F.col("v").alias("component"))), "components")
+    return packed(low.unionByName(roots.select(F.col("v").alias("set"), F.col("v").alias("component"))), "components")
 
 
 def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -326,7 +331,7 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     spark = documents.sparkSession
     small_batches(spark)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    docs = stored(sketched(rows, width, percent), "sketches")
+    docs = packed(sketched(rows, width, percent), "sketches")
     members = buckets(docs)
     folds = _folds(docs, members)
     large = _large_rows(members, folds)
@@ -343,7 +348,7 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
 def _shingle_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``set, hashes`` of the wanted sets, each from one of its documents."""
     wanted = docs.join(wanted.distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stored(wanted, "wanted-sets")
+    wanted = packed(wanted, "wanted-sets")
     picked = maybe_broadcast(wanted.withColumnRenamed("doc_id", "id_"), wanted.count())
     texts = rows.join(picked, F.col("doc_id").eqNullSafe(F.col("id_"))).select("set", "text")
 
@@ -358,7 +363,7 @@ def _shingle_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame, width: in
                     out.append(hashes.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["set", "hashes"])
 
-    return stored(texts.mapInArrow(hashed, "set long, hashes array<long>").dropDuplicates(["set"]), "shingle-sets")
+    return packed(texts.mapInArrow(hashed, "set long, hashes array<long>").dropDuplicates(["set"]), "shingle-sets")
 
 
 def _named(docs: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -379,9 +384,9 @@ def first_of_groups(documents: DataFrame, width: int = 4, percent: int = 85) ->
     rows with this id in the component any one stays, and of a component without any id
     as well; texts without words stay unless they repeat an id."""
     docs = documents.withColumn("near_row_", F.xxhash64("text"))
-    grouped = stored(near_components(documents, width, percent), "near-groups")
+    grouped = packed(near_components(documents, width, percent), "near-groups")
     kept = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("near_rows_"))
-    kept = stored(kept.withColumnRenamed("doc_id", "near_id_"), "near-kept")
+    kept = packed(kept.withColumnRenamed("doc_id", "near_id_"), "near-kept")
     stay = docs.join(maybe_broadcast(kept, kept.count()), F.col("doc_id").eqNullSafe(F.col("near_id_")))
     many = stay.where("near_rows_ > 1").dropDuplicates(["doc_id"])
     return stay.where("near_rows_ = 1").unionByName(many).select(*documents.columns)
