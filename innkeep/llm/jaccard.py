@@ -18,7 +18,7 @@ BAND = 1.5
 #: Sketch words beyond those that the pigeonhole needs, as a share of them.
 SPARE = 0.2
 #: Words whose hashes a worker remembers at once.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Least words of a folded sketch, and sketch words per word of it in higher bands.
 FOLD, FOLDED = 16, 8
 #: Bits of a token.  Two that are equal by chance cost a comparison, nothing else.
@@ -329,7 +329,7 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     close pairs between different components that are left.  So a group of many near
     copies gives pairs in proportion to its size, and no link between components is lost."""
     spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(spark, 400)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = packed(sketched(rows, width, percent), "sketches")
     members = buckets(docs)

@@ -21,7 +21,7 @@ from innkeep.llm.common import numbered_copies, small_batches
 from innkeep.session import stored
 
 #: Words whose ids a worker remembers, twice at most.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Pieces ranked by one window, about.
 RANKED = 100_000
 

@@ -27,7 +27,7 @@ FUZZY = 5
 #: Words to either side that make up a hit's context.
 WINDOW = 4
 #: Words whose matches a worker remembers at once.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 #: Words that report speech, and that address the reader.  Fixed values.
 REPORTING = frozenset("said says wrote writes quote quoted quotes called word term insult sagte schrieb wort dit écrit mot dijo escribió palabra".split())
