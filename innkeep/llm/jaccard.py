@@ -218,28 +218,33 @@ def _small_pairs(members: DataFrame, folds: DataFrame, percent: int) -> DataFram
 
 
 def _large_rows(members: DataFrame, folds: DataFrame) -> DataFrame:
-    """Members of large buckets with their folded sketches and all their large buckets,
-    once for each two blocks of the bucket that a block with the set is part of."""
-    large = members.where(f"size > {SMALL}")
-    mine = large.groupBy("set", "band").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    rows = large.join(folds.join(mine, ["set", "band"]), ["set", "band"])
+    """Members of large buckets with their folded sketches, once for each two blocks of
+    the bucket that a block with the set is part of."""
+    rows = members.where(f"size > {SMALL}").join(folds, ["set", "band"])
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod("set", F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    return packed(rows.select("token", low, high, "own", "set", "n", "fold", "tokens"), "large-buckets")
+    return packed(rows.select("token", low, high, "own", "set", "n", "fold"), "large-buckets")
 
 
 def _compared(rows: DataFrame, found: DataFrame | None, percent: int, every: bool) -> DataFrame:
-    """Pairs in large buckets, of different components, that can be similar: all of them
-    (each in the first bucket that its sets share), or as many as connect all of them
-    within the two blocks."""
-    groups = max(1, rows.count() // GROUP_ROWS + 1)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)))
+    """Pairs in large buckets, of different components, that can be similar: as many as
+    connect all of them within two blocks, or every one of them, in the first of the
+    buckets that its sets share."""
     if found is None:
         rows = rows.withColumn("component", F.col("set"))
     else:
         rows = rows.join(found, "set", "left").withColumn("component", F.coalesce("component", "set"))
+        ends = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        rows = rows.join(ends.where("low < high").select("token"), "token", "left_semi")
+    if every:
+        rows = packed(rows, "open-buckets")
+        rows = rows.join(rows.groupBy("set").agg(F.sort_array(F.collect_set("token")).alias("tokens")), "set")
+    else:
+        rows = rows.withColumn("tokens", F.lit(None).cast("array<long>"))
+    groups = max(1, rows.count() // GROUP_ROWS + 1)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         out = []
