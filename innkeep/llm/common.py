@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +65,10 @@ def packed(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are stored: it does so
+    when the driver's garbage collectors find that nothing refers to them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

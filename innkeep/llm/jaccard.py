@@ -11,10 +11,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import maybe_broadcast, packed, small_batches
+from innkeep.llm.common import maybe_broadcast, packed, release, small_batches
 
 #: Each size band's upper end over its lower end.
 BAND = 1.5
+#: Bands there are; the last one begins above 10^10 shingles.
+BANDS = 64
 #: Sketch words beyond those that the pigeonhole needs, as a share of them.
 SPARE = 0.2
 #: Words whose hashes a worker remembers at once.
@@ -81,12 +83,14 @@ def most_different(a: int, c: int, percent: int) -> int:
     return (100 - percent) * (a + c) // (100 + percent)
 
 
-def sketch_words(band: int, percent: int) -> int:
-    """64-bit words of a sketch in this band: more than any pair's difference, so that
-    some words of a pair agree, and a few spare ones."""
+def sketch_words(band: int, percent: int) -> tuple[int, int]:
+    """(64-bit words of a sketch in this band, words to agree on).  There are more words
+    than any pair's difference, so that some of a pair agree, and a few spare ones; half
+    of these lengthen the prefixes, in which so many more words must then agree."""
     high = limit(band + 1) - 1
     needed = most_different(high, high * 100 // percent, percent) + 1
-    return needed + int(np.ceil(SPARE * needed))
+    spare = int(np.ceil(SPARE * needed))
+    return needed + spare, 1 + spare // 2
 
 
 def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -109,9 +113,9 @@ def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray,
 
     A token is the hash of a sketch word with its place; similar sets share all tokens
     but at most d of them, d being the largest difference from any partner.  So under
-    any common order their first d + 1 tokens have one in common.  Empty words come last
-    in the order: they are tokens only where the others don't fill d + 1.  ``need`` is
-    d + 1 less the number of tokens; those that no other set has, once known, fill the
+    any common order their first d + k tokens have k in common.  Empty words come last
+    in the order: they are tokens only where the others don't fill d + k.  ``need`` is
+    d + k less the number of tokens; those that no other set has, once known, fill the
     first places."""
     size, home = len(hashes), band_of(len(hashes))
     out = []
@@ -125,13 +129,14 @@ def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray,
             if high * 100 < percent * size:
                 continue
             d = most_different(size, high, percent)
-        words = sketch(hashes, sketch_words(band, percent))
+        size_, agree = sketch_words(band, percent)
+        words = sketch(hashes, size_)
         place = np.flatnonzero(words)
-        if len(place) < d + 1:
-            place = np.concatenate([place, np.flatnonzero(words == 0)[: d + 1 - len(place)]])
+        if len(place) < d + agree:
+            place = np.concatenate([place, np.flatnonzero(words == 0)[: d + agree - len(place)]])
         with np.errstate(over="ignore"):
             tokens = _mix(words[place] ^ _mix(place.astype(np.uint64) * _MULTIPLIERS[0] + _U(band + 1) * _MULTIPLIERS[1])) >> _U(64 - TOKEN_BITS)
-        out.append((band, d + 1 - len(place), tokens, folded(words)))
+        out.append((band, d + agree - len(place), tokens, folded(words)))
     return out
 
 
@@ -168,10 +173,10 @@ def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
     return documents.mapInArrow(work, "doc_id long, n long, set long, roles array<struct<band int, need int, tokens array<long>, fold array<long>>>")
 
 
-def buckets(sketches: DataFrame) -> DataFrame:
-    """``token, band, set, size``: for each set those of its first d + 1 tokens that are
-    another set's as well.  The order is by the number of rows that have a token, rarest
-    first, so that what many texts share comes last.  ``size`` counts the token's sets."""
+def prefixes(sketches: DataFrame) -> DataFrame:
+    """``set, band, at, token``: for each set those of its first d + k tokens that another
+    row has too.  The order is by the number of rows that have a token, rarest first, so
+    that what many texts share comes last; ``at`` counts from 0."""
     own = sketches.select("set", F.explode("roles").alias("r"))
     tokens = own.select(
         F.explode("r.tokens").alias("token"), "set", F.expr("shiftleft(cast(r.band as bigint), 32) + r.need + 1073741824L").alias("role")
@@ -179,21 +184,30 @@ def buckets(sketches: DataFrame) -> DataFrame:
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     # one number holds a token and, above it, its rows; beyond 15 bits the token decides
     place = F.shiftleft(F.least("rows", F.lit(2**15 - 1)), TOKEN_BITS).bitwiseOR(F.col("token")).alias("place")
-    found = tokens.join(common, "token").select("set", "role", place)
+    found = packed(tokens.join(common, "token").select("set", "role", place), "common-tokens")
+    release(sketches.sparkSession)
     per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
     keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
     kept = per.withColumn("keep", keep).where("keep > 0")
     band = F.expr("cast(shiftright(role, 32) as int)").alias("band")
-    first = F.explode(F.expr("slice(found, 1, keep)")).alias("place")
-    kept = kept.select(first, band, "set").select(F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token"), "band", "set")
-    kept = packed(kept, "prefixes")
-    sizes = kept.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return packed(kept.join(sizes, "token"), "buckets")
+    first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
+    kept = kept.select("set", band, first)
+    return packed(kept.select("set", "band", "at", F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token")), "prefixes")
 
 
-def _folds(sketches: DataFrame, members: DataFrame) -> DataFrame:
-    """``set, band, n, fold`` of the sets that are in a bucket."""
-    wanted = members.select("set", "band").distinct()
+def buckets(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where sets meet: ``a, b, band, times`` of the pairs that are alone in buckets, and
+    ``token, band, set, size`` of the buckets with more sets."""
+    seen = prefix.groupBy("token", "band").agg(F.count(F.lit(1)).alias("size"), F.min("set").alias("a"), F.max("set").alias("b"))
+    seen = packed(seen.where("size > 1"), "bucket-sizes")
+    pairs = packed(seen.where("size = 2").groupBy("a", "b", "band").agg(F.count(F.lit(1)).alias("times")), "bucket-pairs")
+    members = prefix.join(seen.where("size > 2").select("token", "band", "size"), ["token", "band"])
+    return pairs, packed(members.select("token", "band", "set", "size"), "buckets")
+
+
+def _folds(sketches: DataFrame, prefix: DataFrame) -> DataFrame:
+    """``set, band, n, fold`` of the sets that have a prefix."""
+    wanted = prefix.where("at = 0").select("set", "band")
     own = sketches.select("set", "n", F.explode("roles").alias("r")).select("set", "n", "r.band", "r.fold")
     return packed(own.join(wanted, ["set", "band"], "left_semi").dropDuplicates(["set", "band"]), "folds")
 
@@ -206,11 +220,15 @@ def _close(a: str, b: str, percent: int) -> Column:
     return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) and {differ} <= {bound}")
 
 
-def _small_pairs(members: DataFrame, folds: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets that meet in a small bucket and can be similar."""
-    small = members.where(f"size <= {SMALL}").select("token", "band", "set")
-    met = small.join(small.select("token", F.col("set").alias("b")), "token").where("set < b")
-    met = met.select(F.col("set").alias("a"), "b", "band").distinct()
+def _small_pairs(pairs: DataFrame, members: DataFrame, folds: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that meet in enough small buckets and can be similar.  Similar sets
+    meet in k buckets; if one of these is large, they are compared there."""
+    small = members.where(f"size <= {SMALL}").select("token", "band", F.col("set").alias("a"))
+    met = small.join(small.withColumnRenamed("a", "b"), ["token", "band"]).where("a < b")
+    met = met.groupBy("a", "b", "band").agg(F.count(F.lit(1)).alias("times"))
+    met = met.unionByName(pairs).groupBy("a", "b", "band").agg(F.sum("times").alias("times"))
+    agree = F.array(*[F.lit(sketch_words(band, percent)[1]) for band in range(BANDS)])
+    met = packed(met.where(F.col("times") >= F.element_at(agree, F.col("band") + 1)).select("a", "b", "band"), "met")
     detail = F.struct("n", "fold")
     met = met.join(folds.select(F.col("set").alias("a"), "band", detail.alias("x")), ["a", "band"])
     met = met.join(folds.select(F.col("set").alias("b"), "band", detail.alias("y")), ["b", "band"])
@@ -225,21 +243,14 @@ def _large_rows(members: DataFrame, folds: DataFrame) -> DataFrame:
     rows = rows.withColumn("own", F.pmod("set", F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    return packed(rows.select("token", low, high, "own", "set", "n", "fold"), "large-buckets")
+    return packed(rows.select("token", low, high, "own", "set", "n", "fold", F.col("set").alias("component")), "large-buckets")
 
 
-def _compared(rows: DataFrame, found: DataFrame | None, percent: int, every: bool) -> DataFrame:
+def _compared(rows: DataFrame, percent: int, every: bool) -> DataFrame:
     """Pairs in large buckets, of different components, that can be similar: as many as
     connect all of them within two blocks, or every one of them, in the first of the
     buckets that its sets share."""
-    if found is None:
-        rows = rows.withColumn("component", F.col("set"))
-    else:
-        rows = rows.join(found, "set", "left").withColumn("component", F.coalesce("component", "set"))
-        ends = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        rows = rows.join(ends.where("low < high").select("token"), "token", "left_semi")
     if every:
-        rows = packed(rows, "open-buckets")
         rows = rows.join(rows.groupBy("set").agg(F.sort_array(F.collect_set("token")).alias("tokens")), "set")
     else:
         rows = rows.withColumn("tokens", F.lit(None).cast("array<long>"))
@@ -330,26 +341,48 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     Sets are sketched per size band and meet in buckets of sketch words (``roles``).
     What folded sketches don't rule out is verified on whole sets.  A small bucket gives
     all its pairs.  A large one is compared block by block and gives, first, only as many
-    pairs as connect its close sets; once these are verified and components known, the
-    close pairs between different components that are left.  So a group of many near
-    copies gives pairs in proportion to its size, and no link between components is lost."""
+    pairs as connect its close sets; once these are verified, the close pairs that are
+    still between different components.  So a group
+    of many near copies gives pairs in proportion to its size, and no link between
+    components is lost."""
     spark = documents.sparkSession
     small_batches(spark, 400)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = packed(sketched(rows, width, percent), "sketches")
-    members = buckets(docs)
-    folds = _folds(docs, members)
+    prefix = prefixes(docs)
+    folds = _folds(docs, prefix)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, rows, docs, width, percent)
+
+    alone, members = buckets(prefix)
+    release(spark)
     large = _large_rows(members, folds)
-    pairs = _small_pairs(members, folds, percent).unionByName(_compared(large, None, percent, every=False))
-    links = _verified(pairs, rows, docs, width, percent)
-    found = None if links.isEmpty() else components(links)
-    more = _verified(_compared(large, found, percent, every=True), rows, docs, width, percent)
-    if not more.isEmpty():
-        known = links if found is None else found.select(F.col("set").alias("a"), F.col("component").alias("b"))
-        found = components(more.unionByName(known))
+    pairs = _small_pairs(alone, members, folds, percent).unionByName(_compared(large, percent, every=False))
+    found = _joined(None, verified(pairs))
+    release(spark)
+    open_ = _still_open(large, found)
+    found = _joined(found, verified(_compared(open_, percent, every=True)))
     return _named(docs, found)
 
 
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """The components with further links."""
+    if links.isEmpty():
+        return found
+    if found is not None:
+        links = links.unionByName(found.select(F.col("set").alias("a"), F.col("component").alias("b")))
+    return components(links)
+
+
+def _still_open(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The rows of buckets that still hold several components, with these."""
+    if found is not None:
+        rows = rows.drop("component").join(found, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    ends = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return packed(rows.join(ends.where("low < high").select("token"), "token", "left_semi"), "open-buckets")
+
+
 def _shingle_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``set, hashes`` of the wanted sets, each from one of its documents."""
     wanted = docs.join(wanted.distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
