@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,9 +64,34 @@ def maybe_broadcast(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``packed`` writes inside the block go when it ends: what is still
+    needed must have been stored elsewhere by then."""
+    folder = scratch_path(spark, "run")
+    token = _RUN.set(folder)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        release(spark)
+
+
+def run_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of the ``scratch`` block, or in the shared folder."""
+    folder = _RUN.get()
+    return f"{folder}/{name}-{uuid4().hex}" if folder else scratch_path(spark, name)
+
+
 def packed(df: DataFrame, name: str) -> DataFrame:
-    """As ``innkeep.session.stored``, for tables of many hashes: packed more densely."""
-    path = scratch_path(df.sparkSession, name)
+    """As ``innkeep.session.stored``, for tables of many hashes: packed more densely, and
+    removed with the ``scratch`` block it is in."""
+    path = run_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

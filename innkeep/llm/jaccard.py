@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import maybe_broadcast, packed, release, small_batches
+from innkeep.llm.common import maybe_broadcast, packed, release, run_path, scratch, small_batches
+from innkeep.session import stored
 
 #: Each size band's upper end over its lower end.
 BAND = 1.5
@@ -85,12 +86,12 @@ def most_different(a: int, c: int, percent: int) -> int:
 
 def sketch_words(band: int, percent: int) -> tuple[int, int]:
     """(64-bit words of a sketch in this band, words to agree on).  There are more words
-    than any pair's difference, so that some of a pair agree, and a few spare ones; half
-    of these lengthen the prefixes, in which so many more words must then agree."""
+    than any pair's difference, so that some of a pair agree, and a few spare ones; up to
+    three of these lengthen the prefixes, in which so many more words must then agree."""
     high = limit(band + 1) - 1
     needed = most_different(high, high * 100 // percent, percent) + 1
     spare = int(np.ceil(SPARE * needed))
-    return needed + spare, 1 + spare // 2
+    return needed + spare, 1 + min(3, spare // 2)
 
 
 def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -184,15 +185,20 @@ def prefixes(sketches: DataFrame) -> DataFrame:
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     # one number holds a token and, above it, its rows; beyond 15 bits the token decides
     place = F.shiftleft(F.least("rows", F.lit(2**15 - 1)), TOKEN_BITS).bitwiseOR(F.col("token")).alias("place")
-    found = packed(tokens.join(common, "token").select("set", "role", place), "common-tokens")
-    release(sketches.sparkSession)
-    per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
-    keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
-    kept = per.withColumn("keep", keep).where("keep > 0")
-    band = F.expr("cast(shiftright(role, 32) as int)").alias("band")
-    first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
-    kept = kept.select("set", band, first)
-    return packed(kept.select("set", "band", "at", F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token")), "prefixes")
+    spark = sketches.sparkSession
+    path = run_path(spark, "prefixes")
+    with scratch(spark):
+        found = packed(tokens.join(common, "token").select("set", "role", place), "common-tokens")
+        release(spark)
+        per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
+        keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
+        kept = per.withColumn("keep", keep).where("keep > 0")
+        band = F.expr("cast(shiftright(role, 32) as int)").alias("band")
+        first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
+        kept = kept.select("set", band, first)
+        token = F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token")
+        kept.select("set", "band", "at", token).write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
 def buckets(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -348,6 +354,12 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     spark = documents.sparkSession
     small_batches(spark, 400)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    with scratch(spark):
+        return stored(_grouped(rows, width, percent), "near-components")
+
+
+def _grouped(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    spark = rows.sparkSession
     docs = packed(sketched(rows, width, percent), "sketches")
     prefix = prefixes(docs)
     folds = _folds(docs, prefix)
@@ -422,7 +434,7 @@ def first_of_groups(documents: DataFrame, width: int = 4, percent: int = 85) ->
     rows with this id in the component any one stays, and of a component without any id
     as well; texts without words stay unless they repeat an id."""
     docs = documents.withColumn("near_row_", F.xxhash64("text"))
-    grouped = packed(near_components(documents, width, percent), "near-groups")
+    grouped = near_components(documents, width, percent)
     kept = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("near_rows_"))
     kept = packed(kept.withColumnRenamed("doc_id", "near_id_"), "near-kept")
     stay = docs.join(maybe_broadcast(kept, kept.count()), F.col("doc_id").eqNullSafe(F.col("near_id_")))
