@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import NO_ID, small_batches
+from innkeep.llm.common import NO_ID, packed, scratch, small_batches
 from innkeep.session import stored
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -140,14 +140,14 @@ def _probe(_: tuple, references: pd.DataFrame, index: pd.DataFrame) -> pd.DataFr
 
 def line_drops(documents: DataFrame, least: int) -> DataFrame:
     """``id, row, drops``: hashes of the keys that a text loses."""
-    references = stored(line_references(documents, least), "line-references")
+    references = packed(line_references(documents, least), "line-references")
     count = references.count()
     shards = max(1, math.ceil(count / KEYS_PER_SHARD))
     references = references.withColumn("shard", F.pmod("hash", F.lit(shards)).cast("int"))
-    index = stored(line_index(references.drop("shard"), shards), "line-index")
+    index = packed(line_index(references.drop("shard"), shards), "line-index")
     # a shard with a very common line is probed by more groups, each with a copy of its arrays
     load = references.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    load = stored(load.select("shard", F.ceil(F.col("n") / PROBES_PER_GROUP).cast("int").alias("groups")), "line-load")
+    load = packed(load.select("shard", F.ceil(F.col("n") / PROBES_PER_GROUP).cast("int").alias("groups")), "line-load")
     probes = references.join(load, "shard")
     probes = probes.withColumn("salt", F.pmod(F.xxhash64("id", "row"), F.col("groups")).cast("int")).drop("groups")
     copies = index.join(load, "shard").withColumn("salt", F.explode(F.expr("sequence(0, groups - 1)"))).drop("groups")
@@ -193,7 +193,8 @@ def dedup_lines(documents: DataFrame, least: int = 10, key: str = "doc_id", text
     rows = documents.select(
         F.struct("*").alias("row_"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     ).withColumn("row", F.xxhash64("text"))
-    drops = stored(line_drops(rows, least), "line-drops")
+    with scratch(spark):
+        drops = stored(line_drops(rows, least), "line-drops")
     joined = rows.join(drops, ["id", "row"], "left")
     return joined.select(F.col("row_").alias("row"), _keep(least)("text", "drops").alias("o")).select("row", "o.*")
 

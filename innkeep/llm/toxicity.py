@@ -13,8 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import small_batches
-from innkeep.session import stored
+from innkeep.llm.common import packed, scratch, small_batches
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most.
 FIT_ROWS = 20_000
@@ -245,9 +244,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, most: int) -> DataF
     chosen by the hash of the id."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(fold("doc_id") != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    known = stored(known.withColumnRenamed("doc_id", "label_id"), "toxic-labels")
+    known = packed(known.withColumnRenamed("doc_id", "label_id"), "toxic-labels")
     chosen = documents.where("doc_id is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))  # at most ``most`` rows
-    return stored(chosen.select("text", "toxic"), "toxic-sample")
+    return packed(chosen.select("text", "toxic"), "toxic-sample")
 
 
 def learn_terms(sample: DataFrame, toxic: int, clean: int) -> list[str]:
@@ -341,7 +340,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> D
     gives no rows, and other columns don't matter."""
     small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id"), "text")
-    model = fit(rows, labels, most)
+    with scratch(documents.sparkSession):
+        model = fit(rows, labels, most)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
@@ -357,7 +357,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> D
 def clean_documents(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
     """The rows of ``documents`` whose score is below 0.5."""
     small_batches(documents.sparkSession)
-    model = fit(documents.select("doc_id", "text"), labels, most)
+    with scratch(documents.sparkSession):
+        model = fit(documents.select("doc_id", "text"), labels, most)
     scorers: list[Scorer] = []
 
     @F.pandas_udf("double")
