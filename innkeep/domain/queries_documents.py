@@ -66,7 +66,8 @@ def _pages(spark, sf) -> DataFrame:
         )
 
     first = rows.select(
-        F.col("id").alias("page"),
+        (2 * F.col("id")).alias("page"),
+        F.lit(False).alias("again"),
         F.when(
             F.col("status_id") == 5,
             F.to_json(F.struct(F.struct(F.array(record(price)).alias("reservations")).alias("data"))),
@@ -75,7 +76,8 @@ def _pages(spark, sf) -> DataFrame:
         .alias("body"),
     )
     again = rows.where("status_id = 8").select(
-        (F.col("id") + 100_000_000).alias("page"),
+        (2 * F.col("id") + 1).alias("page"),
+        F.lit(True).alias("again"),
         F.to_json(F.struct(F.array(record(F.lit("1.00"))).alias("reservations"))).alias("body"),
     )
     return stored(first.unionByName(again), "pages")
