@@ -174,10 +174,17 @@ def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
     return documents.mapInArrow(work, "doc_id long, n long, set long, roles array<struct<band int, need int, tokens array<long>, fold array<long>>>")
 
 
-def prefixes(sketches: DataFrame) -> DataFrame:
+def _agree(percent: int) -> Column:
+    """How many tokens similar sets of the row's ``band`` have in common, at least."""
+    by_band = F.array(*[F.lit(sketch_words(band, percent)[1]) for band in range(BANDS)])
+    return F.element_at(by_band, F.col("band") + 1)
+
+
+def prefixes(sketches: DataFrame, percent: int) -> DataFrame:
     """``set, band, at, token``: for each set those of its first d + k tokens that another
     row has too.  The order is by the number of rows that have a token, rarest first, so
-    that what many texts share comes last; ``at`` counts from 0."""
+    that what many texts share comes last; ``at`` counts from 0.  A set left with fewer
+    than k such tokens is similar to no other and gives no rows."""
     own = sketches.select("set", F.explode("roles").alias("r"))
     tokens = own.select(
         F.explode("r.tokens").alias("token"), "set", F.expr("shiftleft(cast(r.band as bigint), 32) + r.need + 1073741824L").alias("role")
@@ -192,10 +199,9 @@ def prefixes(sketches: DataFrame) -> DataFrame:
         release(spark)
         per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
         keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
-        kept = per.withColumn("keep", keep).where("keep > 0")
-        band = F.expr("cast(shiftright(role, 32) as int)").alias("band")
+        per = per.withColumn("keep", keep).withColumn("band", F.expr("cast(shiftright(role, 32) as int)"))
         first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
-        kept = kept.select("set", band, first)
+        kept = per.where(F.col("keep") >= _agree(percent)).select("set", "band", first)
         token = F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token")
         kept.select("set", "band", "at", token).write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
@@ -233,8 +239,7 @@ def _small_pairs(pairs: DataFrame, members: DataFrame, folds: DataFrame, percent
     met = small.join(small.withColumnRenamed("a", "b"), ["token", "band"]).where("a < b")
     met = met.groupBy("a", "b", "band").agg(F.count(F.lit(1)).alias("times"))
     met = met.unionByName(pairs).groupBy("a", "b", "band").agg(F.sum("times").alias("times"))
-    agree = F.array(*[F.lit(sketch_words(band, percent)[1]) for band in range(BANDS)])
-    met = packed(met.where(F.col("times") >= F.element_at(agree, F.col("band") + 1)).select("a", "b", "band"), "met")
+    met = packed(met.where(F.col("times") >= _agree(percent)).select("a", "b", "band"), "met")
     detail = F.struct("n", "fold")
     met = met.join(folds.select(F.col("set").alias("a"), "band", detail.alias("x")), ["a", "band"])
     met = met.join(folds.select(F.col("set").alias("b"), "band", detail.alias("y")), ["b", "band"])
@@ -361,7 +366,7 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
 def _grouped(rows: DataFrame, width: int, percent: int) -> DataFrame:
     spark = rows.sparkSession
     docs = packed(sketched(rows, width, percent), "sketches")
-    prefix = prefixes(docs)
+    prefix = prefixes(docs, percent)
     folds = _folds(docs, prefix)
 
     def verified(pairs: DataFrame) -> DataFrame:
