@@ -215,7 +215,7 @@ def envelope_unwrap(spark, sf):
 @query(
     "units reservations",
     """WITH grid AS (
-        SELECT id AS unit_id, CAST(unnest(generate_series(DATE '1997-01-01', DATE '1999-12-01',
+        SELECT id AS unit_id, CAST(unnest(generate_series(DATE '1994-01-01', DATE '2001-12-01',
                                                           INTERVAL 1 MONTH)) AS DATE) AS first_day
         FROM units WHERE renting_type = 'RENTING'),
     periods AS (
@@ -236,7 +236,7 @@ def occupancy_from_calendars(spark, sf):
     """Monthly occupancy from calendar responses with long, overlapping periods."""
     units = V.units(spark, sf).select(F.col("id").alias("unit_id"), "renting_type")
     periods = occupancy.blocked_periods(_calendar_docs(spark, sf))
-    rows = occupancy.monthly_occupancy(periods, units, [1997, 1998, 1999], V.AS_OF)
+    rows = occupancy.monthly_occupancy(periods, units, range(1994, 2002), V.AS_OF)
     return rows.select("unit_id", "month_str", "days_occupied", "days_occupied_past", "occupancy_rate")
 
 

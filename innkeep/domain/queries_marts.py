@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from innkeep.domain import views as V
 from innkeep.domain.registry import query
-from innkeep.functions.dates import report_window
+from innkeep.domain.views_sql import folded
+from innkeep.functions.text import norm_key
 from innkeep.plans import dimensions, occupancy, unit_days
 from innkeep.plans.reservations import reservations_by_date as by_date
 from innkeep.session import stored
@@ -85,10 +88,7 @@ def daily_occupancy_clipped(spark, sf):
 
 
 def calendar_of(spark, sf):
-    import datetime as dt
-
-    start, end = V.HORIZON[0], dt.date(1998, 12, 31) + dt.timedelta(days=3 * 365)
-    return dimensions.calendar(spark, start, end, V.adjusted_days(spark, sf), V.AS_OF)
+    return dimensions.calendar(spark, *V.HORIZON, V.adjusted_days(spark, sf), V.AS_OF)
 
 
 @query("calendar", "SELECT * FROM calendar")
@@ -100,20 +100,13 @@ def calendar_flags(spark, sf):
 @query(
     "spine_units",
     """SELECT CAST(id AS VARCHAR) AS id, manager,
-           strftime(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY)),
+           strftime(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-30', INTERVAL 1 DAY)),
                     '%m/%d/%Y') AS date
     FROM spine_units""",
 )
 def unit_date_spine(spark, sf):
-    """Every unit on every day of a year."""
-    import datetime as dt
-
-    spine = dimensions.unit_date_spine(
-        V.listed_units(spark, sf),
-        V.reservations(spark, sf),
-        dt.date(1998, 1, 1),
-        dt.date(1998, 12, 31),
-    )
+    """Every unit on every day of the horizon."""
+    spine = dimensions.unit_date_spine(V.listed_units(spark, sf), V.reservations(spark, sf), *V.HORIZON)
     return dimensions.spine_text(spine)
 
 
@@ -175,88 +168,170 @@ def _inputs(spark, sf, houses) -> unit_days.Inputs:
     )
 
 
+# A row of a wide mart as text: amounts with two decimals, NULL as a tilde.  The rows of a
+# unit and month are compared by the sum of their hashes, so that every value of every row
+# over the whole horizon counts, while the result stays small enough to be collected.
+_AMOUNTS = {
+    "price_nightly", "price_total", "price", "extra", "discount", "original_cost", "target_rate", "current_rate",
+}
+_DAY_COLUMNS = (
+    "unit_id", "manager", "date", "reservation", "sale_location", "target_season", "target_rate",
+    "target_min_stay", "current_min_stay", "current_rate", "target_occupancy", "season_name", "renting_type",
+)
+BASE_COLUMNS = sorted((*_DAY_COLUMNS, *unit_days.HOUSE_COLUMNS, *unit_days.SALE_COLUMNS, "max_adults"))
+SALES_COLUMNS = sorted(
+    (
+        *_DAY_COLUMNS, *unit_days.HOUSE_COLUMNS, *unit_days.SALE_COLUMNS,
+        "holiday_of_year", "holiday_name", "holiday_days", "season_interval", "sale_status", "in_target",
+        "channel", "booking_year_month", "booking_adjusted_day", "ytd", "mtd", "l7d", "week",
+        "booking_year_label", "stay_year_label", "stay_adjusted_day", "year", "month", "is_future",
+        "lead_days", "booking_month", "stay_month", "lead_band", "lead_order", "stay_band",
+        "first_booking", "last_sold_day", "first_sold_day",
+    )
+)
+
+
+def _by_unit_and_month(rows, columns):
+    """Number of rows, sold ones and hashes of whole rows, per unit and month."""
+    if sorted(rows.columns) != columns:
+        raise ValueError(f"other columns than expected: {set(rows.columns) ^ set(columns)}")
+    texts = [
+        F.coalesce((F.col(c).cast("decimal(18,2)") if c in _AMOUNTS else F.col(c)).cast("string"), F.lit("~"))
+        for c in columns
+    ]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 12), 16, 10).cast("bigint")
+    return rows.groupBy("unit_id", "manager", F.trunc("date", "MM").alias("first_day")).agg(
+        F.count(F.lit(1)).alias("unit_days"), F.count("reservation").alias("sold"), F.sum(digest).alias("digest")
+    )
+
+
+def _digest_sql(source: str, columns) -> str:
+    texts = ", ".join(
+        f"coalesce(CAST({f'CAST({c} AS DECIMAL(18,2))' if c in _AMOUNTS else c} AS VARCHAR), '~')" for c in columns
+    )
+    return f"""
+    SELECT unit_id, manager, CAST(date_trunc('month', date) AS DATE) AS first_day, count(*) AS unit_days,
+           count(reservation) AS sold,
+           CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 12) AS BIGINT)) AS BIGINT) AS digest
+    FROM {source} GROUP BY ALL"""
+
+
 _SALE = ", ".join(
-    f"b.{c}" if c not in ("hear_about_name", "travelagent_name") else f"CAST(NULL AS VARCHAR) AS {c}"
+    c if c not in ("hear_about_name", "travelagent_name") else f"CAST(NULL AS VARCHAR) AS {c}"
     for c in unit_days.SALE_COLUMNS
 )
-_HOUSE = ", ".join(f"d.{c}" for c in unit_days.HOUSE_COLUMNS)
+_HOUSE = ", ".join(unit_days.HOUSE_COLUMNS)
 
-# Units x days with sales, rates and prices; the days are named by the caller.
+# What the marts hold, by definition: each sale of a known unit, and each day of the
+# horizon on which a known unit has none.  The caller says what is known of units
+# (``known_units``) and of bookings (``bookings``).
 _UNIT_DAYS = """
-    spine AS (
-        SELECT u.id AS unit_id, u.manager,
-               CAST(unnest(generate_series({start}, {end}, INTERVAL 1 DAY)) AS DATE) AS date
-        FROM spine_units u),
-    day_rows AS (
-        SELECT a.unit_id, a.manager, a.date, b.id AS reservation,
-               CAST(NULL AS VARCHAR) AS sale_location, {sale},
-               c.season AS target_season, c.rate AS target_rate, c.min_stay AS target_min_stay,
-               g.min_stay AS current_min_stay, g.rate AS current_rate
-        FROM spine a
-        LEFT JOIN sales b ON a.unit_id = b.unit_id AND a.manager = b.manager AND a.date = b.date
-        LEFT JOIN target_rates c ON a.unit_id = c.id_unit AND a.manager = c.manager AND a.date = c.date
-        LEFT JOIN current_prices g ON a.unit_id = g.id_unit AND a.manager = g.manager AND a.date = g.date)
+    sold AS (
+        SELECT * FROM known_units JOIN bookings USING (unit_id, manager)
+        WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-12-30'),
+    free AS (
+        SELECT * FROM known_units,
+             (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-30', INTERVAL 1 DAY)) AS DATE) AS date)
+        WHERE (unit_id, manager, date) NOT IN (SELECT (unit_id, manager, date) FROM sold)),
+    wanted AS (
+        SELECT id_unit AS unit_id, manager, date, season AS target_season, rate AS target_rate,
+               min_stay AS target_min_stay FROM target_rates),
+    asked AS (
+        SELECT id_unit AS unit_id, manager, date, rate AS current_rate, min_stay AS current_min_stay
+        FROM current_prices),
+    unit_days AS (
+        SELECT *, CAST(NULL AS VARCHAR) AS sale_location
+        FROM (SELECT * FROM sold UNION ALL BY NAME SELECT * FROM free)
+        LEFT JOIN wanted USING (unit_id, manager, date) LEFT JOIN asked USING (unit_id, manager, date)
+        LEFT JOIN (SELECT * RENAME (occupancy AS target_occupancy, season AS season_name) FROM seasons)
+            USING (manager, date))
 """
+_BASE_VIEWS = "spine_units sales target_rates current_prices listed_units seasons"
+_BASE_SQL = f"""WITH known_units AS (
+        SELECT s.id AS unit_id, s.manager, {_HOUSE}, max_adults, renting_type
+        FROM spine_units s LEFT JOIN listed_units h ON h.id = s.id AND {folded("h.manager")} = {folded("s.manager")}),
+    bookings AS (SELECT unit_id, manager, date, id AS reservation, {_SALE} FROM sales),
+    {_UNIT_DAYS}"""
+
+
+@query(_BASE_VIEWS, _BASE_SQL + _digest_sql("unit_days", BASE_COLUMNS))
+def unit_day_base(spark, sf):
+    """Every unit and day of the horizon with sales, rates and attributes: rows, sold
+    rows and a hash of all values per unit and month."""
+    rows = unit_days.unit_day_base(_inputs(spark, sf, V.listed_units(spark, sf)), *V.HORIZON)
+    return _by_unit_and_month(rows, BASE_COLUMNS)
+
+
+def _respelled(df):
+    """The manager in another case, with accents or trailing blanks, by booking type."""
+    kind = F.col("type_name")
+    return df.withColumn(
+        "manager",
+        F.when(kind == "1-URGENT", F.lower("manager"))
+        .when(kind == "2-HIGH", F.concat("manager", F.lit("  ")))
+        .when(kind == "3-MEDIUM", F.translate("manager", "AEIOU", "ÁÊÍÕÜ"))
+        .otherwise(F.col("manager")),
+    )
 
 
 @query(
-    "spine_units sales target_rates current_prices listed_units seasons",
-    "WITH "
-    + _UNIT_DAYS.format(start="DATE '1998-06-10'", end="DATE '1998-09-08'", sale=_SALE)
+    _BASE_VIEWS,
+    _BASE_SQL
     + f"""
-    SELECT a.*, {_HOUSE}, d.max_adults, d.renting_type, f.occupancy AS target_occupancy,
-           f.season AS season_name
-    FROM day_rows a LEFT JOIN listed_units d ON a.unit_id = d.id AND a.manager = d.manager
-    LEFT JOIN seasons f ON a.manager = f.manager AND a.date = f.date""",
+    SELECT unit_id, {folded("manager")} AS manager_key, count(*) AS unit_days, count(DISTINCT date) AS days,
+           count(reservation) AS sold, count(name) AS named
+    FROM unit_days GROUP BY ALL""",
 )
-def unit_day_base(spark, sf):
-    """Every unit and day of the report window with sales, rates and attributes."""
-    return unit_days.unit_day_base(
-        _inputs(spark, sf, V.listed_units(spark, sf)), *report_window(V.AS_OF)
+def unit_days_respelled(spark, sf):
+    """Units whose bookings spell the manager in several ways have each day once."""
+    data = _inputs(spark, sf, V.listed_units(spark, sf))
+    data = replace(data, reservations=_respelled(data.reservations), sales=_respelled(data.sales))
+    rows = unit_days.unit_day_base(data, *V.HORIZON)
+    return rows.groupBy("unit_id", norm_key("manager").alias("manager_key")).agg(
+        F.count(F.lit(1)).alias("unit_days"),
+        F.count_distinct("date").alias("days"),
+        F.count("reservation").alias("sold"),
+        F.count("name").alias("named"),
     )
 
 
-_SALES_SQL = """
-    partial AS (
-        SELECT a.*, {house}, coalesce(d.renting_type, 'NON-RENTING') AS renting_type,
-               f.occupancy AS target_occupancy, f.holiday_of_year, f.holiday_name, f.holiday_days,
-               f.season AS season_name, f.season_interval,
-               coalesce(h.status, 'Disponivel') AS sale_status, coalesce(i.value, 'NÃO') AS in_target,
-               j.channel, k.year_month AS booking_year_month, k.adjusted_day AS booking_adjusted_day,
-               k.ytd, k.mtd, k.l7d, k.week, k.year_label AS booking_year_label,
-               l.year_label AS stay_year_label, l.adjusted_day AS stay_adjusted_day,
-               year(a.date) AS year, month(a.date) AS month,
-               CAST(a.date >= DATE '1998-06-15' AS BIGINT) AS is_future,
-               date_diff('day', a.creation_date, a.date) AS lead_days,
-               strftime(k.adjusted_day, '%m. %b') AS booking_month, strftime(a.date, '%m. %b') AS stay_month
-        FROM day_rows a
-        LEFT JOIN houses d ON a.unit_id = d.id AND a.manager = d.manager
-        LEFT JOIN seasons f ON a.manager = f.manager AND a.date = f.date
-        LEFT JOIN sale_status h ON lower(a.type_name) = lower(h.type_name)
-        LEFT JOIN target_units i ON a.unit_id = i.id_unit
-        LEFT JOIN channels j ON a.type_name = j.type_name
-        LEFT JOIN calendar k ON a.creation_date = k.day
-        LEFT JOIN calendar l ON a.date = l.day),
-    first_sale AS (
-        SELECT unit_id, manager, min(creation_date) AS first_booking, max(date) AS last_sold_day,
-               min(date) AS first_sold_day
-        FROM partial WHERE reservation > 0 AND creation_date IS NOT NULL GROUP BY unit_id, manager),
+def _bands(column: str, limits, unit: str) -> str:
+    """CASE over ascending limits; the labels are fixed."""
+    cases = " ".join(f"WHEN {column} <= {n} THEN '<= {n} {unit}'" for n in limits)
+    return f"CASE WHEN {column} IS NULL THEN '-' {cases} ELSE 'Acima de {limits[-1]} {unit}' END"
+
+
+_LEAD = (30, 60, 90, 120, 180)
+_LEAD_ORDER = " ".join(f"WHEN lead_days <= {n} THEN '{i}'" for i, n in enumerate(_LEAD, 1))
+_SALES_SQL = f"""WITH known_units AS (
+        SELECT s.id AS unit_id, s.manager, {_HOUSE}, coalesce(renting_type, 'NON-RENTING') AS renting_type,
+               coalesce((SELECT max(value) FROM target_units t WHERE t.id_unit = s.id), 'NÃO') AS in_target,
+               first_booking, last_sold_day, first_sold_day
+        FROM spine_units s LEFT JOIN houses h ON h.id = s.id AND {folded("h.manager")} = {folded("s.manager")}
+        LEFT JOIN (SELECT unit_id, manager, min(creation_date) AS first_booking, max(date) AS last_sold_day,
+                          min(date) AS first_sold_day
+                   FROM sales WHERE id > 0 AND creation_date IS NOT NULL AND date IS NOT NULL GROUP BY ALL) f
+            ON f.unit_id = s.id AND f.manager = s.manager
+        WHERE s.id NOT IN (SELECT from_id FROM mirror_units)),
+    bookings AS (
+        SELECT unit_id, manager, date, id AS reservation, {_SALE}, channel,
+               year_month AS booking_year_month, adjusted_day AS booking_adjusted_day, ytd, mtd, l7d, week,
+               year_label AS booking_year_label,
+               (SELECT max(status) FROM sale_status o WHERE {folded("o.type_name")} = {folded("sales.type_name")}) AS sold_as
+        FROM sales LEFT JOIN channels USING (type_name)
+        LEFT JOIN (SELECT day, year_month, adjusted_day, ytd, mtd, l7d, week, year_label FROM calendar)
+            ON creation_date = day),
+    {_UNIT_DAYS},
     finished AS (
-        SELECT p.*,
-               CASE WHEN lead_days IS NULL THEN '-' WHEN lead_days <= 30 THEN '<= 30 days'
-                    WHEN lead_days <= 60 THEN '<= 60 days' WHEN lead_days <= 90 THEN '<= 90 days'
-                    WHEN lead_days <= 120 THEN '<= 120 days' WHEN lead_days <= 180 THEN '<= 180 days'
-                    ELSE 'Acima de 180 days' END AS lead_band,
-               CASE WHEN lead_days IS NULL THEN '-' WHEN lead_days <= 30 THEN '1'
-                    WHEN lead_days <= 60 THEN '2' WHEN lead_days <= 90 THEN '3'
-                    WHEN lead_days <= 120 THEN '4' WHEN lead_days <= 180 THEN '5' ELSE '6' END AS lead_order,
-               CASE WHEN days_number IS NULL THEN '-' WHEN days_number <= 3 THEN '<= 3 nigths'
-                    WHEN days_number <= 5 THEN '<= 5 nigths' WHEN days_number <= 7 THEN '<= 7 nigths'
-                    WHEN days_number <= 10 THEN '<= 10 nigths' WHEN days_number <= 15 THEN '<= 15 nigths'
-                    ELSE 'Acima de 15 nigths' END AS stay_band,
-               s.first_booking, s.last_sold_day, s.first_sold_day
-        FROM partial p LEFT JOIN first_sale s ON p.unit_id = s.unit_id AND p.manager = s.manager
-        WHERE p.unit_id NOT IN (SELECT from_id FROM mirror_units))
+        SELECT *, {_bands("lead_days", _LEAD, "days")} AS lead_band,
+               CASE WHEN lead_days IS NULL THEN '-' {_LEAD_ORDER} ELSE '{len(_LEAD) + 1}' END AS lead_order,
+               {_bands("days_number", (3, 5, 7, 10, 15), "nigths")} AS stay_band
+        FROM (SELECT u.*, coalesce(sold_as, 'Disponivel') AS sale_status, year(date) AS year, month(date) AS month,
+                     CAST(date >= DATE '1998-06-15' AS BIGINT) AS is_future,
+                     date_diff('day', creation_date, date) AS lead_days,
+                     strftime(booking_adjusted_day, '%m. %b') AS booking_month, strftime(date, '%m. %b') AS stay_month,
+                     stay.year_label AS stay_year_label, stay.adjusted_day AS stay_adjusted_day
+              FROM unit_days u LEFT JOIN calendar stay ON stay.day = u.date))
 """
 _SALES_VIEWS = (
     "spine_units sales target_rates current_prices houses seasons sale_status target_units "
@@ -264,7 +339,7 @@ _SALES_VIEWS = (
 )
 
 
-def _unit_day_sales(spark, sf, start, end):
+def _unit_day_sales(spark, sf):
     return unit_days.unit_day_sales(
         _inputs(spark, sf, _houses_of(spark, sf)),
         stored(calendar_of(spark, sf), "calendar"),
@@ -272,37 +347,23 @@ def _unit_day_sales(spark, sf, start, end):
         stored(V.channels(spark, sf), "channels"),
         V.target_units(spark, sf),
         V.mirror_units(spark, sf).select(F.col("from_id").alias("unit_id")),
-        start,
-        end,
+        *V.HORIZON,
         V.AS_OF,
     )
 
 
-def _sales_query(start: str, end: str, tail: str) -> str:
-    return (
-        "WITH "
-        + _UNIT_DAYS.format(start=start, end=end, sale=_SALE)
-        + ","
-        + _SALES_SQL.format(house=_HOUSE)
-        + tail
-    )
-
-
-@query(
-    _SALES_VIEWS,
-    _sales_query("DATE '1998-06-10'", "DATE '1998-09-08'", "SELECT * FROM finished"),
-)
+@query(_SALES_VIEWS, _SALES_SQL + _digest_sql("finished", SALES_COLUMNS))
 def unit_day_sales(spark, sf):
-    """Unit-day sales with bands, flags and first-sale dates, report window."""
-    return _unit_day_sales(spark, sf, *report_window(V.AS_OF))
+    """Unit-day sales of the whole horizon with bands, flags and first-sale dates: rows,
+    sold rows and a hash of all values per unit and month."""
+    return _by_unit_and_month(_unit_day_sales(spark, sf), SALES_COLUMNS)
 
 
 @query(
     _SALES_VIEWS,
-    _sales_query(
-        "DATE '1995-01-01'",
-        "DATE '2001-12-31'",
-        """SELECT manager, renting_type, year, month, sale_status, lead_band, stay_band, ytd, in_target,
+    _SALES_SQL
+    + """
+        SELECT manager, renting_type, year, month, sale_status, lead_band, stay_band, ytd, in_target,
                count(*) AS unit_days, count(reservation) AS sold,
                CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
                CAST(sum(CAST(target_rate AS DECIMAL(18,2))) AS DOUBLE) AS target,
@@ -319,7 +380,6 @@ def unit_day_sales(spark, sf):
                count(*) FILTER (week = 'S-1') AS last_week_days, count(*) FILTER (mtd = 'MTD') AS mtd_days,
                max(stay_adjusted_day) AS stay_adjusted_day
         FROM finished GROUP BY ALL""",
-    ),
 )
 def unit_day_sales_by_month(spark, sf):
     """Unit-day sales over the whole history, summed by month and band."""
@@ -327,7 +387,7 @@ def unit_day_sales_by_month(spark, sf):
     def money(name):
         return F.sum(F.col(name).cast("decimal(18,2)"))
 
-    rows = _unit_day_sales(spark, sf, *V.HORIZON)
+    rows = _unit_day_sales(spark, sf)
     return rows.groupBy(
         "manager", "renting_type", "year", "month", "sale_status", "lead_band", "stay_band", "ytd", "in_target"
     ).agg(

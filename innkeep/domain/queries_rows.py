@@ -9,6 +9,7 @@ from innkeep.domain.registry import query
 from innkeep.functions import dates as D
 from innkeep.operators import columns as P, joins as J, quality as Q, rows as R
 from innkeep.operators.nested import flatten
+from innkeep.session import stored
 
 
 @query(
@@ -139,7 +140,8 @@ def two_calendars(spark, sf):
     """The calendar joined twice: on the booking day and on the stay day."""
     from innkeep.domain.queries_marts import calendar_of
 
-    calendar = calendar_of(spark, sf)
+    # stored, so that Spark knows it is small before any reservation moves
+    calendar = stored(calendar_of(spark, sf), "calendar")
     rows = V.bookings(spark, sf).select("id", "creation_date", "startdate")
     rows = J.lookup(
         rows,

@@ -112,20 +112,21 @@ def snapshot_insert_absent(spark, sf):
 
 @query(
     "",
-    """SELECT event_id, user_id, value, 'current' AS copy FROM events WHERE event_type = 'click'
+    """SELECT l_orderkey AS reservation_id, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS price,
+           'current' AS copy FROM lineitem WHERE l_linenumber % 2 = 1
     UNION ALL
-    SELECT event_id, user_id, value, 'history' FROM events""",
+    SELECT l_orderkey, CAST(l_shipdate AS DATE), l_extendedprice, 'history' FROM lineitem""",
 )
 def price_history_current(spark, sf):
     """Price table replaced by each load, its history appended to."""
     history, current = scratch_path(spark, "history"), scratch_path(spark, "current")
-    events = V.table(spark, sf, "events")
-    kinds = [r[0] for r in events.select("event_type").distinct().collect()]  # a row per load
-    for kind in sorted(kinds, key=lambda k: (k == "click", k)):
-        load = events.where(F.col("event_type") == kind).select("event_id", "user_id", "value")
-        tables.write_history_and_current(load, history, current)
+    prices = V.price_days(spark, sf)
+    for day in (dt.date(1998, 6, 13), dt.date(1998, 6, 14)):
+        load = prices.where(F.to_date("data_price") == F.lit(day)).select("reservation_id", "date", "price")
+        tables.write_history_and_current(load, history, current, day.isoformat())
     now = spark.read.parquet(current).withColumn("copy", F.lit("current"))
-    return now.unionByName(spark.read.parquet(history).withColumn("copy", F.lit("history")))
+    every = spark.read.parquet(history).drop("load")
+    return now.unionByName(every.withColumn("copy", F.lit("history")))
 
 
 @query(

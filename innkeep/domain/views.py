@@ -10,9 +10,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from innkeep.functions.dates import calendar_end
+
 AS_OF = dt.date(1998, 6, 15)
 YEARS = range(1995, 2002)
-HORIZON = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+HORIZON = (dt.date(1995, 1, 1), calendar_end(AS_OF))
 LOAD_TIME = "1998-06-15 02:00:00"
 
 

@@ -29,14 +29,15 @@ BUSINESS_ZONE = "America/Sao_Paulo"
 # Timestamp shapes accepted by parse_ts, most specific first.  Each pattern is
 # read with a trailing numeric offset, which parse_ts adds where it is missing.
 TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy h:mm a",
+    "yyyy-MM-dd HH:mm[:ss][.SSSSSS]",
+    "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS]",
+    "M/d/yyyy H:mm[:ss][.SSSSSS]",
+    "M/d/yyyy h:mm[:ss] a",
     "M/d/yyyy",
     "yyyy-MM-dd",
+    "yyyy/M/d[ H:mm][:ss][.SSSSSS]",
+    "M-d-yyyy[ H:mm][:ss][.SSSSSS]",
+    "MMM d, yyyy[ H:mm][:ss][.SSSSSS]",
 )
 
 # The calendar starts here and ends this many days after
@@ -100,8 +101,13 @@ def zone_to_offset(c: Column | str) -> Column:
 
 def parse_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Mixed-format text to an instant (TIMESTAMP).  Text without an offset is
-    UTC; slashed dates are month-first; what no format reads becomes NULL."""
-    text = F.regexp_replace(zone_to_offset(c), r"\s*([+-]\d{2}:\d{2})$", "$1")
+    UTC; offsets may lack their colon or minutes, fractions are cut at the
+    microsecond; slashed and dashed dates are month-first unless they begin with the
+    year; what no format reads becomes NULL."""
+    text = F.regexp_replace(zone_to_offset(c), r"(\.\d{6})\d+", "$1")
+    text = F.regexp_replace(text, r"(:\d{2}(?:\.\d+)?(?: [AaPp][Mm])?)\s*([+-]\d{2})$", "$1$2:00")
+    text = F.regexp_replace(text, r"(:\d{2}(?:\.\d+)?(?: [AaPp][Mm])?)\s*([+-]\d{2})(\d{2})$", "$1$2:$3")
+    text = F.regexp_replace(text, r"\s*([+-]\d{2}:\d{2})$", "$1")
     text = F.when(text.rlike(r"[+-]\d{2}:\d{2}$"), text).otherwise(
         F.concat(F.regexp_replace(text, "Z$", ""), F.lit("+00:00"))
     )
@@ -119,14 +125,18 @@ def to_business_time(c: Column | str, zone: str = BUSINESS_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
-def strip_zone(c: Column | str) -> Column:
-    """Drop trailing zone letters."""
-    return F.regexp_replace(as_col(c), r"\s?[A-Z]{2,4}$", "")
+def strip_zone(c: Column | str, literal: bool = False) -> Column:
+    """Drop trailing zone letters.  AM and PM are not a zone, except with ``literal``,
+    which drops any two to four capitals at the end."""
+    letters = r"[A-Z]{2,4}$" if literal else r"(?<![A-Z])(?!(?:AM|PM)$)[A-Z]{2,4}$"
+    return F.regexp_replace(as_col(c), r"\s?" + letters, "")
 
 
-def parse_local_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
+def parse_local_ts(
+    c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS, literal: bool = False
+) -> Column:
     """Text with or without zone letters to a wall-clock TIMESTAMP_NTZ."""
-    return to_business_time(parse_ts(strip_zone(c), formats), "UTC")
+    return to_business_time(parse_ts(strip_zone(c, literal), formats), "UTC")
 
 
 # -- months -----------------------------------------------------------------

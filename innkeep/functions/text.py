@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -13,9 +14,19 @@ from innkeep.functions import as_col
 _SPACE = r"(?U)\s+"
 
 
+# Accented Latin letters and their base letters; combining marks have none.
+_ACCENTED = {
+    ch: base[0]
+    for ch in map(chr, range(0xE0, 0x250))
+    if len(base := unicodedata.normalize("NFD", ch)) > 1 and base[0].isascii() and ch.islower()
+}
+_MARKS = "".join(map(chr, range(0x300, 0x370)))
+
+
 def norm_key(c: Column | str) -> Column:
-    """Join key that ignores case and trailing blanks."""
-    return F.lower(F.rtrim(as_col(c)))
+    """Join key that ignores case, accents and trailing blanks."""
+    lower = F.lower(F.rtrim(as_col(c)))
+    return F.translate(lower, "".join(_ACCENTED) + _MARKS, "".join(_ACCENTED.values()))
 
 
 def norm_id(c: Column | str) -> Column:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from innkeep import schemas
 from innkeep.functions import dates as D
 from innkeep.functions.numbers import to_number
 from innkeep.operators.joins import lookup
-from innkeep.operators.rows import latest_row, pending, union_distinct
+from innkeep.functions.text import id_text, norm_key
+from innkeep.operators.rows import latest_row, pending, union_ragged
 from innkeep.operators.stays import unit_date_spine as spine
 
 # Fixed value: what a unit without a renting type counts as.
@@ -77,11 +79,25 @@ def property_list(docs: DataFrame, load_time: Column, body: str = "body") -> Dat
     )
 
 
+def _one_spelling(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per ``keys`` and manager, however the manager is spelled: as listed
+    (``_listed``) where it is, else the first spelling in order."""
+    folded = rows.groupBy(*keys, norm_key("manager").alias("_folded")).agg(
+        F.min(F.when(F.col("_listed"), F.col("manager"))).alias("_shown"),
+        F.min("manager").alias("_any"),
+    )
+    return folded.select(*keys, F.coalesce("_shown", "_any").alias("manager"))
+
+
 def spine_units(properties: DataFrame, reservations: DataFrame) -> DataFrame:
-    """Distinct (id, manager) of rented-out properties and of reservations."""
-    listed = properties.where(F.col("renting_type") == RENTING).select("id", "manager")
-    booked = reservations.select(F.col("unit_id").alias("id"), "manager")
-    return union_distinct([listed, booked])
+    """One (id, manager) per unit of rented-out properties and of reservations;
+    managers that differ in case, accents or trailing blanks only are the same."""
+    listed = properties.where(F.col("renting_type") == RENTING).select("id", "manager", F.lit(True).alias("_listed"))
+    booked = reservations.select(F.col("unit_id").alias("id"), "manager", F.lit(False).alias("_listed"))
+    units = listed.unionByName(booked)
+    if isinstance(units.schema["id"].dataType, T.StringType):
+        units = units.withColumn("id", id_text("id"))
+    return _one_spelling(units, ["id"])
 
 
 def unit_date_spine(
@@ -109,7 +125,8 @@ def house_dimension(
     match_manager: bool = True,
 ) -> DataFrame:
     """All units ever known: listed ones, the latest history row of each id, and
-    booked units that are not listed (with empty attributes).
+    booked units that are not listed (with empty attributes).  Rows that differ
+    in the spelling of the manager only are one.
 
     The renting type comes from the current list, matched on id and manager
     (``match_manager=False``: on id alone, which repeats rows when several
@@ -123,7 +140,9 @@ def house_dimension(
             for c in _HOUSE
         ]
     )
-    houses = union_distinct([current, past, unlisted])
+    listed = F.lit(True).alias("_listed")
+    known = union_ragged([current.select("*", listed), past, unlisted])
+    houses = _one_spelling(known, [c for c in _HOUSE if c != "manager"]).select(*_HOUSE)
     on = {"id": "id", "manager": "manager"} if match_manager else {"id": "id"}
     text_keys = ("manager",) if match_manager else ()
     typed = lookup(houses, properties, on, {"renting_type": "renting_type"}, text_keys)

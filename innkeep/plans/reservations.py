@@ -72,7 +72,7 @@ def reservations_by_date(
     joins them all).  Mirror units are mapped to their main unit after the
     join; listed bookings get a corrected booking date.  Of columns both sides
     have, the reservation's stays."""
-    kept = reservations.where(F.col("status_id").isin(*statuses))
+    kept = reservations.where(F.col("status_id").try_cast("bigint").isin(*statuses))
     kept = cleaning.remap(kept, "unit_id", mirrors)
     if booking_patches is not None:
         kept = cleaning.patch(kept, "id", "creation_date", booking_patches)

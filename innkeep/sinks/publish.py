@@ -1,52 +1,75 @@
 """Staged publish.
 
-A published table has two slots and an append-only log.  A new load is written
-to the slot that is not current and becomes visible by one appended log row, so
-readers see either the old or the new table, and a failed run changes nothing.
-The slot left behind is overwritten by the next publish.
+Each load is written to a folder of its own and becomes visible by one log row, named
+after its version, so readers see either the old or the new table, and a failed run
+changes nothing.  Older versions stay for ``KEEP`` further publishes, for readers that
+still have them open.  A publisher that another one has overtaken is refused.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from innkeep.operators.quality import gate_passed
 from innkeep.sinks.tables import read_if_exists, write_table
 
-_LOG = "version bigint, slot int, n_rows bigint"
+#: A replaced version stays readable until so many more have been published.
+KEEP = 10
+
+_LOG = "folder string, n_rows bigint"
+
 
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    return read_if_exists(spark, f"{root}/log")
 
-def current_version(spark: SparkSession, root: str) -> tuple[int, int] | None:
-    """(version, slot) of the published table, None before the first publish."""
-    log = read_if_exists(spark, f"{root}/log")
+
+def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """(version, folder) of the published table, None before the first publish."""
+    log = _log(spark, root)
     if log is None:
         return None
-    row = log.agg(F.max(F.struct("version", "slot")).alias("v")).select("v.*").first()
-    return None if row["version"] is None else (row["version"], row["slot"])
+    row = log.agg(F.max(F.struct("version", "folder")).alias("v")).select("v.*").first()
+    return None if row["version"] is None else (row["version"], row["folder"])
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing published at {root}")
-    return spark.read.parquet(f"{root}/slot{version[1]}")
+    return spark.read.parquet(f"{root}/{version[1]}")
 
 
-def publish(df: DataFrame, root: str) -> bool:
-    """Swap ``df`` in as the published table.  An empty ``df`` leaves the table
-    as it is and returns False."""
+def publish(df: DataFrame, root: str, keep: int = KEEP) -> bool:
+    """Make ``df`` the published table.  An empty ``df`` leaves the table as it is
+    and returns False.  Raises RuntimeError if another load was published meanwhile."""
     spark = df.sparkSession
-    version, slot = current_version(spark, root) or (0, 1)
-    slot = 1 - slot
-    write_table(df, f"{root}/slot{slot}")
-    rows = spark.read.schema(df.schema).parquet(f"{root}/slot{slot}").count()
+    before = current_version(spark, root)
+    version = before[0] + 1 if before else 1
+    folder = f"data/v{version}-{uuid.uuid4().hex}"
+    write_table(df, f"{root}/{folder}")
+    rows = spark.read.schema(df.schema).parquet(f"{root}/{folder}").count()
     if rows == 0:
         return False
-    entry = spark.createDataFrame([(version + 1, slot, rows)], _LOG)
-    write_table(entry.coalesce(1), f"{root}/log", mode="append")
+    if current_version(spark, root) != before:
+        raise RuntimeError(f"{root}: another load was published during this one")
+    entry = spark.createDataFrame([(folder, rows)], _LOG)
+    # fails if the version has a log row by now
+    write_table(entry.coalesce(1), f"{root}/log/version={version}", mode="error")
+    _expire(spark, root, version - keep)
     return True
 
 
+def _expire(spark: SparkSession, root: str, version: int) -> None:
+    """Remove the data of ``version``, which nobody should be reading any more."""
+    if version < 1:
+        return
+    old = _log(spark, root).where(F.col("version") == version).first()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{old['folder']}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish_if(gate: DataFrame, df: DataFrame, root: str) -> bool:
     """Publish only when the gate passed."""
     return gate_passed(gate) and publish(df, root)

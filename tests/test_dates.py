@@ -82,6 +82,14 @@ def test_zone_letters(value, raw, text):
         ("1/2/2025 9:05 PM", dt.datetime(2025, 1, 2, 18, 5)),
         ("01/02/2025 09:05:06 PM EST", dt.datetime(2025, 1, 2, 23, 5, 6)),
         ("2025-01-02", dt.datetime(2025, 1, 1, 21, 0)),
+        ("2025-01-02 10:00", dt.datetime(2025, 1, 2, 7, 0)),
+        ("2025-01-02T10:00:00+0000", dt.datetime(2025, 1, 2, 7, 0)),
+        ("2025-01-02T10:00:00-03", dt.datetime(2025, 1, 2, 10, 0)),
+        ("2025-01-02 10:00:00.123456789", dt.datetime(2025, 1, 2, 7, 0)),
+        ("01/05/2025 10:30:00.5", dt.datetime(2025, 1, 5, 7, 30)),
+        ("2025/01/02 10:00:00", dt.datetime(2025, 1, 2, 7, 0)),
+        ("01-15-2025 10:30:00", dt.datetime(2025, 1, 15, 7, 30)),
+        ("Jan 5, 2025 10:30", dt.datetime(2025, 1, 5, 7, 30)),
         ("01/02/2025 10:00:00 XYZ", None),
         ("soon", None),
         (None, None),
@@ -101,6 +109,13 @@ def test_local_time_drops_zone_letters(value):
     assert value(D.parse_local_ts("a"), a="01/02/2025 08:00:00 EST") == dt.datetime(2025, 1, 2, 8)
 
 
+def test_local_time_keeps_the_half_of_the_day(value):
+    evening, morning = dt.datetime(2025, 1, 5, 22, 30), dt.datetime(2025, 1, 5, 10, 30)
+    for raw in ("01/05/2025 10:30 PM", "01/05/2025 10:30 PM EST"):
+        assert value(D.parse_local_ts("a"), a=raw) == evening
+    assert value(D.parse_local_ts("a", literal=True), a="01/05/2025 10:30 PM") == morning
+
+
 # adjusted day -> (ytd, mtd, l7d, week), as of 1998-06-15
 RELATIVE = {
     "1998-06-14": ("YTD", "MTD", "L7D", "S"),

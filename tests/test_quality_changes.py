@@ -151,10 +151,10 @@ def test_board_survives_its_sheet(spark, as_of, rows):
     assert O.board_from_sheet(spark.createDataFrame([], "row_no int, cells array<string>")) is None
 
 
-def test_boards_are_shuffled_once(spark, as_of):
+def test_changes_use_joins_that_split_a_hot_key(spark, as_of):
     some = board(spark, ("1", "A", 1, 20, 25, 20))
     plan = O.housekeeping_changes(some, some, as_of)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FullOuter") == 1 and plan.count("Exchange hashpartitioning") <= 2
+    assert "FullOuter" not in plan and "Inner" in plan and "LeftAnti" in plan
 
 
 def test_units_to_register(spark, rows):

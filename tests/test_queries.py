@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from innkeep.domain import load_queries
 from compare import TABLES, rows_of, same_kind
 
 SF = "/root/testdata/sf0.001"
@@ -35,11 +36,14 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+QUERIES, ORACLES = load_queries()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    relation = db.execute(entry.oracle_sql()[name])
+    relation = db.execute(ORACLES[name])
     names = [d[0] for d in relation.description]
     kinds = {d[0]: str(d[1]) for d in relation.description}
     assert sorted(df.columns) == sorted(names)
@@ -59,7 +63,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def plan_of(spark, name):

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,20 @@ def test_publish_swaps_and_keeps_on_empty(spark, root, rows):
     assert rows(publish.read_published(spark, root)) == [(4,)]
 
 
+def test_reader_outlives_further_publishes(spark, root, rows):
+    publish.publish(nums(spark, 1), root)
+    reader = publish.read_published(spark, root)
+    for value in (2, 3, 4):
+        publish.publish(nums(spark, value), root)
+    assert rows(reader) == [(1,)] and rows(publish.read_published(spark, root)) == [(4,)]
+
+
+def test_old_versions_go(spark, root):
+    for value in (1, 2, 3):
+        publish.publish(nums(spark, value), root, keep=1)
+    assert len(os.listdir(root + "/data")) == 1
+
+
 def test_published_table_can_feed_its_own_next_version(spark, root, rows):
     publish.publish(nums(spark, 1), root)
     publish.publish(publish.read_published(spark, root).union(nums(spark, 2)), root)
@@ -77,9 +92,9 @@ def test_snapshot_if_absent(spark, root, rows):
 
 
 def test_history_and_current(spark, root, rows):
-    for values in ((1,), (2,)):
-        tables.write_history_and_current(nums(spark, *values), root + "h", root + "c")
-    assert rows(spark.read.parquet(root + "h")) == [(1,), (2,)]
+    for load, *values in (("a", 9), ("a", 1), ("b", 2)):  # the first load is run again
+        tables.write_history_and_current(nums(spark, *values), root + "h", root + "c", load)
+    assert rows(spark.read.parquet(root + "h")) == [(1, "a"), (2, "b")]
     assert rows(spark.read.parquet(root + "c")) == [(2,)]
 
 

@@ -20,6 +20,7 @@ def test_id_text(value, raw, text):
 
 def test_norm_key_ignores_case_and_trailing_blanks(value):
     assert value(X.norm_key("a"), a="Main Office  ") == "main office"
+    assert value(X.norm_key("a"), a="CASA SÃO ") == value(X.norm_key("a"), a="Casa Sa\u0303o") == "casa sao"
 
 
 def test_squeeze_all_kinds_of_space(value):
