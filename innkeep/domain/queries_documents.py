@@ -85,7 +85,7 @@ def _pages(spark, sf) -> DataFrame:
 
 @query(
     "reservations",
-    """SELECT CAST(id AS VARCHAR) AS id, CAST(unit_id AS VARCHAR) AS unit_id,
+    """SELECT id, unit_id, confirmation_id,
            CASE WHEN type_name <> '2-HIGH' THEN email END AS email,
            CASE WHEN type_name NOT IN ('1-URGENT', '5-LOW')
                 THEN CAST(CAST(price_nightly AS DECIMAL(18,2)) AS DOUBLE) END AS price_nightly,
@@ -104,7 +104,7 @@ def reservations_clean(spark, sf):
     """Reservations from pages: first occurrence kept, values typed."""
     clean = RP.reservations_clean(_pages(spark, sf), "main office")
     return clean.select(
-        "id", "unit_id", "email", "price_nightly", "creation_date", "last_updated", "startdate",
+        "id", "unit_id", "confirmation_id", "email", "price_nightly", "creation_date", "last_updated", "startdate",
         "enddate", "manager",
     )
 

@@ -17,18 +17,23 @@ from innkeep.sources.documents import page_reservations
 # as reservations of the by-date mart.
 PRICE_COLUMNS = ("price_nightly", "price_total", "price_paidsum", "price_common", "price_balance")
 BY_DATE_STATUS = (4, 5, 6, 7)
+WHOLE_COLUMNS = (
+    "id", "confirmation_id", "unit_id", "client_id", "occupants", "occupants_small", "days_number",
+    "status_code", "status_id",
+)
 
 
 def reservations_clean(pages: DataFrame, manager: str, body: str = "body", page: str = "page") -> DataFrame:
     """Typed reservations from landed pages: the first occurrence of an id in
-    page order, null tokens removed, money and dates parsed, timestamps in the
-    business zone."""
+    page order, null tokens removed, whole numbers, money and dates parsed, timestamps
+    in the business zone.  What does not parse is NULL."""
     records = page_reservations(pages, body, page)
     unique = rows.first_by(records, ["id"], ["page", "pos"]).drop("page", "pos")
     named = clean_columns(unique.withColumn("manager", F.lit(manager)))
     clean = cleaning.null_tokens(named)
     return clean.withColumns(
         {
+            **{c: to_number(c, "bigint") for c in WHOLE_COLUMNS},
             **{c: to_number(c, MONEY) for c in PRICE_COLUMNS},
             **{c: D.to_business_time(D.parse_ts(c)) for c in ("creation_date", "last_updated")},
             **{c: D.parse_date(c) for c in ("startdate", "enddate")},

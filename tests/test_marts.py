@@ -66,6 +66,30 @@ def test_by_date(spark, rows):
     assert reservations_by_date(res, days, mirrors, latest_only=False).count() == 4
 
 
+def test_by_date_takes_text_statuses(spark, rows):
+    res = bookings(spark, (1, 10, "m", 4, "t", 1, None), (2, 11, "m", 8, "t", 1, None), (3, 12, "m", 5, "t", 1, None))
+    text = res.withColumn("status_id", F.when(F.col("id") == 3, "n/a").otherwise(F.col("status_id").cast("string")))
+    none = spark.createDataFrame([], "from_id bigint, to_id bigint")
+    assert rows(reservations_by_date(text, prices(spark, (1, D(2025, 1, 5), 1.0, D(2025, 1, 1), "x")), none), "id") == [(1,)]
+
+
+def test_units_are_one_however_their_manager_is_spelled(spark, rows):
+    listed = house(spark, (1, "a", "RENTING", "Casa São"))
+    booked = bookings(spark, (1, 1, "CASA SÃO ", 4, "t", 1, None), (2, 1, "Casa Sao", 4, "t", 1, None), (3, 2, "b", 4, "t", 1, None))
+    assert rows(dimensions.spine_units(listed, booked)) == [(1, "Casa São"), (2, "b")]
+
+
+def test_first_sales_do_not_depend_on_the_window(spark):
+    day = D(2025, 1, 2)
+    data = inputs(spark, sales(spark))
+    none = spark.createDataFrame([], "unit_id bigint")
+    flags = spark.createDataFrame([], "id_unit bigint, value string")
+    names = [spark.createDataFrame([], f"type_name string, {c} string") for c in ("status", "channel")]
+    cal = dimensions.calendar(spark, D(2024, 1, 1), D(2025, 12, 31), None, day)
+    got = unit_days.unit_day_sales(data, cal, *names, flags, none, D(2025, 1, 3), D(2025, 1, 3), day)
+    assert [(r.first_booking, r.last_sold_day) for r in got.where("unit_id = 1").collect()] == [(D(2024, 10, 1), day)]
+
+
 def inputs(spark, sales):
     rates = "id_unit bigint, manager string, date string, season string, rate double, min_stay int"
     return unit_days.Inputs(

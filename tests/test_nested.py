@@ -173,11 +173,11 @@ def test_reservations_clean(spark):
         {"data": {}},
     ).withColumnRenamed("unit_id", "page")
     got = {r.id: r for r in RP.reservations_clean(df, "m").collect()}
-    assert set(got) == {"1", "2", "3"}
-    one = got["1"]
+    assert set(got) == {1, 2, 3}
+    one = got[1]
     assert (one.price_nightly, one.startdate, one.enddate, one.email) == (Decimal("10.50"), dt.date(2025, 1, 2), None, None)
     assert one.creation_date == dt.datetime(2025, 1, 1, 12, 0) and one.manager == "m"
-    assert (got["2"].price_nightly, got["2"].creation_date) == (None, None)
+    assert (got[2].price_nightly, got[2].creation_date) == (None, None)
     assert RP.reservations_clean(df.where("page > 1"), "m").isEmpty()
 
 
@@ -189,7 +189,7 @@ def test_whole_files_are_documents(spark, tmp_path):
     records = documents.page_reservations(pages, "body", "file")
     assert sorted(r.id for r in records.collect()) == ["0", "1", "2", "9", "9", "9"]
     clean = RP.reservations_clean(pages, "m", page="file")
-    assert sorted(r.id for r in clean.collect()) == ["0", "1", "2", "9"]
+    assert sorted(r.id for r in clean.collect()) == [0, 1, 2, 9]
 
 
 def test_rates_and_targets(spark, rows):
