@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":  # local-cluster has processes of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="innkeep-")
     if context.getCheckpointDir() is None:
