@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import maybe_broadcast, packed, release, run_path, scratch, small_batches
+from innkeep.llm.common import WORD, maybe_broadcast, packed, release, run_path, scratch, small_batches
 from innkeep.session import stored
 
 #: Each size band's upper end over its lower end.
@@ -149,9 +149,9 @@ def set_id(hashes: np.ndarray) -> int:
 
 
 def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n, set, roles``: set sizes, equal sets' number, and tokens by band; the
-    latter once for each set and task."""
-    names = ["doc_id", "n", "set", "roles"]
+    """``doc_id, hash, n, set, roles``: the given hash of the text, set sizes, equal sets'
+    number, and tokens by band; the latter once for each set and task."""
+    names = ["doc_id", "hash", "n", "set", "roles"]
     kind = pa.list_(pa.struct([("band", pa.int32()), ("need", pa.int32()), ("tokens", pa.list_(pa.int64())), ("fold", pa.list_(pa.int64()))]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +169,9 @@ def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
                 seen.add(number)
                 found = roles(hashes, percent)
                 own.append([{"band": b, "need": need, "tokens": t.view(np.int64), "fold": f.view(np.int64)} for b, need, t, f in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()), pa.array(own, kind)], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()), pa.array(own, kind)], names)
 
-    return documents.mapInArrow(work, "doc_id long, n long, set long, roles array<struct<band int, need int, tokens array<long>, fold array<long>>>")
+    return documents.mapInArrow(work, "doc_id long, hash long, n long, set long, roles array<struct<band int, need int, tokens array<long>, fold array<long>>>")
 
 
 def _agree(percent: int) -> Column:
@@ -356,15 +356,19 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     still between different components.  So a group
     of many near copies gives pairs in proportion to its size, and no link between
     components is lost."""
-    spark = documents.sparkSession
-    small_batches(spark, 400)
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    with scratch(spark):
-        return stored(_grouped(rows, width, percent), "near-components")
+    with scratch(documents.sparkSession):
+        return stored(_named(*_grouped(documents, width, percent, key, text)), "near-components")
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def _grouped(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    spark = rows.sparkSession
+def _grouped(documents: DataFrame, width: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame | None]:
+    """The sketches of all rows, and the components of those sets that link."""
+    spark = documents.sparkSession
+    small_batches(spark, 400)
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), _text_hash(text).alias("hash"))
     docs = packed(sketched(rows, width, percent), "sketches")
     prefix = prefixes(docs, percent)
     folds = _folds(docs, prefix)
@@ -379,8 +383,7 @@ def _grouped(rows: DataFrame, width: int, percent: int) -> DataFrame:
     found = _joined(None, verified(pairs))
     release(spark)
     open_ = _still_open(large, found)
-    found = _joined(found, verified(_compared(open_, percent, every=True)))
-    return _named(docs, found)
+    return docs, _joined(found, verified(_compared(open_, percent, every=True)))
 
 
 def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame | None:
@@ -434,14 +437,29 @@ def _named(docs: DataFrame, found: DataFrame | None) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _first_rows(docs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``near_id_, near_hash_, near_rows_``: per component its smallest doc_id (none comes
+    last), the smallest text hash with that, and the number of rows that have both."""
+    rows = docs.where("n > 0").groupBy("set", "doc_id", "hash").agg(F.count(F.lit(1)).alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "rows")).alias("first")
+    sets = rows.groupBy("set").agg(first)
+    if found is not None:
+        sets = sets.join(found, "set", "left").select(F.coalesce("component", "set").alias("set"), "first")
+        sets = sets.groupBy("set").agg(F.min("first").alias("first"))
+    return sets.select(F.col("first.doc_id").alias("near_id_"), F.col("first.hash").alias("near_hash_"), F.col("first.rows").alias("near_rows_"))
+
+
 def first_of_groups(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """``documents`` with one row of each component: that of the smallest doc_id.  Of
-    rows with this id in the component any one stays, and of a component without any id
-    as well; texts without words stay unless they repeat an id."""
-    docs = documents.withColumn("near_row_", F.xxhash64("text"))
-    grouped = near_components(documents, width, percent)
-    kept = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("near_rows_"))
-    kept = packed(kept.withColumnRenamed("doc_id", "near_id_"), "near-kept")
-    stay = docs.join(maybe_broadcast(kept, kept.count()), F.col("doc_id").eqNullSafe(F.col("near_id_")))
-    many = stay.where("near_rows_ > 1").dropDuplicates(["doc_id"])
-    return stay.where("near_rows_ = 1").unionByName(many).select(*documents.columns)
+    """``documents`` with one row of each component: that of the smallest doc_id, rows
+    without id coming last.  Of several texts with this id in the component the one with
+    the smallest hash stays, and of rows equal in both any one.  Texts without words are
+    no copies of anything and all stay."""
+    with scratch(documents.sparkSession):
+        kept = stored(_first_rows(*_grouped(documents, width, percent, "doc_id", "text")), "near-kept")
+    docs = documents.withColumn("near_row_", _text_hash("text"))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("near_id_")) & (F.col("near_row_") == F.col("near_hash_"))
+    stay = docs.where(worded).join(maybe_broadcast(kept, kept.count()), same)
+    many = stay.where("near_rows_ > 1").dropDuplicates(["near_id_", "near_hash_"])
+    stay = stay.where("near_rows_ = 1").unionByName(many).select(*documents.columns)
+    return stay.unionByName(documents.where(~worded))

@@ -290,6 +290,25 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert {r[0] for r in kept.select("doc_id").collect()} == {c for _, _, c in brute_components(rows, 4, 85)}
 
 
+def test_first_of_groups_by_rows(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (prose(rng, 60) for _ in range(5))
+    rows = [(3, a), (7, a + " end"), (7, b), (None, c), (None, c + " end"), (None, d), (None, d), (9, e), (9, prose(rng, 60)), (None, a), (12, d.upper())]
+    rows += [(3, a), (5, ""), (5, " "), (5, None), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = collections.Counter(tuple(r) for r in jaccard.first_of_groups(docs).collect())
+    one_of = [r for r in kept if r in rows[3:5]]
+    assert len(one_of) == 1 and kept == collections.Counter([rows[0], rows[2], *one_of, *rows[7:9], rows[10], *rows[12:]])
+
+
+def test_first_of_groups_on_all_kinds_of_rows(documents):
+    kept = collections.Counter(r["doc_id"] for r in jaccard.first_of_groups(documents).collect())
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    blank = collections.Counter(i for i, t in rows if not (t or "").split())
+    names = {c for i, n, c in brute_components(rows, 4, 85) if n}
+    assert None not in names and kept == blank + collections.Counter(names)
+
+
 def test_url_filter(spark):
     urls = [
         "http://www.Example.com/en/1", "http://example.com/en/1", "https://a.com", "ftp://x.net/es/", "http://x.net/fr/a?b", "http://net/es/x",
