@@ -21,8 +21,12 @@ FIT_ROWS = 20_000
 TERMS, EVIDENCE = 256, 20.0
 #: Letters of the word beginnings that may become terms.
 STEMS = range(3, 9)
-#: Letters from which a whole word is also found with one letter wrong.
-FUZZY = 5
+#: Letters from which a whole word is also found with one error, and with two.
+FUZZY, LONG = 5, 8
+#: What a hit counts for by its errors, in a quotation, and near an address.
+BY_ERRORS, IN_QUOTES, ADDRESSED = (1.0, 0.8, 0.6), 0.6, 1.25
+#: States of a lexicon's automaton kept at once.
+STATES = 200_000
 #: Words to either side that make up a hit's context.
 WINDOW = 4
 #: Words whose matches a worker remembers at once.
@@ -34,6 +38,7 @@ ADDRESSING = frozenset("you your you're yourself he she they du dein ihr tu toi
 QUOTES = "\"“”„«»‘’'`"
 
 _WORD = re.compile(r"[^\W\d_]+")
+_JOINED = re.compile(r"[^\W\d_]+(?:[\d_@$!*+#]{1,2}[^\W\d_]+)*")
 
 
 def words_of(text: str) -> list[str]:
@@ -41,55 +46,65 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def joined_words_of(text: str) -> list[str]:
+    """As ``words_of``, with digits and symbols that stand between letters kept inside."""
+    return _JOINED.findall(text.lower())
+
+
+def errors_allowed(term: str) -> int:
+    return 0 if term.endswith("*") or len(term) < FUZZY else 1 if len(term) < LONG else 2
+
+
 class Lexicon:
     """A trie of terms, walked by Levenshtein automata.
 
     A term is a whole word, or a stem (ending in '*') that begins a word.  A state is
-    the set of (trie node, errors made) that an input can lead to; states and moves are
-    made when first needed and kept, so the intersection of trie and automata becomes
-    one deterministic automaton that reads a word once and mostly gives up after a few
-    letters.  Whole words of at least FUZZY letters match with one letter inserted, lost,
-    replaced; stems match exactly."""
+    the set of (trie node, errors made, letter due) that an input can lead to; states and
+    moves are made when first needed and kept, so the intersection of trie and automata
+    becomes one deterministic automaton that reads a word once and mostly gives up after a
+    few letters.  Whole words of at least FUZZY letters match with one letter inserted,
+    lost, replaced or swapped with the next, those of at least LONG letters with two such
+    errors; stems match exactly."""
 
     def __init__(self, terms: list[str]):
         self.terms = terms
         self.children: list[dict[str, int]] = [{}]
         self.word: list[int] = [-1]
         self.stem: list[int] = [-1]
-        self.fuzzy: list[bool] = [False]
+        self.allowed: list[int] = [0]  # errors with which some term below can be reached
         for number, term in enumerate(terms):
-            node, letters = 0, term.rstrip("*")
+            node, letters, errors = 0, term.rstrip("*"), errors_allowed(term)
+            self.allowed[0] = max(self.allowed[0], errors)
             for c in letters:
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.word.append(-1)
                     self.stem.append(-1)
-                    self.fuzzy.append(False)
+                    self.allowed.append(0)
                 node = self.children[node][c]
+                self.allowed[node] = max(self.allowed[node], errors)
             (self.stem if term.endswith("*") else self.word)[node] = number
-        for term in terms:  # nodes from which a fuzzy term can still be reached
-            if not term.endswith("*") and len(term) >= FUZZY:
-                node = 0
-                self.fuzzy[0] = True
-                for c in term:
-                    node = self.children[node][c]
-                    self.fuzzy[node] = True
+        self._clear()
+
+    def _clear(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
-        self.start = self._state({(0, 0)})
+        self.start = self._state({(0, 0, "")})
 
-    def _state(self, pairs: set[tuple[int, int]]) -> int:
-        todo = list(pairs)
+    def _state(self, found: set[tuple[int, int, str]]) -> int:
+        todo = list(found)
         while todo:  # a lost letter moves on in the trie without reading
-            node, errors = todo.pop()
-            if not errors:
-                for child in self.children[node].values():
-                    if self.fuzzy[child] and (child, 1) not in pairs:
-                        pairs.add((child, 1))
-        pairs = {(n, e) for n, e in pairs if not (e and (n, 0) in pairs)}
-        key = frozenset(pairs)
+            node, errors, due = todo.pop()
+            if due:
+                continue
+            for child in self.children[node].values():
+                lost = (child, errors + 1, "")
+                if self.allowed[child] > errors and lost not in found:
+                    found.add(lost)
+                    todo.append(lost)
+        key = frozenset((n, e, due) for n, e, due in found if not any((n, less, due) in found for less in range(e)))
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
@@ -97,61 +112,76 @@ class Lexicon:
         return self.states[key]
 
     def _move(self, state: int, letter: str) -> int:
-        out: set[tuple[int, int]] = set()
-        for node, errors in self.sets[state]:
+        out: set[tuple[int, int, str]] = set()
+        for node, errors, due in self.sets[state]:
+            if due:
+                if due == letter:
+                    out.add((node, errors, ""))
+                continue
             child = self.children[node].get(letter)
-            if child is not None and (not errors or self.fuzzy[child]):
-                out.add((child, errors))
-            if not errors:
-                if self.fuzzy[node]:
-                    out.add((node, 1))  # inserted
-                out.update((c, 1) for c in self.children[node].values() if self.fuzzy[c])  # replaced
-        if len(self.sets) < 200_000:
-            to = self._state(out)
-            self.moves[state][letter] = to
-            return to
-        return self._state(out)
+            if child is not None:
+                out.add((child, errors, ""))
+            if self.allowed[node] > errors:
+                out.add((node, errors + 1, ""))  # inserted
+                for first, c in self.children[node].items():
+                    if self.allowed[c] > errors:
+                        out.add((c, errors + 1, ""))  # replaced
+                        second = self.children[c].get(letter)
+                        if second is not None and first != letter and self.allowed[second] > errors:
+                            out.add((second, errors + 1, first))  # swapped
+        to = self._state({(n, e, due) for n, e, due in out if e <= self.allowed[n]})
+        self.moves[state][letter] = to
+        return to
 
     def match(self, word: str) -> tuple[tuple[int, int], ...]:
-        """(term, errors) of the terms that match; an exact match hides those with an error."""
+        """(term, errors) of the terms that match; whole words with the fewest errors hide
+        those with more."""
+        if len(self.sets) >= STATES:
+            self._clear()
         state, found = self.start, []
         for letter in word:
             to = self.moves[state].get(letter)
             state = self._move(state, letter) if to is None else to
             if not self.sets[state]:
                 return tuple(found)
-            found += [(self.stem[n], 0) for n, e in self.sets[state] if not e and self.stem[n] >= 0]
+            found += [(self.stem[n], 0) for n, e, due in self.sets[state] if not e and self.stem[n] >= 0]
         ends: dict[int, int] = {}
-        for node, errors in self.sets[state]:
+        for node, errors, due in self.sets[state]:
             term = self.word[node]
-            if term >= 0 and (not errors or len(self.terms[term]) >= FUZZY):
-                ends[term] = min(errors, ends.get(term, 1))
-        exact = [(t, e) for t, e in ends.items() if not e]
-        return tuple(found + (exact or list(ends.items())))
+            if term >= 0 and not due and errors <= errors_allowed(self.terms[term]):
+                ends[term] = min(errors, ends.get(term, errors))
+        least = min(ends.values(), default=0)
+        return tuple(found + [(t, e) for t, e in ends.items() if e == least])
 
 
 def matches_by_distance(terms: list[str], word: str) -> set[tuple[int, int]]:
     """What ``Lexicon.match`` finds, by comparing the word with every term."""
 
     def distance(a: str, b: str) -> int:
-        row = list(range(len(b) + 1))
+        before, row = [], list(range(len(b) + 1))
         for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
+            now = [i]
             for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+                now.append(min(row[j] + 1, now[j - 1] + 1, row[j - 1] + (x != y)))
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                    now[j] = min(now[j], before[j - 2] + 1)
+            before, row = row, now
         return row[-1]
 
     stems = {(i, 0) for i, t in enumerate(terms) if t.endswith("*") and word.startswith(t[:-1])}
     whole = {(i, distance(t, word)) for i, t in enumerate(terms) if not t.endswith("*")}
-    exact = {x for x in whole if x[1] == 0}
-    return stems | (exact or {(i, 1) for i, d in whole if d == 1 and len(terms[i]) >= FUZZY})
+    whole = {(i, d) for i, d in whole if d <= errors_allowed(terms[i])}
+    least = min((d for _, d in whole), default=0)
+    return stems | {(i, d) for i, d in whole if d == least}
 
 
 @dataclass
 class Model:
-    """A lexicon, the weights of the features and the constant."""
+    """A lexicon, words that only look like its terms, the weights of the features and
+    the constant."""
 
     terms: list[str] = field(default_factory=list)
+    usual: frozenset[str] = frozenset()
     weights: list[float] = field(default_factory=list)
     bias: float = 0.0
 
@@ -174,52 +204,59 @@ class Scorer:
             if found is None:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                found = known[word] = self.lexicon.match(word)
+                found = known[word] = self._match(word)
             if found:
                 out += [(i, t, e) for t, e in found]
         return out
 
+    def _match(self, word: str) -> tuple[tuple[int, int], ...]:
+        found = self.lexicon.match(word)
+        if not _WORD.fullmatch(word):  # joined by digits or symbols: exact parts tell more
+            parts = [x for part in _WORD.findall(word) for x in self.lexicon.match(part) if part not in self.model.usual or not x[1]]
+            found = tuple(x for x in parts if not x[1]) or found or tuple(parts)
+        return tuple(x for x in found if not x[1]) if word in self.model.usual else found
+
     def features(self, text: str) -> dict[int, float]:
-        """Sparse features: per term its count by length, then those of contexts."""
-        words = words_of(text)
+        """Sparse features: per term what its hits count for, then all words' and stems'.
+
+        A hit is evidence for its own term, less with errors or quoted, more near an
+        address, by fixed factors."""
+        words = joined_words_of(text)
         hits = self.hits(words)
         if not hits:
             return {}
-        n = len(self.model.terms)
-        stems = [t.endswith("*") for t in self.model.terms]
-        per_term, out = Counter(t for _, t, e in hits if not e), {}
-        for t, count in per_term.items():
-            # whole words tell by being there, stems by how much of the text they are
-            out[t] = math.log1p(count) if not stems[t] else math.log1p(200 * count / (len(words) + 20))
-        quoted, plain, direct, wrong = 0, 0, 0, 0
-        spans = self._spans(text, {i for i, t, e in hits if not stems[t]}, len(words))
-        for i, t, e in hits:
-            if stems[t]:
-                continue
+        n, terms = len(self.model.terms), self.model.terms
+        places = {i for i, _, _ in hits}
+        spans, context = self._spans(text, places), {}
+        for i in places:
             around = words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW]
-            if spans.get(i) or any(w in REPORTING for w in around):
-                quoted += 1
-            elif e:
-                wrong += 1
+            if spans.get(i) or not REPORTING.isdisjoint(around):
+                context[i] = IN_QUOTES
             else:
-                plain += 1
-                direct += any(w in ADDRESSING for w in around)
-        for k, count in enumerate((plain, quoted, direct, wrong)):
-            if count:
-                out[n + k] = math.log1p(count)
-        places = len({i for i, t, e in hits if stems[t]})
-        if places:
-            out[n + 4] = math.log1p(200 * places / (len(words) + 20))
+                context[i] = 1.0 if ADDRESSING.isdisjoint(around) else ADDRESSED
+        per_term, whole, stems, out = Counter(), {}, {}, {}
+        for i, t, e in hits:
+            counts = BY_ERRORS[e] * context[i]
+            per_term[t] += counts
+            kind = stems if terms[t].endswith("*") else whole
+            kind[i] = max(counts, kind.get(i, 0.0))
+        for t, counts in per_term.items():
+            # whole words tell by being there, stems by how much of the text they are
+            out[t] = math.log1p(counts) if not terms[t].endswith("*") else math.log1p(200 * counts / (len(words) + 20))
+        if whole:
+            out[n] = math.log1p(sum(whole.values()))
+        if stems:
+            out[n + 1] = math.log1p(200 * sum(stems.values()) / (len(words) + 20))
         return out
 
     @staticmethod
-    def _spans(text: str, places: set[int], n_words: int) -> dict[int, bool]:
+    def _spans(text: str, places: set[int]) -> dict[int, bool]:
         """Whether the words at these places stand between quotes, close by."""
         out = {}
         low = text.lower()
         if not places or not any(q in low for q in QUOTES):
             return out
-        for i, m in enumerate(_WORD.finditer(low)):
+        for i, m in enumerate(_JOINED.finditer(low)):
             if i in places:
                 left, right = low[max(0, m.start() - 2) : m.start()], low[m.end() : m.end() + 2]
                 out[i] = any(q in left for q in QUOTES) and any(q in right for q in QUOTES)
@@ -231,7 +268,7 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-EXTRA_FEATURES = 5
+EXTRA_FEATURES = 2
 
 
 def fold(key: str) -> Column:
@@ -282,6 +319,28 @@ def learn_terms(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     return kept
 
 
+def usual_variants(sample: DataFrame, terms: list[str], toxic: int, clean: int) -> frozenset[str]:
+    """Words like a term but for errors that clean texts hold as well, and toxic ones not
+    clearly more often: words of their own, not misspelled terms."""
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(Model(terms=terms))
+        for batch in batches:
+            bad, good = Counter(), Counter()
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = joined_words_of(text)
+                words = set(words) | {part for w in words if not _WORD.fullmatch(w) for part in _WORD.findall(w)}
+                (bad if label else good).update(w for w in words if any(e for _, _, e in scorer.hits([w])))
+            found = list(bad.keys() | good.keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), pa.array([bad[w] for w in found], pa.int64()), pa.array([good[w] for w in found], pa.int64())], ["word", "bad", "good"]
+            )
+
+    counted = sample.mapInArrow(present, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    usual = counted.where(f"good > 0 and bad * {clean} <= 4.0 * good * {toxic}")
+    return frozenset(r["word"] for r in usual.select("word").collect())  # words of the sample within two errors of a term
+
+
 def fit(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
     """Lexicon and logistic weights, learned from the sample.  Without labels of either
     kind there is nothing to learn, and every text gets the share of toxic labels."""
@@ -293,6 +352,7 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
         return Model(bias=base)
     sample = sample.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     model = Model(terms=learn_terms(sample, toxic, clean))
+    model.usual = usual_variants(sample, model.terms, toxic, clean)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
@@ -307,7 +367,7 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
     for i, r in enumerate(rows):
         x[i, r["at"]] = r["value"]
     x[:, -1] = 1
-    weights = logistic(x, np.array([r["toxic"] for r in rows], float))
+    weights = evidence_only(x, np.array([r["toxic"] for r in rows], float))
     model.weights, model.bias = weights[:-1].tolist(), float(weights[-1])
     return model
 
@@ -329,6 +389,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 25)
     return w
 
 
+def evidence_only(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """As ``logistic``, with features of negative weight left out until there are none:
+    a hit never speaks for a text, so what it counts for acts in one direction."""
+    out, used = np.zeros(x.shape[1]), np.arange(x.shape[1])
+    while True:
+        w = logistic(x[:, used], y)
+        keep = (w >= 0) | (used == x.shape[1] - 1)
+        if keep.all():
+            out[used] = w
+            return out
+        used = used[keep]
+
+
 def toxicity(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``documents``.
 

@@ -200,6 +200,47 @@ def test_levenshtein_automaton():
         assert set(lexicon.match(word)) == toxicity.matches_by_distance(terms, word), word
 
 
+def test_misspelled_and_quoted_terms_in_held_out_texts(spark):
+    rng = random.Random(10)
+    exact, wrong = ["scoundrel", "blockhead", "moron"], ["scuondrel", "sc0undr3l", "blokhaed", "bl*ckhead", "mroon", "mor0n", "m.e,moronn"]
+    only = {f"w{k}": w for k, w in enumerate(wrong)} | {"exact": "moron", "quoted": '"moron"', "told": "said moron", "at": "you moron", "parts": "thing!moron", "usual": "oron", "clean": "thing"}
+    held = iter(i for i in range(10_000, 11_000) if zlib.crc32(str(i).encode()) % 5 == 0)
+    rows, labels, names = [], [], {}
+    for i in range(900):
+        words = [w for w in prose(rng, 40).split() if w != "said"][:30]
+        words[7] = rng.choice(exact) if i % 5 == 0 else "oron" if i % 5 == 1 else words[7]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    for name, found in only.items():
+        names[name] = next(held)
+        rows.append((names[name], "the reing hast ouly enre " + found + " ting erehe haof lyre stand"))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    score = {name: got[i]["score"] for name, i in names.items()}
+    assert all(got[i]["held_out"] for i in names.values())
+    assert all(score[f"w{k}"] >= 0.5 for k in range(len(wrong))), score
+    assert score["clean"] < score["quoted"] == score["told"] < score["exact"] == score["parts"] < score["at"]
+    assert score["quoted"] >= 0.5 and score["usual"] == score["clean"] < 0.5
+
+
+def test_two_errors_and_swaps():
+    terms = ["scoundrel", "blockhead", "idiot", "mean", "slur*", "idoit", "blockade"]
+    lexicon, rng = toxicity.Lexicon(terms), random.Random(11)
+    words = ["scuondrel", "csoundrle", "idito", "diiot", "sc0undr3l", "maen", "lsur", "blockhaed"]
+    for _ in range(4000):
+        word = list(rng.choice(terms).rstrip("*"))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(word) + 1)
+            if rng.random() < 0.4:
+                word[k : k + 2] = word[k : k + 2][::-1]
+            else:
+                word[k : k + rng.randint(0, 1)] = rng.choice(["", "o", "d", "4"])
+        words.append("".join(word))
+    found = {w: set(lexicon.match(w)) for w in words}
+    assert all(found[w] == toxicity.matches_by_distance(terms, w) for w in words)
+    assert found["scuondrel"] == {(0, 1)} and found["csoundrle"] == {(0, 2)} and not found["maen"]
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 16)).astype("float32")
