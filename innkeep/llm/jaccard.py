@@ -405,10 +405,12 @@ def _still_open(rows: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def _shingle_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``set, hashes`` of the wanted sets, each from one of its documents."""
-    wanted = docs.join(wanted.distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
-    wanted = packed(wanted, "wanted-sets")
-    picked = maybe_broadcast(wanted.withColumnRenamed("doc_id", "id_"), wanted.count())
-    texts = rows.join(picked, F.col("doc_id").eqNullSafe(F.col("id_"))).select("set", "text")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("first")
+    wanted = docs.join(wanted.distinct(), "set", "left_semi").groupBy("set").agg(first)
+    wanted = packed(wanted.select("set", F.col("first.doc_id").alias("id_"), F.col("first.hash").alias("hash_")), "wanted-sets")
+    picked = maybe_broadcast(wanted, wanted.count())
+    # an id alone may have many rows and many sets; with the text's hash it has one set
+    texts = rows.join(picked, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("hash") == F.col("hash_"))).select("set", "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()

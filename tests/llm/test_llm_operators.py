@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("innkeep.llm")
 
@@ -331,6 +332,18 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert {r[0] for r in kept.select("doc_id").collect()} == {c for _, _, c in brute_components(rows, 4, 85)}
 
 
+def test_wanted_sets_of_one_id_meet_their_own_texts_only(spark, monkeypatch):
+    rng, met = random.Random(12), []
+    rows = [(None if i % 2 else 5, prose(rng, 30)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.xxhash64("text"))
+    sketches = jaccard.sketched(docs, 4, 85)
+    sketches = spark.createDataFrame(sketches.collect(), sketches.schema)
+    original = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, *args: met.append(df.count()) or original(df, *args))
+    found = jaccard._shingle_sets(docs, sketches, sketches.select("set"), 4)
+    assert met == [40] and found.count() == 40
+
+
 def test_first_of_groups_by_rows(spark):
     rng = random.Random(9)
     a, b, c, d, e = (prose(rng, 60) for _ in range(5))
