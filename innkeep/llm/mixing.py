@@ -101,9 +101,8 @@ def mix(
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     """The documents as the mix takes them, in the columns of ``documents``: a row for
-    each whole copy, and one with the first words, a blank between them, for a copy
-    taken in part.  Documents
-    of size 0 take no part in a mix and go."""
+    each whole copy, and one with the text up to the end of the last word taken for a
+    copy taken in part.  Documents of size 0 take no part in a mix and go."""
     columns = documents.columns
     marked = documents.withColumn("mix_hash_", F.xxhash64("text", "lang"))
     taken = mix(marked, identity=("mix_hash_",), **options).where("taken > 0")
@@ -117,7 +116,8 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     whole = F.expr("flatten(transform(mix_all_, t -> array_repeat(mix_size_, cast(t div mix_size_ as int))))")
     part = F.expr("filter(transform(mix_all_, t -> t % mix_size_), t -> t > 0)")
     rows = joined.withColumn("mix_all_", copies).withColumn("mix_words_", F.explode(F.concat(whole, part)))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.col("mix_words_").cast("int")), " ")
+    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    words = F.array_join(F.slice(words, 1, F.col("mix_words_").cast("int")), "")
     text = F.when(F.col("mix_words_") == F.col("mix_size_"), F.col("text")).otherwise(words)
     rows = rows.withColumn("text", text)
     if "n_chars" in columns:

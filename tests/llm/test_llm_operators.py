@@ -74,6 +74,16 @@ def test_mix(documents, empty, texts):
     assert words == sum(r["taken"] for r in got)
 
 
+def test_a_copy_in_part_keeps_its_lines(spark):
+    text = "\n  one two\n\nthree\tfour  five\r\nsix seven " * 40
+    rows = [(i, text, s, len(text)) for s in "abc" for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int").withColumn("lang", F.lit("en"))
+    mixed = mixing.mixed_documents(docs).collect()
+    parts = [r for r in mixed if r["text"] != text]
+    assert parts and all(text.startswith(r["text"]) and r["n_chars"] == len(r["text"]) and text[len(r["text"])].isspace() for r in parts)
+    assert sum(len(r["text"].split()) for r in mixed) == sum(r["taken"] for r in mixing.mix(docs).collect())
+
+
 def test_line_dedup(documents, empty):
     got = collections.Counter(tuple(r) for r in lines.dedup_lines(documents).select("row.doc_id", "n_lines", "n_dropped", "kept").collect())
     rows = [(r["doc_id"], r["text"] or "") for r in documents.select("doc_id", "text").collect()]
