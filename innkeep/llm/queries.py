@@ -184,3 +184,85 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
     return filter_urls(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's two thousand most cohesive phrases."""
+    from innkeep.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), support=30, top=2000, covered=80)
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+with texts as (
+  select coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents
+), pieces as (
+  select lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as words from texts
+), spans as (
+  select lang, words, unnest(range(1, 5)) as size from pieces
+), grams as (
+  select lang, size, list_slice(words, i, i + size - 1) as words
+  from (select lang, words, size, unnest(range(1, (len(words) - size + 2)::bigint)) as i from spans)
+), counts as (
+  select lang, words, size, array_to_string(words, ' ') as phrase, count(*) as f from grams group by all
+), totals as (
+  select lang, sum(f)::bigint as n from counts where size = 1 group by lang
+), candidates as (
+  select * from counts where size >= 2 and f >= 30
+), cuts as (
+  select lang, phrase, words, size, f as a, unnest(range(1, size)) as k from candidates
+), scored as (
+  select c.lang, c.phrase, c.a, k, l.f as l, r.f as r, (2000000::hugeint * c.a) // (l.f::hugeint + r.f) as score
+  from cuts c join counts l on l.lang = c.lang and l.words = list_slice(c.words, 1, k)
+              join counts r on r.lang = c.lang and r.words = list_slice(c.words, k + 1, c.size)
+), best as (
+  select lang, phrase, a, arg_min({'l': l, 'r': r, 'score': score}, score * 8 + k) as b from scored group by all
+), starts as (
+  select lang, words, f, size, length, unnest(range(1, size - length + 2)) as i
+  from (select lang, words, f, size, unnest(range(2, size)) as length from candidates where size > 2)
+), inside as (
+  select lang, array_to_string(list_slice(words, i, i + length - 1), ' ') as phrase, max(f) as longer from starts group by all
+), kept as (
+  select b.* from best b left join inside i on i.lang = b.lang and i.phrase = b.phrase
+  where longer is null or 100::hugeint * longer < 80::hugeint * a
+), ranked as (
+  select *, row_number() over (partition by lang order by b.score desc, a desc, phrase) as rank from kept
+)
+select lang, rank::bigint as rank, phrase, a::bigint as a, b.l::bigint as l, b.r::bigint as r, n, b.score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    from innkeep.llm.negatives import hard_negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = r"""
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as x
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, list_inner_product(a.x, r.x)::bigint as score
+  from rows a, rows r where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same and vec_id <> anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::bigint as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5
+"""
