@@ -239,7 +239,8 @@ def phrase_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
             texts = [b" ".join(map(chunk.vocabulary.__getitem__, x)).decode("utf-8", "replace") for x in ids]
             yield [pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array(total[found].astype(np.int64))]
 
-    counted = _per_chunk(documents, count, "lang string, phrase string, n long")
+    # shards are one here, so that a chunk has fewer phrases of its own
+    counted = _per_chunk(documents.withColumn("shard", F.lit(0)), count, "lang string, phrase string, n long")
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 

@@ -266,3 +266,38 @@ from positives join scored using (anchor_id)
 where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
 qualify rank <= 5
 """
+
+
+@query
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's examples, read back; and one whose texts hold control strings."""
+    from innkeep.llm.chat import chat_digest
+
+    columns = "conv_id", "turn", "role", "text"
+    odd = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    return chat_digest(table(spark, sf_dir, "conversations").select(*columns).unionByName(more))
+
+
+ORACLES["op12_chat_formatting"] = r"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), written as (
+  select *, regexp_replace(replace(replace(role, '\', '\b'), chr(10), '\l'), '(### |</turn)', '\\\1', 'g') as head,
+         regexp_replace(text, '(### |</turn)', '\\\1', 'g') as body
+  from said
+), sized as (
+  select *, sum(4 + length(head) + 2 + length(body) + 9) over all_before as upto,
+         row_number() over all_before = count(*) over (partition by conv_id) as last
+  from written window all_before as (partition by conv_id order by turn nulls last, role, md5(text)
+                                     rows between unbounded preceding and current row)
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, md5(text))) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls last, role, md5(text)) filter (role = 'assistant'), '')) as loss_sha256,
+       (sum(upto) filter (role = 'assistant' or last))::bigint as formatted_chars
+from sized group by conv_id
+"""
