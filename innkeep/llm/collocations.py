@@ -15,9 +15,10 @@ from pyspark.sql.window import Window
 from innkeep.llm.common import packed, scratch
 from innkeep.session import stored
 
-#: Slices of the corpus that are mined on their own.  The support is a fixed number, so
-#: more slices would lower it towards one, where every phrase is locally frequent.
-SHARDS = 4
+#: Slices of the corpus that are mined on their own, each by many tasks.  The support is a
+#: fixed number, so every further slice lowers the local one towards one, where every
+#: phrase is locally frequent, and leaves a task's chunks less to combine.
+SHARDS = 2
 #: Longest phrase, in words.
 LONGEST = 4
 #: Words a task gathers before it counts them, and bytes of a text split at once.
@@ -65,16 +66,16 @@ class Chunk:
         coded = pa.chunked_array(parts).combine_chunks().dictionary_encode()
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.vocabulary = coded.dictionary.to_pylist()
-        real = np.array([w not in (b".", b"") for w in self.vocabulary], bool)
-        self.real = real[self.ids]
+        stop, empty = (coded.dictionary.index(w).as_py() for w in (b".", b""))
+        self.real = (self.ids != stop) & (self.ids != empty)
         # words repeated after an empty one were counted before: phrases may begin, not end there
         self.fresh = self.real.copy()
-        resumed = np.flatnonzero(np.array([w == b"" for w in self.vocabulary], bool)[self.ids])
+        resumed = np.flatnonzero(self.ids == empty) if empty >= 0 else np.zeros(0, np.int64)
         for back in range(1, LONGEST):
             at = resumed + back
             self.fresh[at[at < len(self.ids)]] = False
-        seed = lang.encode() + b"\0"
-        self.hashes = np.array([xxhash.xxh3_64_intdigest(seed + w) for w in self.vocabulary], np.uint64)[self.ids]
+        hashed, seed = xxhash.xxh3_64_intdigest, xxhash.xxh3_64_intdigest(lang.encode())
+        self.hashes = np.array([hashed(w, seed) for w in self.vocabulary], np.uint64)[self.ids]
 
     def places(self, n: int) -> np.ndarray:
         """Where phrases of n words are, as flags over all but the last n - 1 words."""
