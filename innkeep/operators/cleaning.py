@@ -78,9 +78,9 @@ def cast_if_all_parse(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if not columns:
         return df
     counts = df.agg(
-        *[(F.count(c) == F.count(parse_date_flex(c))).alias(c) for c in columns]
+        *[(F.count(f"`{c}`") == F.count(parse_date_flex(f"`{c}`"))).alias(c) for c in columns]
     ).first()
-    passing = {c: parse_date_flex(c) for c in columns if counts[c]}
+    passing = {c: parse_date_flex(f"`{c}`") for c in columns if counts[c]}
     return df.withColumns(passing) if passing else df
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from innkeep import schemas
 from innkeep.functions.numbers import to_number
 from innkeep.operators import nested
-from innkeep.operators.columns import conform
+from innkeep.operators.columns import clean_columns, conform
 from innkeep.operators.rows import not_in, pending, union_ragged
 from innkeep.operators.cleaning import cast_if_all_parse, nested_to_json
 from innkeep.plans.dimensions import RENTING
+from innkeep.session import stored
+from innkeep.sinks.tables import write_history_and_current
+from innkeep.sources import open_records
 
 
 def taxes_and_fees(docs: DataFrame, body: str = "body") -> DataFrame:
@@ -37,6 +40,18 @@ def price_rows(
     return rate_rows(docs.where(not_in("unit_id", skip_units)), load_time)
 
 
+def load_prices(
+    docs: DataFrame, load_time: Column, load: str, history: str, current: str, skip_units: tuple[int, ...] = ()
+) -> DataFrame:
+    """Take one load of price responses into the history and make it the current table;
+    returns the rejected responses.  A load without any price changes neither."""
+    prices, rejects = price_rows(docs, load_time, skip_units)
+    flat = stored(clean_columns(prices), "prices")
+    if not flat.isEmpty():
+        write_history_and_current(flat, history, current, load)
+    return rejects
+
+
 def pending_targets(properties: DataFrame, loaded: DataFrame) -> DataFrame:
     """Rented-out units whose target rates are not loaded yet."""
     active = properties.where(F.col("renting_type") == RENTING).select("id", "manager")
@@ -87,3 +102,20 @@ def active_houses(properties: DataFrame, maybe_dates: tuple[str, ...] = ()) -> D
     dates become dates, nested leftovers JSON text."""
     flat = nested.flatten(properties)
     return nested_to_json(cast_if_all_parse(flat, [c for c in maybe_dates if c in flat.columns]))
+
+
+def active_houses_landed(
+    docs: DataFrame, load_time: Column, body: str = "body"
+) -> tuple[DataFrame, DataFrame]:
+    """(houses, rejects) of property-list responses: every field any response holds,
+    objects flattened to dotted names, text columns that are entirely dates as dates,
+    lists as JSON text."""
+    reason = nested.reject_reason(body, "$.data.property", "list")
+    judged = docs.withColumn("reason", reason)
+    landed = open_records.land_pages(judged, body, ["$.data.property"], [c for c in judged.columns if c != body])
+    records = open_records.page_records(landed, [])
+    houses = open_records.typed_records(records)
+    texts = [f.name for f in houses.schema.fields if isinstance(f.dataType, T.StringType)]
+    dated = cast_if_all_parse(houses, texts)
+    rejects = landed.where("reason is not null").drop("n", "records")
+    return dated.withColumn("data_load", load_time), rejects
