@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def partial_keys(spark: SparkSession) -> Iterator[None]:
+    """Inside the block Spark joins tables bucketed by some of the join keys as they lie.
+    Plans are made when a query runs, so the block must hold the write."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named in ``spark.checkpoint.dir``.
 
