@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("columns", "rows", "documents", "marts", "operations", "tables")
+MODULES = ("columns", "rows", "documents", "marts", "operations", "tables", "landing", "intervals", "upkeep")
 
 
 def load_queries():

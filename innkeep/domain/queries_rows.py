@@ -394,3 +394,54 @@ def relative_to_today(spark, sf):
         start.between(F.lit(lo), F.lit(hi)).alias("in_report"),
         F.date_add(today, D.PRICE_DAYS_FORWARD).alias("price_horizon"),
     )
+
+
+# Spellings of one name each, as a Unicode collation sees them.
+SPELLINGS = (
+    ("Nguyễn Thị", "NGUYEN THI ", "nguyễn thi"),
+    ("Straße", "STRASSE", "strasse  "),
+    ("Ελλάδα", "ΕΛΛΑΔΑ", "ελλαδα "),
+    ("Москва", "МОСКВА ", "москва"),
+    ("Ångström", "angstrom", "ANGSTRÖM "),
+    ("Õunapuu", "ounapuu", "OUNAPUU"),
+)
+
+_SPELLED = f"""SELECT c_custkey AS unit_id, c_custkey % {len(SPELLINGS)} AS name_no,
+           ([{", ".join("[" + ", ".join(f"'{x}'" for x in names) + "]" for names in SPELLINGS)}]
+            )[1 + c_custkey % {len(SPELLINGS)}][1 + (c_custkey // 10) % 3] AS owner
+    FROM customer"""
+
+
+def _spelled(spark, sf):
+    names = F.array(*[F.array(*map(F.lit, x)) for x in SPELLINGS])
+    key = F.col("c_custkey")
+    owner = F.get(F.get(names, (key % len(SPELLINGS)).cast("int")), (F.floor(key / 10) % 3).cast("int"))
+    return V.table(spark, sf, "customer").select(key.alias("unit_id"), owner.alias("owner"))
+
+
+@query(
+    "",
+    f"""WITH spelled AS ({_SPELLED})
+    SELECT min(owner) AS owner, count(DISTINCT owner) AS spellings, count(*) AS n_rows FROM spelled GROUP BY name_no""",
+)
+def distinct_names(spark, sf):
+    """Names that differ in case, accents and trailing blanks only, in several scripts."""
+    from innkeep.operators.rows import distinct_collated
+
+    return distinct_collated(_spelled(spark, sf), ["owner"])
+
+
+@query(
+    "",
+    f"""WITH spelled AS ({_SPELLED})
+    SELECT unit_id, owner, first_unit FROM spelled
+    JOIN (SELECT name_no, min(unit_id) AS first_unit FROM spelled GROUP BY name_no) USING (name_no)""",
+)
+def lookup_by_name(spark, sf):
+    """Each unit with the first unit of its owner, however the owner is spelled."""
+    from innkeep.functions.text import collated
+    from innkeep.operators.joins import lookup_collated
+
+    units = _spelled(spark, sf)
+    owners = units.groupBy(collated("owner").alias("k")).agg(F.min("owner").alias("name"), F.min("unit_id").alias("first_unit"))
+    return lookup_collated(units, owners, {"owner": "name"}, {"first_unit": "first_unit"})

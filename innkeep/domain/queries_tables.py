@@ -181,6 +181,23 @@ def export_text(spark, sf):
     return text.select(*[F.coalesce(c, F.lit("")).alias(c) for c in text.columns])
 
 
+@query(
+    "reservations",
+    """SELECT CAST(id AS VARCHAR) AS id, strftime(startdate, '%d/%m/%Y') AS startdate,
+           CASE WHEN status_id <> 8 THEN strftime(enddate, '%d/%m/%Y') ELSE '' END AS enddate, type_name
+    FROM reservations""",
+)
+def export_text_all(spark, sf):
+    """The same export of all bookings."""
+    path = scratch_path(spark, "export")
+    rows = V.bookings(spark, sf).select(
+        "id", "startdate", F.when(F.col("status_id") != 8, F.col("enddate")).alias("enddate"), "type_name"
+    )
+    export.export_text(rows, path, ["startdate", "enddate"])
+    text = spark.read.csv(path, header=True, inferSchema=False, emptyValue="")
+    return text.select(*[F.coalesce(c, F.lit("")).alias(c) for c in text.columns])
+
+
 @query(
     "units",
     """SELECT id, manager, balance FROM units""",
@@ -234,17 +251,22 @@ def landed_documents(spark, sf):
 
 @query(
     "reservations",
-    """SELECT manager, CAST(count(*) AS BIGINT) AS reservations FROM reservations GROUP BY manager""",
+    """SELECT manager, count(*) AS reservations, count(*) + count(*) FILTER (status_id = 8) AS records,
+           count(*) FILTER (status_id = 8) AS repeated
+    FROM reservations GROUP BY manager""",
 )
 def landed_pages(spark, sf):
-    """Response files written and read back whole, pages unwrapped."""
+    """All response files written and read back, pages unwrapped by their number:
+    reservations, the records they came in, and those that came again."""
     path = scratch_path(spark, "pages")
-    first = _pages(spark, sf).where(~F.col("again")).select("body")
-    first.write.text(path)
-    pages = spark.read.text(path).select(F.col("value").alias("body"), F.monotonically_increasing_id().alias("page"))
-    records = documents.page_reservations(pages, "body", "page")
+    _pages(spark, sf).select(F.to_json(F.struct("page", "body")).alias("value")).write.text(path)
+    landed = spark.read.text(path).select(F.from_json("value", "page bigint, body string").alias("p"))
+    records = documents.page_reservations(landed.select("p.*"), "body", "page")
     managers = V.units(spark, sf).select(F.col("id").cast("string").alias("unit_id"), "manager")
-    return records.join(managers, "unit_id").groupBy("manager").agg(F.count(F.lit(1)).alias("reservations"))
+    per_id = records.groupBy("id", "unit_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_id.join(managers, "unit_id").groupBy("manager").agg(
+        F.count(F.lit(1)).alias("reservations"), F.sum("n").alias("records"), F.count_if(F.col("n") > 1).alias("repeated")
+    )
 
 
 @query(

@@ -29,6 +29,18 @@ def norm_key(c: Column | str) -> Column:
     return F.translate(lower, "".join(_ACCENTED) + _MARKS, "".join(_ACCENTED.values()))
 
 
+#: Compares text without case, accents and trailing blanks, in every script.
+COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
+def collated(c: Column | str) -> Column:
+    """Text under ``COLLATION``: joins, distinct, grouping, sorting and comparisons of the
+    column then ignore case, accents and trailing blanks by Unicode's rules, with the
+    spelling kept.  Unlike ``norm_key`` this covers Vietnamese, Greek, Cyrillic and other
+    scripts, and letters that fold to several (``ß``)."""
+    return F.collate(as_col(c), COLLATION)
+
+
 def norm_id(c: Column | str) -> Column:
     """Identifier as trimmed text: ``123.0`` becomes ``123``, NULL becomes ``''``."""
     text = F.trim(as_col(c).cast("string"))

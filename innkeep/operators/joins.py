@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from innkeep.functions.text import norm_key
+from innkeep.functions.text import collated, norm_key
 
 
 def lookup(
@@ -42,6 +42,21 @@ def lookup(
     return df.join(side, reduce(Column.__and__, same), "left").select(*kept, *added)
 
 
+def lookup_collated(
+    df: DataFrame, dim: DataFrame, on: Mapping[str, str], columns: Mapping[str, str]
+) -> DataFrame:
+    """``lookup`` with text keys compared under the Unicode collation.  ``on`` holds text
+    columns only; NULL keys match nothing."""
+    side = dim.select(
+        *[collated(f"`{d}`").alias(f"_k{i}") for i, d in enumerate(on.values())],
+        *[F.col(f"`{d}`").alias(f"_v{i}") for i, d in enumerate(columns.values())],
+    )
+    same = [collated(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(on)]
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    added = [F.col(f"_v{i}").alias(target) for i, target in enumerate(columns)]
+    return df.join(side, reduce(Column.__and__, same), "left").select(*kept, *added)
+
+
 def left_details(
     head: DataFrame,
     detail: DataFrame,

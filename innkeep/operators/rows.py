@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from innkeep.functions.text import collated
+
 
 def not_in(c: Column | str, values: Sequence[object]) -> Column:
     """SQL NOT IN: NULL values do not pass."""
@@ -67,6 +69,20 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).distinct()
 
 
+def distinct_collated(df: DataFrame, names: Sequence[str], others: Sequence[str] = ()) -> DataFrame:
+    """One row per spelling-independent name (and ``others``), shown in its smallest
+    spelling by code points, with the number of spellings and of rows.  Spellings are
+    counted first, so a name that most rows carry is a few rows when names meet."""
+    shown = [*names, *others]
+    spelled = df.groupBy(*shown).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = spelled.withColumns({f"_c{i}": collated(n) for i, n in enumerate(names)})
+    first = F.min(F.struct(*names)).alias("_first")
+    folded = keyed.groupBy(*[f"_c{i}" for i in range(len(names))], *others).agg(
+        first, F.count(F.lit(1)).alias("spellings"), F.sum("_n").alias("n_rows")
+    )
+    return folded.select("_first.*", *others, "spellings", "n_rows")
+
+
 def union_ragged(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by name; columns missing on one side become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
