@@ -22,7 +22,7 @@ SHARDS = 2
 #: Longest phrase, in words.
 LONGEST = 4
 #: Words a task gathers before it counts them, and bytes of a text split at once.
-CHUNK_WORDS, WINDOW_BYTES = 2_000_000, 4 << 20
+CHUNK_WORDS, WINDOW_BYTES = 1_000_000, 4 << 20
 #: Bits of a filter per phrase, and its least and greatest number of bits (32 MB).
 BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 
