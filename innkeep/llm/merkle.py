@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 
 from innkeep.llm.common import small_batches
 
-#: Rows between two bounds of the id ranges in which neighbours are found.
-ROWS_PER_RANGE = 4000
+#: Rows sampled, about, for each of the ranges in which neighbours are found.
+SAMPLED_PER_RANGE = 50
 #: A piece ends after one word in so many, a section after one paragraph in so many.
 PIECE, SECTION = 4, 8
 
@@ -124,36 +123,47 @@ _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 
 
 def with_next(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
-    """Rows dealt to ranges of descending id and sorted; a range's last row is followed
-    by a copy (``guest``) of the first row of the next range, of the first range after
-    the last.  Returns the rows and the number of ranges.
-
-    The bounds are quantiles of the ids, held as one number per some thousand rows."""
+    """Rows dealt to ranges of descending id, then ascending text, and sorted; a range's
+    last row is followed by a copy (``guest``) of the first row of the next range, of the
+    first range after the last.  Returns the rows and the number of ranges.
+
+    There are as many ranges as shuffle partitions, whatever the number of rows.  Their
+    bounds come from a sample, as (id, first bytes of the text): rows of one id, or
+    without any, are dealt to several ranges if their texts begin differently.  The
+    bounds and the ranges' first rows (ids and first bytes only) are a row per range."""
     spark = documents.sparkSession
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("order", F.coalesce("doc_id", F.lit(_LAST)))
-    ranges = max(1, math.ceil(rows.count() / ROWS_PER_RANGE))
-    bounds: list[int] = []
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        found = rows.agg(F.percentile_approx("order", shares, max(10000, 20 * ranges))).first()[0]
-        bounds = sorted(set(found or []))
-    ranges, cuts = len(bounds) + 1, np.array(bounds, np.int64)
+    # seven bytes, filled up with zeros, as a number: ordered as the texts are
+    head = F.conv(F.rpad(F.hex(F.substring(F.col("text").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    rows = rows.withColumn("down", -1 - F.coalesce("doc_id", F.lit(_LAST))).withColumn("head", head)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = rows.count()
+    share = min(1.0, SAMPLED_PER_RANGE * most / max(1, count))
+    sample = sorted(tuple(r) for r in rows.sample(fraction=share, seed=1).select("down", "head").collect())
+    bounds = sorted({sample[len(sample) * i // most] for i in range(1, most)}) if sample else []
+    ranges = len(bounds) + 1
+    downs, heads = (np.array([b[k] for b in bounds], np.int64) for k in (0, 1))
 
     @F.pandas_udf("int")
-    def range_of(order: pd.Series) -> pd.Series:
-        return pd.Series(len(cuts) - np.searchsorted(cuts, order.to_numpy(np.int64), "left")).astype("int32")
-
-    placed = rows.withColumn("range", range_of("order"))
-    heads = placed.groupBy("range").agg(F.max("order").alias("order")).orderBy("range").collect()  # a row per range
-    before = {r["order"]: heads[i - 1]["range"] for i, r in enumerate(heads)}
-    guests = spark.createDataFrame([(o, r) for o, r in before.items()], "order long, guest_range int")
-    placed = placed.join(F.broadcast(guests), "order", "left")  # a row per range
+    def range_of(down: pd.Series, head: pd.Series) -> pd.Series:
+        d, h = down.to_numpy(np.int64), head.to_numpy(np.int64)
+        low, high = np.searchsorted(downs, d, "left"), np.searchsorted(downs, d, "right")
+        out = low.astype("int32")
+        for i in np.flatnonzero(low < high):  # an id that is a bound: the texts decide
+            out[i] += np.searchsorted(heads[low[i] : high[i]], h[i], "right")
+        return pd.Series(out)
+
+    placed = rows.withColumn("range", range_of("down", "head"))
+    first = placed.groupBy("range").agg(F.min(F.struct("down", "head")).alias("f")).orderBy("range").collect()  # a row per range
+    guests = [(*r["f"], first[i - 1]["range"]) for i, r in enumerate(first)]
+    guests = spark.createDataFrame(guests, "g_down long, g_head long, guest_range int")
+    here = (F.col("down") == F.col("g_down")) & (F.col("head") == F.col("g_head"))
+    placed = placed.join(F.broadcast(guests), here, "left")  # a row per range
     place = F.struct(F.col("range"), F.lit(0).alias("guest"))
     both = F.array(place, F.struct(F.col("guest_range").alias("range"), F.lit(1).alias("guest")))
     placed = placed.withColumn("place", F.explode(F.when(F.col("guest_range").isNull(), F.array(place)).otherwise(both)))
-    placed = placed.select("place.range", "place.guest", "order", "doc_id", "text")
-    return placed.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "guest", F.desc("order"), "text"), ranges
+    placed = placed.select("place.range", "place.guest", "down", "doc_id", "text")
+    return placed.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "guest", "down", "text"), ranges
 
 
 def edited_fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,7 +175,7 @@ def edited_fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "
     so that the next of a repeated row is its copy.  A single document is its own next.
     An empty table gives no rows; other columns are ignored.
 
-    Neighbours meet by one shuffle into id ranges; the rows then pass in order, two at a
+    Neighbours meet by one shuffle into ranges of ids and texts; the rows then pass in order, two at a
     time, so no range is held in memory."""
     small_batches(documents.sparkSession, 200)
     placed, _ = with_next(documents, key, text)
