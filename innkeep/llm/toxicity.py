@@ -277,13 +277,16 @@ def fold(key: str) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """``text, toxic``: texts of at most ``most`` labelled ids outside the held-out fold,
-    chosen by the hash of the id."""
+    """``text, toxic``: one text each of at most ``most`` labelled ids outside the held-out
+    fold, chosen by the hash of the id.  Of several rows with an id the text with the
+    smallest hash stands for it, found before the shuffle, so that an id with very many
+    rows neither adds to the sample nor gathers in a task."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(fold("doc_id") != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     known = packed(known.withColumnRenamed("doc_id", "label_id"), "toxic-labels")
     chosen = documents.where("doc_id is not null").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))  # at most ``most`` rows
-    return packed(chosen.select("text", "toxic"), "toxic-sample")
+    one = chosen.groupBy("label_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    return packed(one.select("first.text", "toxic"), "toxic-sample")
 
 
 def learn_terms(sample: DataFrame, toxic: int, clean: int) -> list[str]:
