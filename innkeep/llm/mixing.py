@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import WORD, hash_bits, id_text, numbered_copies
+from innkeep.llm.common import COPIES_PER_BLOCK, WORD, hash_bits, id_text, numbered_copies
 from innkeep.session import stored
 
 #: Cells by which a source's documents are summed in rank order.
@@ -101,25 +101,23 @@ def mix(
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     """The documents as the mix takes them, in the columns of ``documents``: a row for
-    each whole copy, and one with the text up to the end of the last word taken for a
-    copy taken in part.  Documents of size 0 take no part in a mix and go."""
-    columns = documents.columns
-    marked = documents.withColumn("mix_hash_", F.xxhash64("text", "lang"))
-    taken = mix(marked, identity=("mix_hash_",), **options).where("taken > 0")
-    taken = taken.groupBy("doc_id", "source", "size", "mix_hash_", "taken").agg(F.count(F.lit(1)).alias("times"))
-    taken = taken.groupBy("doc_id", "source", "size", "mix_hash_").agg(F.collect_list(F.struct("taken", "times")).alias("parts_"))
-    taken = taken.select(F.struct("doc_id", "source", "mix_hash_").alias("mix_key_"), F.col("size").alias("mix_size_"), "parts_")
-    marked = marked.withColumn("mix_key_", F.struct("doc_id", "source", "mix_hash_"))
-    marked = marked.dropDuplicates(["mix_key_"])
-    joined = marked.join(taken, "mix_key_")
-    copies = F.expr("flatten(transform(parts_, p -> array_repeat(p.taken, cast(p.times as int))))")
-    whole = F.expr("flatten(transform(mix_all_, t -> array_repeat(mix_size_, cast(t div mix_size_ as int))))")
-    part = F.expr("filter(transform(mix_all_, t -> t % mix_size_), t -> t > 0)")
-    rows = joined.withColumn("mix_all_", copies).withColumn("mix_words_", F.explode(F.concat(whole, part)))
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    words = F.array_join(F.slice(words, 1, F.col("mix_words_").cast("int")), "")
-    text = F.when(F.col("mix_words_") == F.col("mix_size_"), F.col("text")).otherwise(words)
-    rows = rows.withColumn("text", text)
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return rows.select(*columns)
+    each copy, always with its whole text.  Of the copy at a source's cut, which ``mix``
+    takes in part, a whole row stays if at least half of its words are taken, and none
+    otherwise; at most one document a source.  Documents of size 0 take no part in a mix and go.
+
+    Rows equal in all columns (maps aside) are listed from their number, in blocks, so
+    that any number of them is spread over tasks."""
+    plain = [F.col(f"`{f.name}`") for f in documents.schema.fields if "map<" not in f.dataType.simpleString()]
+    hashed = F.xxhash64(*[x for c in plain for x in (c, c.isNull())]).alias("mix_hash_")
+    taken = mix(documents.select("doc_id", "source", "text", hashed), identity=("mix_hash_",), **options).where("taken > 0")
+    rows = F.expr("taken div size + if(2 * (taken % size) >= size, 1, 0)")
+    taken = taken.groupBy("doc_id", "source", "mix_hash_").agg(F.sum(rows).alias("times")).where("times > 0")
+    taken = taken.select(F.struct("doc_id", "source", "mix_hash_").alias("key"), "times")
+    marked = documents.select(F.struct("*").alias("row"), F.struct("doc_id", "source", hashed).alias("key"))
+    joined = marked.dropDuplicates(["key"]).join(taken, "key")
+    few = joined.where(F.col("times") <= COPIES_PER_BLOCK).withColumn("block", F.lit(0).cast("long"))
+    many = joined.where(F.col("times") > COPIES_PER_BLOCK)
+    many = many.withColumn("block", F.explode(F.expr(f"sequence(0L, (times - 1) div {COPIES_PER_BLOCK})")))
+    blocks = few.unionByName(many.repartition("key", "block"))
+    left = F.expr(f"cast(least({COPIES_PER_BLOCK}, times - block * {COPIES_PER_BLOCK}) as int)")
+    return blocks.withColumn("copy", F.explode(F.sequence(F.lit(1), left))).select(*[F.col(f"row.`{c}`") for c in documents.columns])
