@@ -71,17 +71,22 @@ def test_mix(documents, empty, texts):
     mixed = mixing.mixed_documents(documents)
     assert mixed.columns == documents.columns
     words = sum(len((r["text"] or "").split()) for r in mixed.select("text").collect())
-    assert words == sum(r["taken"] for r in got)
+    # a copy taken in part goes on whole from half of its words on, else not at all
+    assert words == sum((r["taken"] // r["size"] + (2 * (r["taken"] % r["size"]) >= r["size"])) * r["size"] for r in got if r["size"])
+    assert {r["text"] for r in mixed.select("text").collect()} <= set(texts)
 
 
-def test_a_copy_in_part_keeps_its_lines(spark):
-    text = "\n  one two\n\nthree\tfour  five\r\nsix seven " * 40
-    rows = [(i, text, s, len(text)) for s in "abc" for i in range(3)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int").withColumn("lang", F.lit("en"))
-    mixed = mixing.mixed_documents(docs).collect()
-    parts = [r for r in mixed if r["text"] != text]
-    assert parts and all(text.startswith(r["text"]) and r["n_chars"] == len(r["text"]) and text[len(r["text"])].isspace() for r in parts)
-    assert sum(len(r["text"].split()) for r in mixed) == sum(r["taken"] for r in mixing.mix(docs).collect())
+def test_mixed_rows_keep_their_columns_and_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES_PER_BLOCK", 50)
+    text = "one two three four"
+    rows = [(1, text, "a", 18, "same")] * 700 + [(1, text, "a", 18, str(i)) for i in range(300)] + [(i, text + f" {i}", "b", 20, "x") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, mix_rows_ string")
+    mixed = mixing.mixed_documents(docs)
+    got = collections.Counter(tuple(r) for r in mixed.collect())
+    assert mixed.columns == docs.columns and set(got) <= set(rows)
+    assert all(got[r] >= 1 for r in set(rows) if r[2] == "a") and got[rows[0]] >= 700  # every row of a source with a target over its size
+    per = collections.Counter(r["source"] for r in mixing.mix(docs).where("taken * 2 >= size").collect())
+    assert per["a"] == 1000 and 0 < per["b"] <= 1000
 
 
 def test_line_dedup(documents, empty):
@@ -391,25 +396,78 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages.where("false"), outcomes.where("false")).count() == 0
 
 
+def likeness(a, b):
+    """Pieces in common, counted without any tree."""
+
+    def pieces(text):
+        out = collections.Counter()
+        for line in text.encode().split(b"\n"):
+            piece = []
+            for word in line.split(b" "):
+                piece.append(word)
+                if zlib.crc32(word) % merkle.PIECE == 0:
+                    out[zlib.crc32(b" ".join(piece)) & 0xFFFFFF] += 1
+                    piece = []
+            if piece:
+                out[zlib.crc32(b" ".join(piece)) & 0xFFFFFF] += 1
+        return out
+
+    x, y = pieces(a), pieces(b)
+    return 1.0 if a == b else 2 * (x & y).total() / (x.total() + y.total())
+
+
 def test_merkle(documents, empty, spark):
     ordered = sorted(((r[0], r[1] or "") for r in documents.select("doc_id", "text").collect()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     want = collections.Counter()
     for i, (doc, text) in enumerate(ordered):
         third = len(text) // 3
         edited = text[: len(text) - third] + ordered[(i + 1) % len(ordered)][1][:third]
-        want[(doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), merkle.fingerprint(text), merkle.fingerprint(edited))] += 1
+        near = (round(likeness(text, edited), 12), round(likeness(text, ordered[(i + 1) % len(ordered)][1]), 12))
+        want[(doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), merkle.fingerprint(text), merkle.fingerprint(edited), *near)] += 1
     rows = [tuple(r) for r in merkle.edited_fingerprints(documents).collect()]
-    assert collections.Counter(r[:5] for r in rows) == want
-    assert all(0 <= x <= 1 for r in rows for x in r[5:])
+    assert collections.Counter((*r[:5], round(r[5], 12), round(r[6], 12)) for r in rows) == want
     assert merkle.edited_fingerprints(empty).count() == 0
     a, b = "one two three\nfour five\n\nsix seven", "one two three\nfour fiver\n\nsix seven"
     assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(a)) == 1.0
-    assert merkle.edits(merkle.fingerprint(a), merkle.fingerprint(b))[0][1] is not None
+    assert merkle.edits(merkle.fingerprint(a), merkle.fingerprint(b)) == [(0, 1)]
+    lines = [f"line {i} of the text" for i in range(200)]
+    other = [x if i not in (7, 120) else x + "!" for i, x in enumerate(lines)]
+    tree = [p for s, (_, ps) in enumerate(merkle._tree(merkle.fingerprint("\n".join(lines)))) for p in [(s, j) for j in range(len(ps))]]
+    assert merkle.edits(merkle.fingerprint("\n".join(lines)), merkle.fingerprint("\n".join(other))) == [tree[7], tree[120]]
     assert 0 < merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) < 1
 
 
-def test_many_id_ranges(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "ROWS_PER_RANGE", 7)
+def test_a_hot_id_is_dealt_to_several_ranges(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        rows = [(5 if i % 3 == 0 else None if i % 3 == 1 else i, f"{i * 7919 % 4001} text") for i in range(4000)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        placed, ranges = merkle.with_next(df)
+        sizes = [r["count"] for r in placed.where("guest = 0").groupBy("range").count().collect()]
+        assert sum(sizes) == 4000 and ranges == len(sizes) == 20 and max(sizes) < 600
+        assert placed.where("guest = 1").count() < 200
+        got = collections.Counter((r["doc_id"], r["edited_sha256"]) for r in merkle.edited_fingerprints(df).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = collections.Counter()
+    for i, (doc, text) in enumerate(ordered):
+        third = len(text) // 3
+        edited = text[: len(text) - third] + ordered[(i + 1) % len(ordered)][1][:third]
+        want[(doc, hashlib.sha256(edited.encode()).hexdigest())] += 1
+    assert got == want
+
+
+def test_one_text_an_id_is_learned_from(spark):
+    rows = [(7, f"text {i % 900}") for i in range(2000)] + [(i, "other") for i in range(100, 150)]
+    labels = spark.createDataFrame([(i, 1) for i in (7, *range(100, 150))], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string"), labels, 50)
+    texts = [r["text"] for r in sample.collect()]
+    assert len(texts) <= 50 and sum(t.startswith("text") for t in texts) <= 1
+
+
+def test_many_id_ranges(spark):
     rows = [(i * 3, f"text number {i} " * (i % 5)) for i in range(100)]
     got = {r["doc_id"]: r["edited_sha256"] for r in merkle.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for k, (doc, text) in enumerate(rows):
@@ -418,6 +476,59 @@ def test_many_id_ranges(spark, monkeypatch):
         assert got[doc] == hashlib.sha256(edited.encode()).hexdigest()
 
 
+def near_groups(rows, width=5, percent=80):
+    """Components of (id, text) rows by the similarity of their whole sets."""
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    groups = collections.defaultdict(list)
+    for i, row in enumerate(rows):
+        if sets[i]:
+            groups[find(i)].append(row)
+    return list(groups.values()), [r for r, x in zip(rows, sets) if not x]
+
+
+def test_stages_on_odd_rows(spark, documents):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = documents.select("doc_id", "text", "lang", "source", "n_chars")
+    more = [(900 + i % 2, t, "en", "a", 0) for i, t in enumerate(["a b c d e f g h", "a b c d e f g h", "z y x w v u", "q"])]
+    more += [(None, "a b c d e f g h i", None, None, None), (None, "r s t", None, None, None), (None, "r s t", None, None, None)]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    stages = dict(pipeline.STAGES)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    groups, wordless = near_groups(rows)
+    kept = collections.Counter((r["doc_id"], r["text"]) for r in stages["near_duplicates"](spark, docs, "").collect())
+    assert sum(kept.values()) == len(groups) + len(wordless)
+    for row in set(wordless):
+        assert kept[row] == wordless.count(row)
+    for group in groups:
+        ids = [i for i, _ in group if i is not None]
+        first = [row for row in set(group) if row[0] == (min(ids) if ids else None)]
+        assert sum(kept[row] for row in first) == sum(kept[row] for row in set(group)) == 1
+    deduped = collections.Counter((r["doc_id"], r["text"], r["n_chars"]) for r in stages["line_dedup"](spark, docs, "").collect())
+    want = collections.Counter()
+    for r in lines.dedup_lines(docs).select("row", "n_dropped", "kept").collect():
+        changed = r["n_dropped"] > 0
+        want[(r["row"]["doc_id"], r["kept"] if changed else r["row"]["text"], len(r["kept"]) if changed else r["row"]["n_chars"])] += 1
+    assert deduped == want
+    empty = docs.where("false")
+    labels = "/root/testdata/sf0.001"
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, empty, labels).count() == 0, name
+
+
 def test_pipeline(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
