@@ -24,12 +24,19 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not rejected as toxic; every other one stays as it is."""
+    """Documents that are not rejected as toxic; every other one stays as it is.
+
+    Null and empty texts have no toxic term and stay unless most labels are toxic;
+    repeated rows and ids are judged row by row; an empty table stays empty."""
     return clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier one holds."""
+    """All documents, without the lines that one with a smaller id holds.
+
+    Rows with one id are one document, null ids together the last one; ties can't
+    arise.  Null texts stay null; texts that lose nothing stay as they are; a text may end up empty.  An
+    empty table stays empty."""
     kept = dedup_lines(docs).withColumn("kept", F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("row.text")))
     length = F.length("kept").cast(docs.schema["n_chars"].dataType)
     changed = {"text": F.col("kept"), "n_chars": F.when(F.col("n_dropped") > 0, length).otherwise(F.col("row.n_chars"))}
@@ -37,17 +44,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: that of the smallest id, null ids last, of
+    several texts with that id the one with the smallest hash.
+
+    Texts without words (null, empty, blanks) are copies of nothing and all stay, and so
+    do texts that only share lines which the stage before has taken out: near copies are
+    sought in what is left of them.  An empty table stays empty."""
     return first_of_groups(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as a mix of the sources takes them; repeats are repeated rows."""
+    """The documents as a mix of the sources takes them, whole; repeats are repeated rows.
+
+    Null sources are one source; documents without words take no part and go; rows equal
+    in all columns are drawn each for themselves.  An empty table stays empty."""
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces and their places in sequences of 4096 tokens."""
+    """Every document's pieces and their places in sequences of 4096 tokens.
+
+    Null and empty texts are one piece, the end token; repeated rows are packed each; an
+    empty table gives no rows."""
     return pack_documents(docs, tokenizer_path(), 4096, 1)
 
 
