@@ -91,6 +91,8 @@ class Lexicon:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
+        self.stems_at: list[tuple[tuple[int, int], ...]] = []  # stems that end in a state
+        self.ends_at: list[tuple[tuple[int, int], ...]] = []  # what a word that ends there is
         self.start = self._state({(0, 0, "")})
 
     def _state(self, found: set[tuple[int, int, str]]) -> int:
@@ -109,8 +111,19 @@ class Lexicon:
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.moves.append({})
+            self.stems_at.append(tuple((self.stem[n], 0) for n, e, _ in key if not e and self.stem[n] >= 0))
+            self.ends_at.append(self._ends(key))
         return self.states[key]
 
+    def _ends(self, key: frozenset) -> tuple[tuple[int, int], ...]:
+        ends: dict[int, int] = {}
+        for node, errors, due in key:
+            term = self.word[node]
+            if term >= 0 and not due and errors <= errors_allowed(self.terms[term]):
+                ends[term] = min(errors, ends.get(term, errors))
+        least = min(ends.values(), default=0)
+        return tuple((t, e) for t, e in ends.items() if e == least)
+
     def _move(self, state: int, letter: str) -> int:
         out: set[tuple[int, int, str]] = set()
         for node, errors, due in self.sets[state]:
@@ -138,20 +151,16 @@ class Lexicon:
         those with more."""
         if len(self.sets) >= STATES:
             self._clear()
-        state, found = self.start, []
+        state, found = self.start, ()
+        moves, sets, stems_at = self.moves, self.sets, self.stems_at
         for letter in word:
-            to = self.moves[state].get(letter)
+            to = moves[state].get(letter)
             state = self._move(state, letter) if to is None else to
-            if not self.sets[state]:
-                return tuple(found)
-            found += [(self.stem[n], 0) for n, e, due in self.sets[state] if not e and self.stem[n] >= 0]
-        ends: dict[int, int] = {}
-        for node, errors, due in self.sets[state]:
-            term = self.word[node]
-            if term >= 0 and not due and errors <= errors_allowed(self.terms[term]):
-                ends[term] = min(errors, ends.get(term, errors))
-        least = min(ends.values(), default=0)
-        return tuple(found + [(t, e) for t, e in ends.items() if e == least])
+            if not sets[state]:
+                return found
+            if stems_at[state]:
+                found += stems_at[state]
+        return found + self.ends_at[state]
 
 
 def matches_by_distance(terms: list[str], word: str) -> set[tuple[int, int]]:
@@ -192,22 +201,28 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.lexicon = Lexicon(model.terms)
-        self.known: dict[str, tuple] = {}
+        self.known: set[str] = set()  # words read, and what those of them match that match
+        self.matched: dict[str, tuple[tuple[int, int], ...]] = {}
 
     def hits(self, words: list[str]) -> list[tuple[int, int, int]]:
         """(place, term, errors)."""
-        known, out = self.known, []
         if not self.model.terms:
-            return out
-        for i, word in enumerate(words):
-            found = known.get(word)
-            if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[word] = self._match(word)
+            return []
+        own = set(words)
+        new = own - self.known
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            self.matched.clear()
+            new = own
+        for word in new:
+            found = self._match(word)
             if found:
-                out += [(i, t, e) for t, e in found]
-        return out
+                self.matched[word] = found
+        self.known |= new
+        if own.isdisjoint(self.matched):
+            return []
+        matched = self.matched
+        return [(i, t, e) for i, word in enumerate(words) if word in matched for t, e in matched[word]]
 
     def _match(self, word: str) -> tuple[tuple[int, int], ...]:
         found = self.lexicon.match(word)
