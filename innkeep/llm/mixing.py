@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import COPIES_PER_BLOCK, WORD, hash_bits, id_text, numbered_copies
+from innkeep.llm.common import COPIES_PER_BLOCK, WORD, hash_bits, id_text, maybe_broadcast, numbered_copies
 from innkeep.session import stored
 
 #: Cells by which a source's documents are summed in rank order.
@@ -112,12 +112,14 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     taken = mix(documents.select("doc_id", "source", "text", hashed), identity=("mix_hash_",), **options).where("taken > 0")
     rows = F.expr("taken div size + if(2 * (taken % size) >= size, 1, 0)")
     taken = taken.groupBy("doc_id", "source", "mix_hash_").agg(F.sum(rows).alias("times")).where("times > 0")
-    taken = taken.select(F.struct("doc_id", "source", "mix_hash_").alias("key"), "times")
+    taken = stored(taken.select(F.struct("doc_id", "source", "mix_hash_").alias("key"), "times"), "mix-times")
     marked = documents.select(F.struct("*").alias("row"), F.struct("doc_id", "source", hashed).alias("key"))
-    joined = marked.dropDuplicates(["key"]).join(taken, "key")
-    few = joined.where(F.col("times") <= COPIES_PER_BLOCK).withColumn("block", F.lit(0).cast("long"))
-    many = joined.where(F.col("times") > COPIES_PER_BLOCK)
-    many = many.withColumn("block", F.explode(F.expr(f"sequence(0L, (times - 1) div {COPIES_PER_BLOCK})")))
-    blocks = few.unionByName(many.repartition("key", "block"))
+    few, many = taken.where(F.col("times") <= COPIES_PER_BLOCK), taken.where(F.col("times") > COPIES_PER_BLOCK)
+    blocks = marked.dropDuplicates(["key"]).join(few, "key").withColumn("block", F.lit(0).cast("long"))
+    hot = many.count()
+    if hot:  # few keys have so many rows: theirs are picked first, then one of each
+        picked = marked.join(maybe_broadcast(many, hot), "key").dropDuplicates(["key"])
+        picked = picked.withColumn("block", F.explode(F.expr(f"sequence(0L, (times - 1) div {COPIES_PER_BLOCK})")))
+        blocks = blocks.unionByName(picked.repartition("key", "block"))
     left = F.expr(f"cast(least({COPIES_PER_BLOCK}, times - block * {COPIES_PER_BLOCK}) as int)")
     return blocks.withColumn("copy", F.explode(F.sequence(F.lit(1), left))).select(*[F.col(f"row.`{c}`") for c in documents.columns])
