@@ -186,6 +186,58 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _level(name: str, group: str, prior: str, source: str) -> str:
+    """One level of the hierarchy in SQL: moments, strength, posterior."""
+    return f"""{name}_groups as (
+  select {group}, {prior}::double as prior, sum(good)::double as good, sum(n)::double as n from {source} group by all
+), {name}_fit as (
+  select sum(n * (good / n - prior) * (good / n - prior)) as spread, sum(prior * (1 - prior)) as chance,
+         sum((n - 1) * prior * (1 - prior)) as room
+  from {name}_groups where n > 1
+), {name}_strength as (
+  select case when coalesce(room, 0) = 0 or spread <= chance then 200.0::double
+              else least(200.0::double, greatest(2.0::double, room / (spread - chance) - 1)) end as strength from {name}_fit
+), {name} as (
+  select *, prior * strength + good as a, (1 - prior) * strength + n - good as b,
+         (prior * strength + good) / (strength + n) as mean
+  from {name}_groups, {name}_strength
+)"""
+
+
+ORACLES["op9_url_filter"] = rf"""
+with judged as (
+  select page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) as rest from pages
+), split as (
+  select page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) as path
+  from judged
+), known as (
+  select doc_id as page_id, min(quality) as good from labels where doc_id is not null and quality is not null group by doc_id
+), hosts as (
+  select host, coalesce(sum(good), 0) as good, count(good) as n, string_split(host, '.') as labels
+  from split left join known using (page_id) group by host
+), named as (
+  select host, good, n, labels[-1] as suffix, array_to_string(list_slice(labels, greatest(1, len(labels) - 1), len(labels)), '.') as domain,
+         (sum(good) over () + 1.0::double) / (sum(n) over () + 2.0::double) as overall
+  from hosts
+), {_level("by_suffix", "suffix", "overall", "named")}, {_level("by_domain", "domain, suffix", "mean", "(select domain, suffix, h.good, h.n, s.mean from named h join by_suffix s using (suffix))")},
+{_level("by_host", "host, domain", "mean", "(select host, domain, h.good, h.n, d.mean from named h join by_domain d using (domain))")}, bounds as (
+  select host, mean + 2.0::double * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as bound from by_host
+), ruled as (
+  select *, case when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
+                 when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
+                 when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
+                 when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
+                 when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/' end as rule
+  from split join bounds using (host)
+)
+select page_id, host, path, rule,
+       case when rule in ('www.example.com/en/', 'com/') then 'allow' when rule is not null then 'block'
+            when bound < 0.5 then 'block' else 'allow' end as verdict
+from ruled
+"""
+
+
 @query
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's two thousand most cohesive phrases."""

@@ -101,14 +101,37 @@ def _shrunk(groups: DataFrame) -> DataFrame:
     return groups.withColumn("a", a).withColumn("b", b).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
 
 
-def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``hosts`` with ``suffix`` and registered ``domain``: the suffix and the label before
+    it.  ``suffixes`` (a column ``suffix``, like ``co.uk``) lists those of several labels;
+    the longest that a host ends in counts, else its last label.  A host that is itself
+    a suffix is its own domain.  The table is joined on the hosts' endings, whatever its
+    size."""
+    labels = F.split("host", r"\.")
+    if suffixes is None:
+        long = hosts.withColumn("suffix", F.substring_index("host", ".", -1))
+    else:
+        ends = hosts.select("host", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(labels)))).alias("n"))
+        ends = ends.select("host", F.expr("substring_index(host, '.', -n)").alias("end"), "n")
+        listed = suffixes.select(F.lower(F.col("suffix")).alias("end")).distinct()
+        found = ends.join(listed, "end").groupBy("host").agg(F.max_by("end", "n").alias("listed"))
+        long = hosts.join(found, "host", "left")
+        long = long.withColumn("suffix", F.coalesce("listed", F.substring_index("host", ".", -1))).drop("listed")
+    size = F.size(F.split("suffix", r"\."))
+    return long.withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - size), F.size(labels)), "."))
+
+
+def filter_urls(
+    pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES, suffixes: DataFrame | None = None
+) -> DataFrame:
     """``page_id, host, path, rule, verdict, n_labelled`` for every page.
 
     The longest rule that fits decides.  Without one, the page is blocked if even the
     upper posterior bound of its host's share of good pages is below one half, and
     allowed otherwise: a host needs evidence against it.  ``outcomes`` (page_id, good)
     are labelled pages; several labels of a page are good only if all are, null ones
-    don't count.  A registered domain is a host's last two labels, its suffix the last.
+    don't count.  Registered domains and suffixes are those of ``with_domains``: without
+    a table of suffixes, a host's last two labels and its last one.
 
     Null urls, and urls without '://', have an empty host and path and no rule; they
     form a host of their own.  Repeated rows are judged each, and count each.  A very
@@ -119,7 +142,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] =
     known = outcomes.where("page_id is not null and good is not null").groupBy("page_id").agg(F.min(F.col("good").cast("int")).alias("good"))
     labelled = judged.select("page_id", "host").join(known, "page_id", "left")
     by_host = labelled.groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.count("good").alias("labelled"))
-    by_host = by_host.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+    by_host = with_domains(stored(by_host, "url-host-counts"), suffixes)
     bounds = stored(reputations(stored(by_host, "url-hosts")), "url-bounds")
     ruled = judged.join(bounds, "host").withColumn("fits", longest_rule(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce("fits.verdict", F.when(F.col("bound") < LIMIT, F.lit("block")).otherwise(F.lit("allow")))

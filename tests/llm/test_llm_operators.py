@@ -396,6 +396,84 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages.where("false"), outcomes.where("false")).count() == 0
 
 
+def posterior_bounds(pages, deviations=2.0):
+    """{host: bound} from (host, domain, suffix, good, n), level by level in plain Python."""
+
+    def level(groups):  # {name: [prior, good, n]}
+        many = [(p, g, n) for p, g, n in groups.values() if n > 1]
+        room = sum((n - 1) * p * (1 - p) for p, _, n in many)
+        rho = (sum(n * (g / n - p) ** 2 for p, g, n in many) - sum(p * (1 - p) for p, _, _ in many)) / room if room else 0
+        strength = min(200.0, max(2.0, 1 / rho - 1)) if rho > 0 else 200.0
+        return {k: (p * strength + g, (1 - p) * strength + n - g) for k, (p, g, n) in groups.items()}
+
+    def summed(key, prior):
+        out = {}
+        for row in pages:
+            group = out.setdefault(row[key], [prior(row), 0, 0])
+            group[1] += row[3]
+            group[2] += row[4]
+        return level(out)
+
+    total = (sum(r[3] for r in pages) + 1) / (sum(r[4] for r in pages) + 2)
+    mean = lambda ab: ab[0] / sum(ab)
+    suffixes = summed(2, lambda r: total)
+    domains = summed(1, lambda r: mean(suffixes[r[2]]))
+    hosts = summed(0, lambda r: mean(domains[r[1]]))
+    return {h: mean((a, b)) + deviations * (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5 for h, (a, b) in hosts.items()}
+
+
+def test_reputation_is_the_posterior_of_the_hierarchy(spark):
+    rng = random.Random(6)
+    hosts = [(f"h{i}.d{i % 40}.s{i % 5}", f"d{i % 40}.s{i % 5}", f"s{i % 5}") for i in range(300)]
+    rows = [(*h, rng.randint(0, n) if i % 3 else n, n) for i, h in enumerate(hosts) for n in [rng.choice([0, 1, 2, 5, 40])]]
+    df = spark.createDataFrame(rows, "host string, domain string, suffix string, good long, labelled long")
+    want = posterior_bounds(rows)
+    got = {r["host"]: r["bound"] for r in url_filter.reputations(df).collect()}
+    assert got.keys() == want.keys() and all(got[h] == pytest.approx(want[h], abs=1e-9) for h in want)
+
+
+def judged_hosts(spark, labels, suffixes=None):
+    """{host: verdict} from {host: (good, bad, pages without a label)}."""
+    rows, outcomes = [], []
+    for host, (good, bad, more) in labels.items():
+        for i in range(good + bad + more):
+            rows.append((len(rows), f"https://{host}/p"))
+            if i < good + bad:
+                outcomes.append((len(rows) - 1, int(i < good)))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    return {
+        r["host"]: r["verdict"]
+        for r in url_filter.filter_urls(pages, spark.createDataFrame(outcomes, "page_id long, good int"), suffixes=suffixes).collect()
+    }
+
+
+def test_evidence_comes_from_host_domain_and_suffix(spark):
+    labels = {f"a{i}.bad.org": (0, 40, 0) for i in range(6)} | {f"b{i}.good.org": (40, 0, 0) for i in range(6)}
+    labels |= {f"w{i}.junk{i}.zip": (0, 30, 0) for i in range(12)} | {f"v{i}.fine{i}.edu": (30, 0, 0) for i in range(12)}
+    labels |= {"own.good.org": (0, 60, 0), "few.bad.org": (0, 1, 3), "new.bad.org": (0, 0, 2), "new.good.org": (0, 0, 2), "new.zip": (0, 0, 2), "new.edu": (0, 0, 2)}
+    got = judged_hosts(spark, labels)
+    assert got["own.good.org"] == "block"  # its own pages, against its domain
+    assert got["few.bad.org"] == got["new.bad.org"] == "block" and got["new.good.org"] == "allow"  # its domain
+    assert got["new.zip"] == "block" and got["new.edu"] == "allow"  # its suffix
+
+
+def test_a_table_of_suffixes_tells_domains_apart(spark):
+    hosts = ["a.x.co.uk", "b.x.co.uk", "y.co.uk", "co.uk", "z.uk", "plain", "", "q.com"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    listed = spark.createDataFrame([("CO.uk",), ("uk",), ("co.uk",)], "suffix string")
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.with_domains(df, listed).collect()}
+    assert got == {
+        "a.x.co.uk": ("x.co.uk", "co.uk"), "b.x.co.uk": ("x.co.uk", "co.uk"), "y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "z.uk": ("z.uk", "uk"), "plain": ("plain", "plain"), "": ("", ""), "q.com": ("q.com", "com"),
+    }
+    plain = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.with_domains(df).collect()}
+    assert plain["a.x.co.uk"] == ("co.uk", "uk") and plain["q.com"] == ("q.com", "com")
+    labels = {f"w{i}.bad.co.uk": (0, 40, 0) for i in range(5)} | {f"w{i}.good.co.uk": (40, 0, 0) for i in range(5)}
+    labels |= {"new.bad.co.uk": (0, 0, 2), "new.good.co.uk": (0, 0, 2)}
+    got = judged_hosts(spark, labels, listed)
+    assert got["new.bad.co.uk"] == "block" and got["new.good.co.uk"] == "allow"
+
+
 def likeness(a, b):
     """Pieces in common, counted without any tree."""
 
