@@ -201,7 +201,8 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.lexicon = Lexicon(model.terms)
-        self.known: set[str] = set()  # words read, and what those of them match that match
+        self.known: set[str] = set()  # words read, those that match, and what they match
+        self.matching: set[str] = set()
         self.matched: dict[str, tuple[tuple[int, int], ...]] = {}
 
     def hits(self, words: list[str]) -> list[tuple[int, int, int]]:
@@ -212,14 +213,16 @@ class Scorer:
         new = own - self.known
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
+            self.matching.clear()
             self.matched.clear()
             new = own
         for word in new:
             found = self._match(word)
             if found:
                 self.matched[word] = found
+                self.matching.add(word)
         self.known |= new
-        if own.isdisjoint(self.matched):
+        if own.isdisjoint(self.matching):
             return []
         matched = self.matched
         return [(i, t, e) for i, word in enumerate(words) if word in matched for t, e in matched[word]]
