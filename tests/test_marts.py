@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -201,3 +202,55 @@ def test_hot_unit_day_equals_brute_force(spark):
         for i in (cells.get((u, d), [-1]) if u != 5 else [-1])
     ]
     assert have == sorted(want)
+
+
+def test_free_days_are_not_shuffled(spark):
+    """Only sales and days with a rate are dealt by day; units meet their free days as bit sets."""
+    data = inputs(spark, sales(spark))
+    start, end = D(2020, 1, 1), D(2026, 12, 30)
+    got = unit_days.unit_day_base(data, start, end)
+    assert got.count() == 3 * ((end - start).days + 1) + 1
+    got.write.format("noop").mode("overwrite").save()
+    plan = got._jdf.queryExecution().executedPlan()
+    written = _shuffled_rows(plan)
+    assert written and max(written) < 100
+
+
+def _shuffled_rows(plan):
+    """Rows that each exchange of a finished plan wrote."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif node.nodeName() in ("ShuffleQueryStage", "BroadcastQueryStage"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_days_with_a_rate_beside_sold_and_free_ones(spark):
+    """Rates and prices on sold days, on free days, outside the window and for units nobody knows."""
+    rates = "id_unit bigint, manager string, date date, season string, rate double, min_stay int"
+    asked = [(1, "M", D(2025, 1, 2), "a", 1.0, 1), (1, "M", D(2025, 1, 31), "b", 2.0, 1), (1, "M", D(2025, 2, 2), "b", 2.5, 1)]
+    asked += [(1, "M", D(2025, 1, 30), "c", 3.0, 1), (9, "M", D(2025, 1, 30), "c", 3.0, 1), (5, None, D(2025, 1, 30), "c", 3.0, 1)]
+    priced = [(1, "m", D(2025, 1, 31), "a", 4.0, 1), (1, "M", D(2025, 1, 31), "a", 5.0, 1), (3, "M", D(2025, 2, 1), "a", 6.0, 1)]
+    data = replace(
+        inputs(spark, sales(spark)),
+        target_rates=spark.createDataFrame(asked, rates),
+        prices=spark.createDataFrame(priced, rates),
+    )
+    got = unit_days.unit_day_base(data, D(2025, 1, 2), D(2025, 2, 1)).collect()
+    assert len(got) == 3 * 31 + 2  # a second sale, a second price
+    rated = sorted((r.unit_id, r.date, r.reservation or 0, r.target_rate, r.current_rate or 0) for r in got if r.target_rate or r.current_rate)
+    assert rated == [
+        (1, D(2025, 1, 2), 7, 1.0, 0),
+        (1, D(2025, 1, 2), 8, 1.0, 0),
+        (1, D(2025, 1, 30), 0, 3.0, 0),
+        (1, D(2025, 1, 31), 0, 2.0, 4.0),
+        (1, D(2025, 1, 31), 0, 2.0, 5.0),
+        (3, D(2025, 2, 1), 0, None, 6.0),
+    ]
