@@ -235,3 +235,19 @@ def test_by_date_upkeep(spark):
         stored_by_date.build_by_date(now, full)
         assert shown(spark.read.parquet(path)) == shown(spark.read.parquet(full))
         first = now
+
+
+def test_a_change_may_reach_every_month(spark, tmp_path):
+    """In large tables the changes of ``by_date_upkept`` reach all arrival months."""
+    from innkeep.domain.queries_upkeep import by_date_upkept
+
+    day = dt.datetime(1995, 1, 1)
+    orders = [(5003 * i, 1, "F", 10.0, day + dt.timedelta(days=31 * i), "5-LOW") for i in range(1, 6)]
+    items = [(5003 * i, 1, day, "N", 5.0, 0.1, 0.0, 1.0) for i in range(1, 6)]
+    spark.createDataFrame([(1, "BUILDING", 0.0)], "c_custkey long, c_mktsegment string, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    shape = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(orders, shape).write.parquet(f"{tmp_path}/orders.parquet")
+    shape = "l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_returnflag string, l_extendedprice double, l_tax double, l_discount double, l_quantity double"
+    spark.createDataFrame(items, shape).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = by_date_upkept(spark, str(tmp_path)).collect()
+    assert sorted((r["id"], r["price"]) for r in got) == [(5003 * i, 5.0) for i in range(1, 6)]
