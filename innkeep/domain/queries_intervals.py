@@ -8,7 +8,13 @@ from innkeep.domain import views as V
 from innkeep.domain.queries_documents import _calendar_docs
 from innkeep.domain.registry import query
 from innkeep.operators.intervals import interval_join
+from innkeep.operators.stays import spread
 from innkeep.plans import occupancy
+from innkeep.session import stored
+
+#: About how many different seasons a stay is compared with for each that it meets; it
+#: sets the number of tasks only.
+SPANS_PER_MEETING = 10
 
 _SEASONS = """SELECT s_suppkey AS season_id, s_nationkey % 5 AS market,
            CAST(DATE '1992-01-01' + CAST(s_suppkey * 37 % 2400 AS INTEGER) AS DATE) AS season_start,
@@ -67,8 +73,17 @@ def blocked_by_season(spark, sf):
     GROUP BY season_id""",
 )
 def stays_by_season(spark, sf):
-    """Stays against all seasons, without any equal key."""
-    pairs = interval_join(V.bookings(spark, sf), _seasons(spark, sf), ("startdate", "enddate"), ("season_start", "season_end"))
-    return pairs.groupBy("season_id").agg(
-        F.count(F.lit(1)).alias("stays"), F.sum(F.datediff("shared_to", "shared_from") + 1).alias("days")
+    """Stays against all seasons, without any equal key.  Equal stays and equal seasons
+    meet once, with their number: pairs grow with the different date spans on either
+    side, not with the rows."""
+    rows = V.bookings(spark, sf).groupBy("startdate", "enddate").agg(F.count(F.lit(1)).alias("n"))
+    stays, seasons = stored(rows, "stay-spans"), _seasons(spark, sf)
+    spans = stored(seasons.select("season_start", "season_end").distinct(), "season-spans")
+    stays = spread(stays, stays.count() * spans.count() // SPANS_PER_MEETING)
+    pairs = interval_join(stays, spans, ("startdate", "enddate"), ("season_start", "season_end"))
+    per_span = pairs.groupBy("season_start", "season_end").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * (F.datediff("shared_to", "shared_from") + 1)).alias("shared")
+    )
+    return seasons.join(per_span, ["season_start", "season_end"]).groupBy("season_id").agg(
+        F.sum("n").alias("stays"), F.sum("shared").alias("days")
     )
