@@ -108,7 +108,7 @@ def calendar_flags(spark, sf):
 def unit_date_spine(spark, sf):
     """Every unit on every day of the horizon."""
     spine = dimensions.unit_date_spine(V.listed_units(spark, sf), V.reservations(spark, sf), *V.HORIZON)
-    return dimensions.spine_text(spine)
+    return dimensions.spine_text(spine, *V.HORIZON)
 
 
 def _houses_of(spark, sf):

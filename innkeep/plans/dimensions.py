@@ -108,13 +108,19 @@ def unit_date_spine(
     return spine(spine_units(properties, reservations), start, end)
 
 
-def spine_text(df: DataFrame) -> DataFrame:
-    """The spine as it is stored for text consumers."""
-    return df.select(
-        F.col("id").cast("string").alias("id"),
-        "manager",
-        F.date_format("date", "MM/dd/yyyy").alias("date"),
-    )
+def _day_texts(start: dt.date, end: dt.date) -> Column:
+    """``MM/dd/yyyy`` texts of all days from ``start`` to ``end``, one constant list."""
+    every = (start + dt.timedelta(n) for n in range((end - start).days + 1))
+    return F.split(F.lit(",".join(f"{d.month:02}/{d.day:02}/{d.year:04}" for d in every)), ",")
+
+
+def spine_text(df: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """The spine as it is stored for text consumers.  Days from ``start`` to ``end`` take
+    their text from a list; only others are formatted row by row."""
+    text = F.date_format("date", "MM/dd/yyyy")
+    if start is not None and end is not None:
+        text = F.coalesce(F.get(_day_texts(start, end), F.date_diff("date", F.lit(start))), text)
+    return df.select(F.col("id").cast("string").alias("id"), "manager", text.alias("date"))
 
 
 def house_dimension(

@@ -254,3 +254,11 @@ def test_days_with_a_rate_beside_sold_and_free_ones(spark):
         (1, D(2025, 1, 31), 0, 2.0, 5.0),
         (3, D(2025, 2, 1), 0, None, 6.0),
     ]
+
+
+def test_spine_text_is_the_same_with_and_without_a_list_of_days(spark, rows):
+    days = [D(1995, 1, 1), D(1996, 2, 29), D(1996, 12, 31), D(1994, 12, 31), D(1997, 1, 1), D(812, 3, 4), None]
+    df = spark.createDataFrame([(i, "m", d) for i, d in enumerate(days)], "id long, manager string, date date")
+    listed = dimensions.spine_text(df, D(1995, 1, 1), D(1996, 12, 31))
+    texts = ["01/01/1995", "02/29/1996", "12/31/1996", "12/31/1994", "01/01/1997", "03/04/0812", None]
+    assert rows(listed) == rows(dimensions.spine_text(df)) == sorted((str(i), "m", t) for i, t in enumerate(texts))
