@@ -8,6 +8,7 @@ under ANSI mode one bad value would otherwise fail the whole job.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -99,6 +100,15 @@ def zone_to_offset(c: Column | str) -> Column:
     return F.when(offset.isNotNull(), F.concat(head, offset)).otherwise(text)
 
 
+def _read_if_shaped(text: Column, fmt: str) -> Column:
+    """The text read by the format with an offset.  Where the format begins with a number
+    and a slash or dash, texts that don't are NULL at once: a failed read costs more than
+    any other step."""
+    value = F.try_to_timestamp(text, F.lit(fmt + "XXX"))
+    begin = re.match(r"(?:y{4}|M{1,2}|d{1,2})([/-])", fmt)
+    return F.when(text.rlike(f"^[+-]?[0-9]+{begin[1]}"), value) if begin else value
+
+
 def parse_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Mixed-format text to an instant (TIMESTAMP).  Text without an offset is
     UTC; offsets may lack their colon or minutes, fractions are cut at the
@@ -111,7 +121,7 @@ def parse_ts(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Col
     text = F.when(text.rlike(r"[+-]\d{2}:\d{2}$"), text).otherwise(
         F.concat(F.regexp_replace(text, "Z$", ""), F.lit("+00:00"))
     )
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f + "XXX")) for f in formats])
+    return F.coalesce(*[_read_if_shaped(text, f) for f in formats])
 
 
 def to_business_time(c: Column | str, zone: str = BUSINESS_ZONE) -> Column:

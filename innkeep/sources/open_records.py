@@ -9,14 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from innkeep.operators.cleaning import nested_to_json
 from innkeep.operators.nested import flatten
 from innkeep.session import stored
 
-_OBJECT = "map<string,variant>"
-
 
 def land_pages(
     pages: DataFrame, body: str, paths: Sequence[str], keep: Sequence[str]
@@ -25,8 +23,9 @@ def land_pages(
     ``paths`` that holds a non-empty list, and their number.  Bodies that are no JSON or
     hold no list are pages without records.  Stored, so that a body is parsed once."""
     parsed = pages.select(*keep, F.try_parse_json(F.col(body)).alias("_v"))
-    lists = [F.try_variant_get("_v", path, "array<variant>") for path in paths]
-    found = F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists], F.array().cast("array<variant>"))
+    lists = {f"_list_{i}": F.try_variant_get("_v", path, "array<variant>") for i, path in enumerate(paths)}
+    parsed = parsed.select(*keep, *[x.alias(name) for name, x in lists.items()])  # each is read once
+    found = F.coalesce(*[F.when(F.size(name) > 0, F.col(name)) for name in lists], F.array().cast("array<variant>"))
     landed = parsed.select(*keep, found.alias("records"))
     return stored(landed.select(*keep, F.size("records").alias("n"), "records"), "landed-pages")
 
@@ -47,7 +46,7 @@ def until_short_page(landed: DataFrame, page: str, page_size: int, run: str | No
 def page_records(landed: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``(*keep, pos, record)``: one row per record; entries that are no objects drop out."""
     rows = landed.select(*keep, F.posexplode("records").alias("pos", "record"))
-    return rows.where(F.try_variant_get("record", "$", _OBJECT).isNotNull())
+    return rows.where(F.try_variant_get("record", "$", "struct<>").isNotNull())
 
 
 def _as_ddl(found: str) -> str:
@@ -86,14 +85,6 @@ def _ddl(kind: T.DataType) -> str:
     return kind.simpleString()
 
 
-def _field(record: str, name: str, kind: T.DataType) -> Column:
-    for quote in "\"'":
-        if quote not in name:
-            return F.try_variant_get(record, f"$[{quote}{name}{quote}]", _ddl(kind))
-    value = F.try_element_at(F.try_variant_get(record, "$", _OBJECT), F.lit(name))
-    return F.try_variant_get(value, "$", _ddl(kind))
-
-
 def typed_records(
     records: DataFrame,
     keep: Sequence[str] = (),
@@ -109,8 +100,9 @@ def typed_records(
     schema = found_schema(records, record) if schema is None else schema
     kinds: Mapping[str, T.DataType] = {f.name: f.dataType for f in schema.fields}
     text = T.StringType()
-    columns = [_field(record, c, text).alias(c) for c in as_text]
-    columns += [_field(record, c, kind).alias(c) for c, kind in kinds.items() if c not in as_text]
+    columns = [T.StructField(c, text) for c in as_text]
+    columns += [T.StructField(c, kind) for c, kind in kinds.items() if c not in as_text]
     aside = [F.col(c).alias(f"_kept_{i}") for i, c in enumerate(keep)]  # a field may have its name
-    rows = nested_to_json(flatten(records.select(*columns, *aside), sep))
+    whole = records.select(F.try_variant_get(record, "$", _ddl(T.StructType(columns))).alias("_r"), *aside)  # one walk over a record
+    rows = nested_to_json(flatten(whole.select("_r.*", *[f"_kept_{i}" for i in range(len(keep))]), sep))
     return rows.withColumnsRenamed({f"_kept_{i}": c for i, c in enumerate(keep)})

@@ -251,3 +251,15 @@ def test_a_change_may_reach_every_month(spark, tmp_path):
     spark.createDataFrame(items, shape).write.parquet(f"{tmp_path}/lineitem.parquet")
     got = by_date_upkept(spark, str(tmp_path)).collect()
     assert sorted((r["id"], r["price"]) for r in got) == [(5003 * i, 5.0) for i in range(1, 6)]
+
+
+def test_a_record_is_read_in_one_walk(spark):
+    odd = {"id": 1, "it's": 2, '"q"': 3, "both ' and \"": 4, "a b": {"c.d": [1], "e": None}, "gone": None}
+    landed = open_records.land_pages(pages(spark, {"reservations": [odd, {"id": "two"}, [1], "x", None, {}]}), "body", ["$.reservations"], ["page"])
+    records = open_records.page_records(landed, ["page"])
+    assert sorted(r["pos"] for r in records.collect()) == [0, 1, 5]
+    rows = open_records.typed_records(records, ["pos"], ["id", "late"])
+    assert sum(c.count("variant_get") for c in rows._jdf.queryExecution().analyzed().toString().split("Project")) <= 2
+    got = {r["pos"]: r.asDict() for r in rows.collect()}
+    assert got[0] == {"id": "1", "late": None, "it's": 2, '"q"': 3, "both ' and \"": 4, "a b.c.d": "[1]", "a b.e": None, "gone": None, "pos": 0}
+    assert got[1]["id"] == "two" and got[1]["it's"] is None and got[5]["id"] is None
