@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by parity sketches."""
+"""N-gram Jaccard join by rarest shingles and parity sketches."""
 
 from __future__ import annotations
 
@@ -11,21 +11,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import WORD, maybe_broadcast, packed, release, run_path, scratch, small_batches
+from innkeep.llm.common import WORD, maybe_broadcast, packed, release, scratch, small_batches
 from innkeep.session import stored
 
-#: Each size band's upper end over its lower end.
-BAND = 1.5
-#: Bands there are; the last one begins above 10^10 shingles.
-BANDS = 64
-#: Sketch words beyond those that the pigeonhole needs, as a share of them.
-SPARE = 0.2
 #: Words whose hashes a worker remembers at once.
 REMEMBERED = 200_000
-#: Least words of a folded sketch, and sketch words per word of it in higher bands.
-FOLD, FOLDED = 16, 8
-#: Bits of a token.  Two that are equal by chance cost a comparison, nothing else.
-TOKEN_BITS = 48
+#: Words of a folded sketch.
+FOLD = 64
+#: Bytes of a token.  Two that are equal by chance cost a comparison, nothing else.
+TOKEN_BYTES = 6
+#: Tokens that are counted by one task's group, and held at once where they are dealt, about.
+COUNTED = 2_000_000
+#: Sets looked at for tokens that very many have; more than this share of them counts so,
+#: and more than this number.
+LOOKED_AT, FREQUENT_SHARE, FREQUENT = 2000, 0.02, 20
+#: Where the order puts frequent tokens, and the largest number of rows it tells apart.
+LAST = 2**15 - 1
 #: Buckets up to this size give all their pairs; larger ones are compared in blocks of
 #: about so many sets, and so many rows make up one task's group.
 SMALL, BLOCK, GROUP_ROWS = 16, 1000, 20_000
@@ -66,79 +67,22 @@ def shingle_hashes(text: str, width: int, known: dict | None = None) -> np.ndarr
     return np.unique(out)
 
 
-def band_of(size: int) -> int:
-    """Bands have whole limits: band b holds the sizes from limit(b) to limit(b + 1) - 1."""
-    band = max(0, int(np.log(size) / np.log(BAND)) - 3)
-    while limit(band + 1) <= size:
-        band += 1
-    return band
-
-
-def limit(band: int) -> int:
-    return int(np.ceil(BAND**band)) + band if band < 4 else int(np.ceil(BAND**band)) + 4
-
-
-def most_different(a: int, c: int, percent: int) -> int:
-    """Largest symmetric difference of sets of sizes a and c that reach the similarity:
-    with an intersection of at least percent / (100 + percent) of both sizes' sum."""
-    return (100 - percent) * (a + c) // (100 + percent)
-
-
-def sketch_words(band: int, percent: int) -> tuple[int, int]:
-    """(64-bit words of a sketch in this band, words to agree on).  There are more words
-    than any pair's difference, so that some of a pair agree, and a few spare ones; up to
-    three of these lengthen the prefixes, in which so many more words must then agree."""
-    high = limit(band + 1) - 1
-    needed = most_different(high, high * 100 // percent, percent) + 1
-    spare = int(np.ceil(SPARE * needed))
-    return needed + spare, 1 + min(3, spare // 2)
-
-
-def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
+def folded(hashes: np.ndarray) -> np.ndarray:
     """The parity sketch: every hash flips one bit.  Two sketches differ in at most as
     many bits as the sets have elements not in common."""
-    out = np.zeros(words, np.uint64)
-    np.bitwise_xor.at(out, ((hashes >> _U(32)) % _U(words)).astype(np.int64), _U(1) << (hashes & _U(63)))
+    out = np.zeros(FOLD, np.uint64)
+    np.bitwise_xor.at(out, ((hashes >> _U(32)) % _U(FOLD)).astype(np.int64), _U(1) << ((hashes >> _U(16)) & _U(63)))
     return out
 
 
-def folded(words: np.ndarray) -> np.ndarray:
-    """The sketch with fewer words, by XOR: still a parity sketch of the same set."""
-    size = max(FOLD, len(words) // FOLDED)
-    return np.bitwise_xor.reduce(np.pad(words, (0, -len(words) % size)).reshape(-1, size), axis=0)
+def token_bytes(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens, "<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
 
 
-def roles(hashes: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(band, need, tokens, folded sketch) for the band of the set's size, and for the
-    one below if a set there can still be similar.
-
-    A token is the hash of a sketch word with its place; similar sets share all tokens
-    but at most d of them, d being the largest difference from any partner.  So under
-    any common order their first d + k tokens have k in common.  Empty words come last
-    in the order: they are tokens only where the others don't fill d + k.  ``need`` is
-    d + k less the number of tokens; those that no other set has, once known, fill the
-    first places."""
-    size, home = len(hashes), band_of(len(hashes))
-    out = []
-    for band in (home, home - 1):
-        if band < 0:
-            continue
-        if band == home:
-            d = most_different(size, size * 100 // percent, percent)
-        else:
-            high = limit(home) - 1
-            if high * 100 < percent * size:
-                continue
-            d = most_different(size, high, percent)
-        size_, agree = sketch_words(band, percent)
-        words = sketch(hashes, size_)
-        place = np.flatnonzero(words)
-        if len(place) < d + agree:
-            place = np.concatenate([place, np.flatnonzero(words == 0)[: d + agree - len(place)]])
-        with np.errstate(over="ignore"):
-            tokens = _mix(words[place] ^ _mix(place.astype(np.uint64) * _MULTIPLIERS[0] + _U(band + 1) * _MULTIPLIERS[1])) >> _U(64 - TOKEN_BITS)
-        out.append((band, d + agree - len(place), tokens, folded(words)))
-    return out
+def tokens_of(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // TOKEN_BYTES, 8), np.uint8)
+    out[:, :TOKEN_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
+    return out.view("<u8").ravel()
 
 
 def set_id(hashes: np.ndarray) -> int:
@@ -149,10 +93,9 @@ def set_id(hashes: np.ndarray) -> int:
 
 
 def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, hash, n, set, roles``: the given hash of the text, set sizes, equal sets'
-    number, and tokens by band; the latter once for each set and task."""
-    names = ["doc_id", "hash", "n", "set", "roles"]
-    kind = pa.list_(pa.struct([("band", pa.int32()), ("need", pa.int32()), ("tokens", pa.list_(pa.int64())), ("fold", pa.list_(pa.int64()))]))
+    """``doc_id, hash, n, set, tokens``: the given hash of the text, set sizes, equal sets'
+    number, and the shingles' hashes, shortened; the latter once for each set and task."""
+    names = ["doc_id", "hash", "n", "set", "tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = _Hashes(), set()
@@ -163,65 +106,136 @@ def sketched(documents: DataFrame, width: int, percent: int) -> DataFrame:
                 number = set_id(hashes)
                 sizes.append(len(hashes))
                 sets.append(number)
-                if number in seen or not len(hashes):
-                    own.append([])
-                    continue
+                own.append(b"" if number in seen else token_bytes(hashes >> _U(64 - 8 * TOKEN_BYTES)))
                 seen.add(number)
-                found = roles(hashes, percent)
-                own.append([{"band": b, "need": need, "tokens": t.view(np.int64), "fold": f.view(np.int64)} for b, need, t, f in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()), pa.array(own, kind)], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()), pa.array(own, pa.binary())], names)
+
+    return documents.mapInArrow(work, "doc_id long, hash long, n long, set long, tokens binary")
+
 
-    return documents.mapInArrow(work, "doc_id long, hash long, n long, set long, roles array<struct<band int, need int, tokens array<long>, fold array<long>>>")
+def _agree(n: str) -> str:
+    """How many tokens the prefix of a set of size ``n`` is to share with any similar one's."""
+    return f"(1 + least(3, {n} div 20))"
 
 
-def _agree(percent: int) -> Column:
-    """How many tokens similar sets of the row's ``band`` have in common, at least."""
-    by_band = F.array(*[F.lit(sketch_words(band, percent)[1]) for band in range(BANDS)])
-    return F.element_at(by_band, F.col("band") + 1)
+def _frequent(sketches: DataFrame) -> np.ndarray:
+    """Tokens that many of a bounded number of sets have.  They come last in the order,
+    and need no counting; which ones are found has no influence on the result."""
+    some = sketches.where("length(tokens) > 0").select("tokens").limit(LOOKED_AT)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(tokens_of(data).view(np.int64))], ["token"])
+
+    by = some.mapInArrow(listed, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
+    least = max(FREQUENT, FREQUENT_SHARE * some.count())
+    return np.array(sorted(r["token"] for r in by.where(F.col("rows") > least).collect()), np.int64).view(np.uint64)
+
+
+def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
+    """``part, sets, sizes, times, tokens``: the tokens by part, each part's with the
+    sets they are from, the sets' sizes and how many tokens are from each.  Frequent
+    tokens are dealt by their sets, to as many parts of their own."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                held.append(row)
+                count += len(row[2]) // TOKEN_BYTES
+                if count >= COUNTED:
+                    yield deal(held)
+                    held, count = [], 0
+        if held:
+            yield deal(held)
+
+    def deal(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        sets, sizes = np.array([r[0] for r in held], np.int64), np.array([r[1] for r in held], np.int64)
+        tokens = tokens_of(b"".join(r[2] for r in held))
+        row = np.repeat(np.arange(len(held)), [len(r[2]) // TOKEN_BYTES for r in held])
+        part = (tokens % _U(parts)).astype(np.int64)
+        often = np.isin(tokens, frequent)
+        part[often] = parts + sets[row[often]] % parts
+        order = np.argsort(part, kind="stable")
+        tokens, row, part = tokens[order], row[order], part[order]
+        out, starts = [], np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+        for x, y in zip(starts, [*starts[1:], len(part)]):
+            from_, times = np.unique(row[x:y], return_counts=True)
+            out.append((int(part[x]), sets[from_].tobytes(), sizes[from_].astype(np.int32).tobytes(), times.astype(np.int32).tobytes(), token_bytes(tokens[x:y])))
+        columns = list(zip(*out)) or [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], ["part", "sets", "sizes", "times", "tokens"])
+
+    rows = sketches.where("length(tokens) > 0").select("set", "n", "tokens")
+    return rows.mapInArrow(work, "part int, sets binary, sizes binary, times binary, tokens binary")
+
+
+def _shared(dealt: DataFrame, parts: int) -> DataFrame:
+    """``set, n, place``: the tokens that several sets have.  A place holds a token and,
+    above it, its rows, so that it is its place in the order, rarest first."""
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        times = np.frombuffer(b"".join(group["times"]), np.int32)
+        sets = np.repeat(np.frombuffer(b"".join(group["sets"]), np.int64), times)
+        sizes = np.repeat(np.frombuffer(b"".join(group["sizes"]), np.int32), times)
+        tokens = tokens_of(b"".join(group["tokens"]))
+        if group["part"].iloc[0] >= parts:
+            rows = np.full(len(tokens), LAST)
+        else:
+            order = np.argsort(tokens, kind="stable")
+            tokens, sets, sizes = tokens[order], sets[order], sizes[order]
+            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            rows = np.diff(np.append(starts, len(tokens)))
+            # copies of one set in several tasks don't make its tokens common
+            several = np.repeat(np.minimum.reduceat(sets, starts) != np.maximum.reduceat(sets, starts), rows)
+            rows = np.repeat(np.minimum(rows, LAST), rows)[several]
+            tokens, sets, sizes = tokens[several], sets[several], sizes[several]
+        return pd.DataFrame({"set": sets, "n": sizes, "place": rows.astype(np.int64) << 8 * TOKEN_BYTES | tokens.view(np.int64)})
+
+    return dealt.groupBy("part").applyInPandas(count, "set long, n int, place long")
 
 
 def prefixes(sketches: DataFrame, percent: int) -> DataFrame:
-    """``set, band, at, token``: for each set those of its first d + k tokens that another
-    row has too.  The order is by the number of rows that have a token, rarest first, so
-    that what many texts share comes last; ``at`` counts from 0.  A set left with fewer
-    than k such tokens is similar to no other and gives no rows."""
-    own = sketches.select("set", F.explode("roles").alias("r"))
-    tokens = own.select(
-        F.explode("r.tokens").alias("token"), "set", F.expr("shiftleft(cast(r.band as bigint), 32) + r.need + 1073741824L").alias("role")
-    )
-    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    # one number holds a token and, above it, its rows; beyond 15 bits the token decides
-    place = F.shiftleft(F.least("rows", F.lit(2**15 - 1)), TOKEN_BITS).bitwiseOR(F.col("token")).alias("place")
-    spark = sketches.sparkSession
-    path = run_path(spark, "prefixes")
-    with scratch(spark):
-        found = packed(tokens.join(common, "token").select("set", "role", place), "common-tokens")
-        release(spark)
-        per = found.groupBy("set", "role").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
-        keep = F.expr("cast((role & 4294967295L) - 1073741824L as int) + size(found)")
-        per = per.withColumn("keep", keep).withColumn("band", F.expr("cast(shiftright(role, 32) as int)"))
-        first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
-        kept = per.where(F.col("keep") >= _agree(percent)).select("set", "band", first)
-        token = F.col("place").bitwiseAND(2**TOKEN_BITS - 1).alias("token")
-        kept.select("set", "band", "at", token).write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    """``set, at, token``: for each set those of its first n - o + k tokens that another
+    set has too.  The order is by the number of rows that have a token, rarest first, so
+    that what many texts share comes last; ``at`` counts from 0.
+
+    Similar sets share at least o = n * percent / 100 tokens, n being either's size, so
+    that under any common order these first tokens have the smaller k in common.  A set
+    left with fewer than k shared ones is similar to no other and gives no rows."""
+    total = sketches.agg(F.sum(F.length("tokens"))).first()[0] or 0
+    parts = total // TOKEN_BYTES // COUNTED + 1
+    found = _shared(_dealt(sketches, parts, _frequent(sketches)), parts)
+    per = found.groupBy("set", "n").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
+    per = per.withColumn("keep", F.expr(f"cast(size(found) - (n * {percent} + 99) div 100 + {_agree('n')} as int)"))
+    first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
+    kept = per.where(f"keep >= {_agree('n')}").select("set", first)
+    token = F.col("place").bitwiseAND(2 ** (8 * TOKEN_BYTES) - 1).alias("token")
+    return packed(kept.select("set", "at", token), "prefixes")
 
 
 def buckets(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Where sets meet: ``a, b, band, times`` of the pairs that are alone in buckets, and
-    ``token, band, set, size`` of the buckets with more sets."""
-    seen = prefix.groupBy("token", "band").agg(F.count(F.lit(1)).alias("size"), F.min("set").alias("a"), F.max("set").alias("b"))
+    """Where sets meet: ``a, b, times`` of the pairs that are alone in buckets, and
+    ``token, set, size`` of the buckets with more sets."""
+    seen = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("set").alias("a"), F.max("set").alias("b"))
     seen = packed(seen.where("size > 1"), "bucket-sizes")
-    pairs = packed(seen.where("size = 2").groupBy("a", "b", "band").agg(F.count(F.lit(1)).alias("times")), "bucket-pairs")
-    members = prefix.join(seen.where("size > 2").select("token", "band", "size"), ["token", "band"])
-    return pairs, packed(members.select("token", "band", "set", "size"), "buckets")
+    pairs = packed(seen.where("size = 2").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")), "bucket-pairs")
+    members = prefix.join(seen.where("size > 2").select("token", "size"), "token")
+    return pairs, packed(members.select("token", "set", "size"), "buckets")
 
 
 def _folds(sketches: DataFrame, prefix: DataFrame) -> DataFrame:
-    """``set, band, n, fold`` of the sets that have a prefix."""
-    wanted = prefix.where("at = 0").select("set", "band")
-    own = sketches.select("set", "n", F.explode("roles").alias("r")).select("set", "n", "r.band", "r.fold")
-    return packed(own.join(wanted, ["set", "band"], "left_semi").dropDuplicates(["set", "band"]), "folds")
+    """``set, n, fold`` of the sets that have a prefix."""
+    wanted = prefix.where("at = 0").select("set")
+    own = sketches.where("length(tokens) > 0").join(maybe_broadcast(wanted, wanted.count()), "set", "left_semi")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folds = [folded(tokens_of(data) << _U(64 - 8 * TOKEN_BYTES)).view(np.int64) for data in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(folds, pa.list_(pa.int64()))], ["set", "n", "fold"])
+
+    out = own.select("set", "n", "tokens").mapInArrow(fold, "set long, n long, fold array<long>")
+    return packed(out.dropDuplicates(["set"]), "folds")
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -235,21 +249,21 @@ def _close(a: str, b: str, percent: int) -> Column:
 def _small_pairs(pairs: DataFrame, members: DataFrame, folds: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets that meet in enough small buckets and can be similar.  Similar sets
     meet in k buckets; if one of these is large, they are compared there."""
-    small = members.where(f"size <= {SMALL}").select("token", "band", F.col("set").alias("a"))
-    met = small.join(small.withColumnRenamed("a", "b"), ["token", "band"]).where("a < b")
-    met = met.groupBy("a", "b", "band").agg(F.count(F.lit(1)).alias("times"))
-    met = met.unionByName(pairs).groupBy("a", "b", "band").agg(F.sum("times").alias("times"))
-    met = packed(met.where(F.col("times") >= _agree(percent)).select("a", "b", "band"), "met")
+    small = members.where(f"size <= {SMALL}").select("token", F.col("set").alias("a"))
+    met = small.join(small.withColumnRenamed("a", "b"), "token").where("a < b")
+    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+    met = met.unionByName(pairs).groupBy("a", "b").agg(F.sum("times").alias("times"))
     detail = F.struct("n", "fold")
-    met = met.join(folds.select(F.col("set").alias("a"), "band", detail.alias("x")), ["a", "band"])
-    met = met.join(folds.select(F.col("set").alias("b"), "band", detail.alias("y")), ["b", "band"])
-    return met.where(_close("x", "y", percent)).select("a", "b")
+    met = met.join(folds.select(F.col("set").alias("a"), detail.alias("x")), "a")
+    met = met.join(folds.select(F.col("set").alias("b"), detail.alias("y")), "b")
+    enough = F.expr(f"times >= {_agree('least(x.n, y.n)')}")
+    return met.where(enough & _close("x", "y", percent)).select("a", "b")
 
 
 def _large_rows(members: DataFrame, folds: DataFrame) -> DataFrame:
     """Members of large buckets with their folded sketches, once for each two blocks of
     the bucket that a block with the set is part of."""
-    rows = members.where(f"size > {SMALL}").join(folds, ["set", "band"])
+    rows = members.where(f"size > {SMALL}").join(folds, "set")
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod("set", F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -349,8 +363,8 @@ def near_components(documents: DataFrame, width: int = 4, percent: int = 85, key
     component (theirs is null if nothing else is in it).  An empty table gives no rows;
     other columns don't matter.
 
-    Sets are sketched per size band and meet in buckets of sketch words (``roles``).
-    What folded sketches don't rule out is verified on whole sets.  A small bucket gives
+    Sets meet in buckets of their rarest shingles (``prefixes``).  What parity sketches
+    don't rule out is verified on whole sets.  A small bucket gives
     all its pairs.  A large one is compared block by block and gives, first, only as many
     pairs as connect its close sets; once these are verified, the close pairs that are
     still between different components.  So a group
@@ -371,6 +385,7 @@ def _grouped(documents: DataFrame, width: int, percent: int, key: str, text: str
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), _text_hash(text).alias("hash"))
     docs = packed(sketched(rows, width, percent), "sketches")
     prefix = prefixes(docs, percent)
+    release(spark)
     folds = _folds(docs, prefix)
 
     def verified(pairs: DataFrame) -> DataFrame:

@@ -347,6 +347,30 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert {r[0] for r in kept.select("doc_id").collect()} == {c for _, _, c in brute_components(rows, 4, 85)}
 
 
+def test_texts_that_share_passages_only_do_not_meet(spark):
+    rng = random.Random(14)
+    passages = [prose(rng, 95) for _ in range(3)]
+    for copies in (20, 100):
+        rows = [(i, f"{prose(rng, 25)} {passages[i % 3]}") for i in range(copies)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.xxhash64("text"))
+        assert jaccard.prefixes(jaccard.sketched(docs, 4, 85), 85).count() == 0
+    near = [(1000, rows[0][1] + " end"), (1001, rows[1][1])]
+    docs = spark.createDataFrame(rows + near, "doc_id long, text string")
+    assert collections.Counter(tuple(r) for r in jaccard.near_components(docs).collect()) == brute_components(rows + near, 4, 85)
+
+
+@pytest.mark.parametrize(("counted", "frequent", "small"), [(300, 2, 3), (5000, 0, 16)])
+def test_components_with_frequent_tokens_and_many_parts(spark, monkeypatch, counted, frequent, small):
+    rng = random.Random(15)
+    for name, value in (("COUNTED", counted), ("FREQUENT", frequent), ("SMALL", small), ("LOOKED_AT", 30)):
+        monkeypatch.setattr(jaccard, name, value)
+    bases = [prose(rng, rng.choice((3, 8, 40, 130))).split() for _ in range(12)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else rng.choice(SYLLABLES) for w in bases[i % 12])) for i in range(90)]
+    rows += [(200 + i, f"{rows[i][1]} {rows[i + 1][1]}") for i in range(20)] + [(300, None), (301, " ")] + [(400 + i, rows[5][1]) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert collections.Counter(tuple(r) for r in jaccard.near_components(docs).collect()) == brute_components(rows, 4, 85)
+
+
 def test_wanted_sets_of_one_id_meet_their_own_texts_only(spark, monkeypatch):
     rng, met = random.Random(12), []
     rows = [(None if i % 2 else 5, prose(rng, 30)) for i in range(40)]
