@@ -21,9 +21,9 @@ FOLD = 64
 #: Bytes of a token.  Two that are equal by chance cost a comparison, nothing else.
 TOKEN_BYTES = 6
 #: Tokens that are counted by one task's group, and held at once where they are dealt, about.
-COUNTED = 2_000_000
-#: Sets looked at for tokens that very many have; more than this share of them counts so,
-#: and more than this number.
+COUNTED, HELD = 1_000_000, 400_000
+#: Sets looked at, about, for tokens that very many have; more than this share of them
+#: counts so, and more than this number.
 LOOKED_AT, FREQUENT_SHARE, FREQUENT = 2000, 0.02, 20
 #: Where the order puts frequent tokens, and the largest number of rows it tells apart.
 LAST = 2**15 - 1
@@ -121,12 +121,13 @@ def _agree(n: str) -> str:
 def _frequent(sketches: DataFrame) -> np.ndarray:
     """Tokens that many of a bounded number of sets have.  They come last in the order,
     and need no counting; which ones are found has no influence on the result."""
-    some = sketches.where("length(tokens) > 0").select("tokens").limit(LOOKED_AT)
+    step = sketches.count() // LOOKED_AT + 1
+    some = sketches.where(f"length(tokens) > 0 and pmod(set, {step}) = 0").select("tokens")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(tokens_of(data).view(np.int64))], ["token"])
+            tokens = tokens_of(b"".join(batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], ["token"])
 
     by = some.mapInArrow(listed, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
     least = max(FREQUENT, FREQUENT_SHARE * some.count())
@@ -134,8 +135,8 @@ def _frequent(sketches: DataFrame) -> np.ndarray:
 
 
 def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
-    """``part, sets, sizes, times, tokens``: the tokens by part, each part's with the
-    sets they are from, the sets' sizes and how many tokens are from each.  Frequent
+    """``part, sets, sizes, firsts, tokens``: the tokens by part, each part's with the
+    sets they are from, the sets' sizes and a bit at the first token of each.  Frequent
     tokens are dealt by their sets, to as many parts of their own."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +145,7 @@ def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 held.append(row)
                 count += len(row[2]) // TOKEN_BYTES
-                if count >= COUNTED:
+                if count >= HELD:
                     yield deal(held)
                     held, count = [], 0
         if held:
@@ -161,13 +162,14 @@ def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
         tokens, row, part = tokens[order], row[order], part[order]
         out, starts = [], np.flatnonzero(np.diff(part, prepend=-1)).tolist()
         for x, y in zip(starts, [*starts[1:], len(part)]):
-            from_, times = np.unique(row[x:y], return_counts=True)
-            out.append((int(part[x]), sets[from_].tobytes(), sizes[from_].astype(np.int32).tobytes(), times.astype(np.int32).tobytes(), token_bytes(tokens[x:y])))
+            first = np.diff(row[x:y], prepend=-1) != 0
+            from_ = row[x:y][first]
+            out.append((int(part[x]), sets[from_].tobytes(), sizes[from_].astype(np.int32).tobytes(), np.packbits(first).tobytes(), token_bytes(tokens[x:y])))
         columns = list(zip(*out)) or [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], ["part", "sets", "sizes", "times", "tokens"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], ["part", "sets", "sizes", "firsts", "tokens"])
 
     rows = sketches.where("length(tokens) > 0").select("set", "n", "tokens")
-    return rows.mapInArrow(work, "part int, sets binary, sizes binary, times binary, tokens binary")
+    return rows.mapInArrow(work, "part int, sets binary, sizes binary, firsts binary, tokens binary")
 
 
 def _shared(dealt: DataFrame, parts: int) -> DataFrame:
@@ -175,10 +177,11 @@ def _shared(dealt: DataFrame, parts: int) -> DataFrame:
     above it, its rows, so that it is its place in the order, rarest first."""
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
-        times = np.frombuffer(b"".join(group["times"]), np.int32)
-        sets = np.repeat(np.frombuffer(b"".join(group["sets"]), np.int64), times)
-        sizes = np.repeat(np.frombuffer(b"".join(group["sizes"]), np.int32), times)
         tokens = tokens_of(b"".join(group["tokens"]))
+        bits = [np.unpackbits(np.frombuffer(f, np.uint8), count=len(t) // TOKEN_BYTES) for f, t in zip(group["firsts"], group["tokens"])]
+        row = np.cumsum(np.concatenate(bits), dtype=np.int32) - 1
+        sets = np.frombuffer(b"".join(group["sets"]), np.int64)[row]
+        sizes = np.frombuffer(b"".join(group["sizes"]), np.int32)[row]
         if group["part"].iloc[0] >= parts:
             rows = np.full(len(tokens), LAST)
         else:
@@ -205,7 +208,8 @@ def prefixes(sketches: DataFrame, percent: int) -> DataFrame:
     left with fewer than k shared ones is similar to no other and gives no rows."""
     total = sketches.agg(F.sum(F.length("tokens"))).first()[0] or 0
     parts = total // TOKEN_BYTES // COUNTED + 1
-    found = _shared(_dealt(sketches, parts, _frequent(sketches)), parts)
+    found = packed(_shared(_dealt(sketches, parts, _frequent(sketches)), parts), "shared-tokens")
+    release(sketches.sparkSession)
     per = found.groupBy("set", "n").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
     per = per.withColumn("keep", F.expr(f"cast(size(found) - (n * {percent} + 99) div 100 + {_agree('n')} as int)"))
     first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")

@@ -362,7 +362,7 @@ def test_texts_that_share_passages_only_do_not_meet(spark):
 @pytest.mark.parametrize(("counted", "frequent", "small"), [(300, 2, 3), (5000, 0, 16)])
 def test_components_with_frequent_tokens_and_many_parts(spark, monkeypatch, counted, frequent, small):
     rng = random.Random(15)
-    for name, value in (("COUNTED", counted), ("FREQUENT", frequent), ("SMALL", small), ("LOOKED_AT", 30)):
+    for name, value in (("COUNTED", counted), ("HELD", counted), ("FREQUENT", frequent), ("SMALL", small), ("LOOKED_AT", 30)):
         monkeypatch.setattr(jaccard, name, value)
     bases = [prose(rng, rng.choice((3, 8, 40, 130))).split() for _ in range(12)]
     rows = [(i, " ".join(w if rng.random() > 0.02 else rng.choice(SYLLABLES) for w in bases[i % 12])) for i in range(90)]
