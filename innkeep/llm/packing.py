@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-import re
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
+from struct import pack as pack_ids
 from unicodedata import is_normalized
 from zlib import crc32
 
@@ -26,10 +26,58 @@ REMEMBERED = 200_000
 RANKED = 100_000
 
 
-#: What the tokenizer divides a text into, once in lower case.  Fixed patterns, for ASCII
-#: texts and for others that ``_simple`` accepts.
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\t-\r ]+")
-_OTHER = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: Characters whose words are divided at once, about.
+DIVIDED = 2_000_000
+
+#: Kinds of characters by code point, filled in as they occur.  The tokenizer divides a
+#: text in lower case into runs of letters, single digits and runs of others, of which an
+#: apostrophe with some letters is one of its own: 's, 't, 're, 've, 'm, 'll, 'd.
+_KINDS = np.full(0x110000, 255, np.uint8)
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_AFTER_APOSTROPHE = [ord(c) for c in "stmd"], [ord(c) << 32 | ord(d) for c, d in ("re", "ve", "ll")]
+
+#: Its letters for the bytes of a word, in the order of the bytes.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: b if b in _PRINTABLE else 256 + b - sum(p < b for p in _PRINTABLE) for b in range(256)}
+
+
+def _kind(character: str) -> int:
+    if character.isalnum():
+        return _DIGIT if character.isdecimal() else _LETTER
+    return _SPACE if character.isspace() and not "\x1c" <= character <= "\x1f" else _OTHER
+
+
+def _kinds(points: np.ndarray) -> np.ndarray:
+    out = _KINDS[points]
+    new = out == 255
+    if new.any():
+        for point in np.unique(points[new]).tolist():
+            _KINDS[point] = _kind(chr(point))
+        out = _KINDS[points]
+    return out
+
+
+def _divided(texts: list[str], encoding: str) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of the texts in a row, and the number of words before each text and in
+    all.  The texts are in lower case, and each character has as many bytes."""
+    points = np.frombuffer("\n".join(["", *texts, "", ""]).encode(encoding), "<u4" if encoding == "utf-32-le" else np.uint8)
+    kinds = _kinds(points)
+    inside = kinds != _SPACE
+    first = inside.copy()
+    first[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+    at = np.flatnonzero(points == ord("'"))
+    at = at[kinds[at - 1] != _OTHER]
+    next_ = points[at + 1].astype(np.int64)
+    one, two = np.isin(next_, _AFTER_APOSTROPHE[0]), np.isin(next_ << 32 | points[at + 2], _AFTER_APOSTROPHE[1])
+    at, end = at[one | two] + 1, (at + 2 + two)[one | two]
+    first[at] = False
+    first[end] = inside[end]
+    starts = np.cumsum([1] + [len(text) + 1 for text in texts])
+    before = np.searchsorted(np.flatnonzero(first), starts)
+    points = points[inside]
+    bounds = np.append(np.flatnonzero(first[inside]), len(points)) * points.itemsize
+    words = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(points)])
+    return words.dictionary_encode(), before
 
 
 @cache
@@ -46,63 +94,79 @@ class Words:
     """The ids of texts as little-endian bytes, by way of their words.
 
     The tokenizer lower-cases, drops white space and never joins what it divides, so a
-    text's ids are those of its words.  Each batch's distinct words are looked up once
-    and the unknown ones are encoded together.  Texts on which Python and the tokenizer
-    might divide differently are encoded whole."""
+    text's ids are those of its words.  Many texts are divided at once, in arrays; each
+    distinct word is looked up once, and the tokenizer's model encodes unknown ones.
+    Texts on which Python and the tokenizer might divide differently are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self._split(text) for text in texts]
-        known = self._known(set().union(*(words for words in split if words is not None)))
-        return [self._encode(text) if words is None else b"".join(map(known.__getitem__, words)) for text, words in zip(texts, split)]
+        out, held, sizes = [b""] * len(texts), {"ascii": [], "utf-32-le": []}, {"ascii": 0, "utf-32-le": 0}
+        for i, text in enumerate(texts):
+            encoding = self._encoding(text)
+            if encoding is None:
+                out[i] = self._encode(text)
+                continue
+            held[encoding].append(i)
+            sizes[encoding] += len(text)
+            if sizes[encoding] >= DIVIDED:
+                self._put(out, texts, held[encoding], encoding)
+                held[encoding], sizes[encoding] = [], 0
+        for encoding, those in held.items():
+            self._put(out, texts, those, encoding)
+        return out
 
     @staticmethod
-    def _split(text: str) -> list[str] | None:
+    def _encoding(text: str) -> str | None:
+        """One with as many bytes for each character, if the text can be divided here."""
         if "<|" in text:  # may be a special token
             return None
         if text.isascii():
-            return _ASCII.findall(text.lower())
-        if all(map(_simple, set(text))) and is_normalized("NFC", text):
-            return _OTHER.findall(text.lower())
-        return None
+            return "ascii"
+        return "utf-32-le" if all(map(_simple, set(text))) and is_normalized("NFC", text) else None
 
-    def _known(self, words: set[str]) -> dict[str, bytes]:
-        known, fresh = {}, []
+    def _put(self, out: list[bytes], texts: list[str], those: list[int], encoding: str) -> None:
+        """Sets ``out`` to the ids of those texts."""
+        if not those:
+            return
+        words, before = _divided([texts[i].lower() for i in those], encoding)
+        known = self._known([word.decode(encoding) for word in words.dictionary.to_pylist()])
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts, word = np.cumsum(sizes) - sizes, words.indices.to_numpy()
+        ends = np.cumsum(sizes[word])
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[word] - ends + sizes[word], sizes[word])
+        ids = np.frombuffer(b"".join(known), "<u4")[at].tobytes()
+        cuts = (4 * np.append(0, ends)[before]).tolist()
+        for i, x, y in zip(those, cuts, cuts[1:]):
+            out[i] = ids[x:y]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        out = []
         for word in words:
             ids = self.recent.get(word)
             if ids is None:
                 ids = self.older.get(word)
                 if ids is None:
-                    fresh.append(word)
-                    continue
+                    ids = self._encode_word(word)
                 self.recent[word] = ids
-            known[word] = ids
-        letters = [word for word in fresh if word.isalpha()]
-        learned = dict(zip(letters, self._encode_joined(letters)))
-        learned.update((word, self._encode(word)) for word in fresh if not word.isalpha())
-        self.recent.update(learned)
+            out.append(ids)
         if len(self.recent) > REMEMBERED:
             self.older, self.recent = self.recent, {}
-        return known | learned
+        return out
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _encode_joined(self, words: list[str]) -> list[bytes]:
-        if not words:
-            return []
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
-        first = np.array(found.offsets, np.int64)[:, 0]
-        ends = np.searchsorted(first, starts[1:]).tolist()
-        ids, cuts = np.array(found.ids, "<u4").tobytes(), [0, *(4 * e for e in ends), 4 * len(first)]
-        return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
+    def _encode_word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        found = self.model.tokenize(letters)
+        return pack_ids(f"<{len(found)}I", *[token.id for token in found])
 
 
 @cache

@@ -182,6 +182,22 @@ def test_words_as_the_tokenizer():
     assert words.ids(sample) == want
 
 
+def test_words_are_divided_many_texts_at_once(monkeypatch):
+    rng = random.Random(2)
+    parts = ["'s", "'T", "'re", "'l", "'ll", "'v", "'ve", "'d", "'m", "'", "''", ".'", "it", "Don", "r", "e", "7", "42", "_", "-", " ", "\n", "\x1c", "\x00", "~"]
+    sample = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(400)]
+    sample += [t + rng.choice("éЖ中ñ٣…—") + t for t in sample if "\x1c" not in t]
+    words = packing.Words(tokenizer_path())
+    want = [np.array(words.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in sample]
+    whole, divide, divided = [], packing._divided, []
+    monkeypatch.setattr(words, "_encode", whole.append)
+    monkeypatch.setattr(packing, "_divided", lambda texts, encoding: divided.append(len(texts)) or divide(texts, encoding))
+    monkeypatch.setattr(packing, "DIVIDED", 1000)
+    assert words.ids(sample) == want
+    assert not whole and sum(divided) == len(sample) and 3 < len(divided) < 30
+    assert words.ids([]) == [] and words.ids(["", " "]) == [b"", b""]
+
+
 def test_toxicity(spark, documents, empty):
     rng = random.Random(3)
     rows, labels = [], []
