@@ -22,6 +22,8 @@ FOLD = 64
 TOKEN_BYTES = 6
 #: Tokens that are counted by one task's group, and held at once where they are dealt, about.
 COUNTED, HELD = 1_000_000, 400_000
+#: Tokens that a part tells apart, at most 2**32; the others are equal by chance.
+TOLD_APART = 2**32
 #: Sets looked at, about, for tokens that very many have; more than this share of them
 #: counts so, and more than this number.
 LOOKED_AT, FREQUENT_SHARE, FREQUENT = 2000, 0.02, 20
@@ -134,68 +136,89 @@ def _frequent(sketches: DataFrame) -> np.ndarray:
     return np.array(sorted(r["token"] for r in by.where(F.col("rows") > least).collect()), np.int64).view(np.uint64)
 
 
+def _lost(tokens: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The row of each token that is equal to another one in its row."""
+    with np.errstate(over="ignore"):
+        mixed = np.sort(tokens * _MULTIPLIERS[0] + row.astype(np.uint64) * _MULTIPLIERS[1])
+    if not (mixed[1:] == mixed[:-1]).any():
+        return row[:0]
+    order = np.lexsort((tokens, row))
+    tokens, row = tokens[order], row[order]
+    return row[1:][(tokens[1:] == tokens[:-1]) & (row[1:] == row[:-1])]
+
+
 def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
-    """``part, sets, sizes, firsts, tokens``: the tokens by part, each part's with the
-    sets they are from, the sets' sizes and a bit at the first token of each.  Frequent
-    tokens are dealt by their sets, to as many parts of their own."""
+    """``part, sets, firsts, tokens``: the tokens by part, four bytes for each, with the
+    sets they are from and a bit at the first token of each set.  What remains of a token
+    in its part is its quotient.  Frequent tokens, as places in their list, are dealt by
+    their sets to as many parts of their own.  One more part has a row for each token of
+    a set that became equal to another one of the set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 held.append(row)
-                count += len(row[2]) // TOKEN_BYTES
+                count += len(row[1]) // TOKEN_BYTES
                 if count >= HELD:
                     yield deal(held)
                     held, count = [], 0
         if held:
             yield deal(held)
 
-    def deal(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        sets, sizes = np.array([r[0] for r in held], np.int64), np.array([r[1] for r in held], np.int64)
-        tokens = tokens_of(b"".join(r[2] for r in held))
-        row = np.repeat(np.arange(len(held)), [len(r[2]) // TOKEN_BYTES for r in held])
-        part = (tokens % _U(parts)).astype(np.int64)
-        often = np.isin(tokens, frequent)
-        part[often] = parts + sets[row[often]] % parts
+    def deal(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        sets = np.array([r[0] for r in held], np.int64)
+        tokens = tokens_of(b"".join(r[1] for r in held)) % _U(parts * TOLD_APART)
+        row = np.repeat(np.arange(len(held)), [len(r[1]) // TOKEN_BYTES for r in held])
+        lost = _lost(tokens, row)
+        value, part = np.divmod(tokens, _U(parts))
+        part = part.astype(np.int64)
+        if len(frequent):
+            at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+            often = frequent[at] == tokens
+            value[often] = at[often]
+            part[often] = parts + sets[row[often]] % parts
         order = np.argsort(part, kind="stable")
-        tokens, row, part = tokens[order], row[order], part[order]
+        value, row, part = value[order].astype("<u4"), row[order], part[order]
         out, starts = [], np.flatnonzero(np.diff(part, prepend=-1)).tolist()
         for x, y in zip(starts, [*starts[1:], len(part)]):
             first = np.diff(row[x:y], prepend=-1) != 0
-            from_ = row[x:y][first]
-            out.append((int(part[x]), sets[from_].tobytes(), sizes[from_].astype(np.int32).tobytes(), np.packbits(first).tobytes(), token_bytes(tokens[x:y])))
-        columns = list(zip(*out)) or [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], ["part", "sets", "sizes", "firsts", "tokens"])
+            out.append((int(part[x]), sets[row[x:y][first]].tobytes(), np.packbits(first).tobytes(), value[x:y].tobytes()))
+        if len(lost):
+            out.append((2 * parts, sets[lost].tobytes(), np.packbits(lost >= 0).tobytes(), bytes(4 * len(lost))))
+        columns = list(zip(*out)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], ["part", "sets", "firsts", "tokens"])
 
-    rows = sketches.where("length(tokens) > 0").select("set", "n", "tokens")
-    return rows.mapInArrow(work, "part int, sets binary, sizes binary, firsts binary, tokens binary")
+    rows = sketches.where("length(tokens) > 0").select("set", "tokens")
+    return rows.mapInArrow(work, "part int, sets binary, firsts binary, tokens binary")
 
 
-def _shared(dealt: DataFrame, parts: int) -> DataFrame:
-    """``set, n, place``: the tokens that several sets have.  A place holds a token and,
-    above it, its rows, so that it is its place in the order, rarest first."""
+def _shared(dealt: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
+    """``set, place``: the tokens that several sets have.  A place holds a token and,
+    above it, its rows, so that it is its place in the order, rarest first.  For each
+    token that became equal to another one of its set there is a place of -1."""
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
-        tokens = tokens_of(b"".join(group["tokens"]))
-        bits = [np.unpackbits(np.frombuffer(f, np.uint8), count=len(t) // TOKEN_BYTES) for f, t in zip(group["firsts"], group["tokens"])]
+        part = int(group["part"].iloc[0])
+        tokens = np.frombuffer(b"".join(group["tokens"]), "<u4")
+        bits = [np.unpackbits(np.frombuffer(f, np.uint8), count=len(t) // 4) for f, t in zip(group["firsts"], group["tokens"])]
         row = np.cumsum(np.concatenate(bits), dtype=np.int32) - 1
         sets = np.frombuffer(b"".join(group["sets"]), np.int64)[row]
-        sizes = np.frombuffer(b"".join(group["sizes"]), np.int32)[row]
-        if group["part"].iloc[0] >= parts:
-            rows = np.full(len(tokens), LAST)
-        else:
-            order = np.argsort(tokens, kind="stable")
-            tokens, sets, sizes = tokens[order], sets[order], sizes[order]
-            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-            rows = np.diff(np.append(starts, len(tokens)))
-            # copies of one set in several tasks don't make its tokens common
-            several = np.repeat(np.minimum.reduceat(sets, starts) != np.maximum.reduceat(sets, starts), rows)
-            rows = np.repeat(np.minimum(rows, LAST), rows)[several]
-            tokens, sets, sizes = tokens[several], sets[several], sizes[several]
-        return pd.DataFrame({"set": sets, "n": sizes, "place": rows.astype(np.int64) << 8 * TOKEN_BYTES | tokens.view(np.int64)})
-
-    return dealt.groupBy("part").applyInPandas(count, "set long, n int, place long")
+        if part == 2 * parts:
+            return pd.DataFrame({"set": sets, "place": np.full(len(sets), -1)})
+        if part >= parts:
+            return pd.DataFrame({"set": sets, "place": LAST << 8 * TOKEN_BYTES | frequent[tokens].view(np.int64)})
+        order = np.argsort(tokens, kind="stable")
+        tokens, sets = tokens[order], sets[order]
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        rows = np.diff(np.append(starts, len(tokens)))
+        # copies of one set in several tasks don't make its tokens common
+        several = np.repeat(np.minimum.reduceat(sets, starts) != np.maximum.reduceat(sets, starts), rows)
+        rows = np.repeat(np.minimum(rows, LAST), rows)[several]
+        tokens = tokens[several].astype(np.int64) * parts + part
+        return pd.DataFrame({"set": sets[several], "place": rows.astype(np.int64) << 8 * TOKEN_BYTES | tokens})
+
+    return dealt.groupBy("part").applyInPandas(count, "set long, place long")
 
 
 def prefixes(sketches: DataFrame, percent: int) -> DataFrame:
@@ -205,13 +228,18 @@ def prefixes(sketches: DataFrame, percent: int) -> DataFrame:
 
     Similar sets share at least o = n * percent / 100 tokens, n being either's size, so
     that under any common order these first tokens have the smaller k in common.  A set
-    left with fewer than k shared ones is similar to no other and gives no rows."""
+    left with fewer than k shared ones is similar to no other and gives no rows.  Of a
+    set's tokens that are equal by chance one is left, and o is less by the others."""
     total = sketches.agg(F.sum(F.length("tokens"))).first()[0] or 0
     parts = total // TOKEN_BYTES // COUNTED + 1
-    found = packed(_shared(_dealt(sketches, parts, _frequent(sketches)), parts), "shared-tokens")
+    frequent = np.unique(_frequent(sketches) % _U(parts * TOLD_APART))
+    found = packed(_shared(_dealt(sketches, parts, frequent), parts, frequent), "shared-tokens")
     release(sketches.sparkSession)
-    per = found.groupBy("set", "n").agg(F.array_distinct(F.sort_array(F.collect_list("place"))).alias("found"))
-    per = per.withColumn("keep", F.expr(f"cast(size(found) - (n * {percent} + 99) div 100 + {_agree('n')} as int)"))
+    sizes = sketches.where("length(tokens) > 0").select("set", F.lit(None).cast("long").alias("place"), "n")
+    rows = found.withColumn("n", F.lit(None).cast("long")).unionByName(sizes)
+    places = F.collect_list(F.when(F.col("place") >= 0, F.col("place")))
+    per = rows.groupBy("set").agg(F.max("n").alias("n"), F.count_if(F.col("place") < 0).alias("lost"), F.array_distinct(F.sort_array(places)).alias("found"))
+    per = per.withColumn("keep", F.expr(f"cast(size(found) - (n * {percent} + 99) div 100 + lost + {_agree('n')} as int)"))
     first = F.posexplode(F.expr("slice(found, 1, keep)")).alias("at", "place")
     kept = per.where(f"keep >= {_agree('n')}").select("set", first)
     token = F.col("place").bitwiseAND(2 ** (8 * TOKEN_BYTES) - 1).alias("token")

@@ -387,6 +387,26 @@ def test_components_with_frequent_tokens_and_many_parts(spark, monkeypatch, coun
     assert collections.Counter(tuple(r) for r in jaccard.near_components(docs).collect()) == brute_components(rows, 4, 85)
 
 
+def test_components_with_tokens_that_are_equal_by_chance(spark, monkeypatch):
+    rng = random.Random(16)
+    monkeypatch.setattr(jaccard, "COUNTED", 2000)
+    monkeypatch.setattr(jaccard, "TOLD_APART", 40)
+    bases = [prose(rng, rng.choice((8, 40, 130))).split() for _ in range(12)]
+    rows = [(i, " ".join(w if rng.random() > 0.01 else rng.choice(SYLLABLES) for w in bases[i % 12])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert collections.Counter(tuple(r) for r in jaccard.near_components(docs).collect()) == brute_components(rows, 4, 85)
+
+
+def test_tokens_are_dealt_in_few_bytes(spark):
+    rng = random.Random(17)
+    rows = [(i, prose(rng, 200)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.xxhash64("text")).coalesce(1)
+    sketches = jaccard.sketched(docs, 4, 85)
+    tokens = sketches.agg(F.sum(F.length("tokens"))).first()[0] // jaccard.TOKEN_BYTES
+    dealt = jaccard._dealt(sketches, 10, np.empty(0, np.uint64))
+    assert sum(len(v) for r in dealt.drop("part").collect() for v in r) < 6 * tokens
+
+
 def test_wanted_sets_of_one_id_meet_their_own_texts_only(spark, monkeypatch):
     rng, met = random.Random(12), []
     rows = [(None if i % 2 else 5, prose(rng, 30)) for i in range(40)]
