@@ -22,6 +22,9 @@ FOLD = 64
 TOKEN_BYTES = 6
 #: Tokens that are counted by one task's group, and held at once where they are dealt, about.
 COUNTED, HELD = 1_000_000, 400_000
+#: Parts that are dealt in one round, and rounds at most.  With many parts nearly every
+#: token is sent with a set of its own; rounds keep a share of that on disk at a time.
+ROUND_PARTS, ROUNDS = 500, 4
 #: Tokens that a part tells apart, at most 2**32; the others are equal by chance.
 TOLD_APART = 2**32
 #: Sets looked at, about, for tokens that very many have; more than this share of them
@@ -147,12 +150,12 @@ def _lost(tokens: np.ndarray, row: np.ndarray) -> np.ndarray:
     return row[1:][(tokens[1:] == tokens[:-1]) & (row[1:] == row[:-1])]
 
 
-def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
-    """``part, sets, firsts, tokens``: the tokens by part, four bytes for each, with the
-    sets they are from and a bit at the first token of each set.  What remains of a token
-    in its part is its quotient.  Frequent tokens, as places in their list, are dealt by
-    their sets to as many parts of their own.  One more part has a row for each token of
-    a set that became equal to another one of the set."""
+def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray, turn: int = 0, rounds: int = 1) -> DataFrame:
+    """``part, sets, firsts, tokens`` of the parts whose turn it is: the tokens by part,
+    four bytes for each, with the sets they are from and a bit at the first token of each
+    set.  What remains of a token in its part is its quotient.  Frequent tokens, as places
+    in their list, are dealt by their sets to as many parts of their own.  One more part
+    has a row for each token of a set that became equal to another one of the set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -178,13 +181,16 @@ def _dealt(sketches: DataFrame, parts: int, frequent: np.ndarray) -> DataFrame:
             often = frequent[at] == tokens
             value[often] = at[often]
             part[often] = parts + sets[row[often]] % parts
+        if rounds > 1:
+            now = part % rounds == turn
+            value, row, part = value[now], row[now], part[now]
         order = np.argsort(part, kind="stable")
         value, row, part = value[order].astype("<u4"), row[order], part[order]
         out, starts = [], np.flatnonzero(np.diff(part, prepend=-1)).tolist()
         for x, y in zip(starts, [*starts[1:], len(part)]):
             first = np.diff(row[x:y], prepend=-1) != 0
             out.append((int(part[x]), sets[row[x:y][first]].tobytes(), np.packbits(first).tobytes(), value[x:y].tobytes()))
-        if len(lost):
+        if len(lost) and 2 * parts % rounds == turn:
             out.append((2 * parts, sets[lost].tobytes(), np.packbits(lost >= 0).tobytes(), bytes(4 * len(lost))))
         columns = list(zip(*out)) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], ["part", "sets", "firsts", "tokens"])
@@ -233,8 +239,11 @@ def prefixes(sketches: DataFrame, percent: int) -> DataFrame:
     total = sketches.agg(F.sum(F.length("tokens"))).first()[0] or 0
     parts = total // TOKEN_BYTES // COUNTED + 1
     frequent = np.unique(_frequent(sketches) % _U(parts * TOLD_APART))
-    found = packed(_shared(_dealt(sketches, parts, frequent), parts, frequent), "shared-tokens")
-    release(sketches.sparkSession)
+    rounds, found = min(ROUNDS, parts // ROUND_PARTS + 1), None
+    for turn in range(rounds):
+        some = packed(_shared(_dealt(sketches, parts, frequent, turn, rounds), parts, frequent), "shared-tokens")
+        release(sketches.sparkSession)
+        found = some if found is None else found.unionByName(some)
     sizes = sketches.where("length(tokens) > 0").select("set", F.lit(None).cast("long").alias("place"), "n")
     rows = found.withColumn("n", F.lit(None).cast("long")).unionByName(sizes)
     places = F.collect_list(F.when(F.col("place") >= 0, F.col("place")))

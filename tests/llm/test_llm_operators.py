@@ -397,6 +397,21 @@ def test_components_with_tokens_that_are_equal_by_chance(spark, monkeypatch):
     assert collections.Counter(tuple(r) for r in jaccard.near_components(docs).collect()) == brute_components(rows, 4, 85)
 
 
+def test_tokens_are_dealt_in_rounds(spark, monkeypatch):
+    rng, turns, dealt = random.Random(18), [], jaccard._dealt
+    for name, value in (("COUNTED", 500), ("ROUND_PARTS", 3), ("ROUNDS", 3), ("TOLD_APART", 200), ("FREQUENT", 5)):
+        monkeypatch.setattr(jaccard, name, value)
+    monkeypatch.setattr(jaccard, "_dealt", lambda *args: turns.append(args[3:]) or dealt(*args))
+    bases = [prose(rng, rng.choice((8, 40, 130))).split() for _ in range(12)]
+    rows = [(i, " ".join(w if rng.random() > 0.01 else rng.choice(SYLLABLES) for w in bases[i % 12])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert collections.Counter(tuple(r) for r in jaccard.near_components(docs).collect()) == brute_components(rows, 4, 85)
+    sketches = jaccard.sketched(docs.withColumn("hash", F.xxhash64("text")), 4, 85)
+    once = dealt(sketches, 7, np.empty(0, np.uint64)).collect()
+    assert turns == [(0, 3), (1, 3), (2, 3)]
+    assert collections.Counter(once) == sum((collections.Counter(dealt(sketches, 7, np.empty(0, np.uint64), t, 3).collect()) for t in range(3)), collections.Counter())
+
+
 def test_tokens_are_dealt_in_few_bytes(spark):
     rng = random.Random(17)
     rows = [(i, prose(rng, 200)) for i in range(60)]
