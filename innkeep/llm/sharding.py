@@ -44,11 +44,10 @@ def assign_shards(documents: DataFrame, limit_bytes: int, key: str = "doc_id", t
     done, waiting = [], items
     while True:
         cells = waiting.groupBy(F.shiftright("hash", BITS - deep).alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-        cells = stored(cells, "shard-cells")
-        leaves, large = _leaves(cells, base, deep, limit_bytes)
-        leaves = stored(leaves, "shard-leaves")
+        leaves, large = _leaves(stored(cells, "shard-cells"), base, deep, limit_bytes)
         cell = F.shiftright("hash", BITS - deep).alias("cell")
-        done.append(waiting.select("*", cell).join(leaves, "cell").drop("cell"))
+        # merged: the cells of all shards are many rows that compress to a small file, which Spark would broadcast
+        done.append(waiting.select("*", cell).join(leaves.hint("merge"), "cell").drop("cell"))
         if deep == BITS or large.isEmpty():
             break
         waiting = waiting.select("*", cell).join(large, "cell", "left_semi").drop("cell")
@@ -62,7 +61,11 @@ def assign_shards(documents: DataFrame, limit_bytes: int, key: str = "doc_id", t
 
 
 def _leaves(cells: DataFrame, base: int, deep: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(cell -> depth and bytes of its shard, cells that are still too large)."""
+    """(cell -> depth and bytes of its shard, cells that are still too large).
+
+    What a prefix adds up to only falls as it grows, so a shard is a prefix that fits while
+    the one a bit shorter doesn't.  Prefixes that don't fit are few, about as many as the
+    shards; they alone are joined, as a stored table whose size Spark knows."""
     first = base + 1 if base else 0
     levels = cells.withColumn("depth", F.explode(F.sequence(F.lit(first), F.lit(deep))))
     levels = levels.withColumn("prefix", F.expr(f"shiftright(cell, {deep} - depth)"))
@@ -70,10 +73,16 @@ def _leaves(cells: DataFrame, base: int, deep: int, limit: int) -> tuple[DataFra
     fits = (F.col("shard_bytes") <= limit) | (F.col("rows") <= 1)
     if deep == BITS:
         fits = fits | (F.col("depth") == deep)
-    found = levels.select("cell", "depth", "prefix").join(sums.where(fits), ["depth", "prefix"])
-    leaves = found.groupBy("cell").agg(F.min(F.struct("depth", "shard_bytes")).alias("leaf")).select("cell", "leaf.*")
-    large = cells.where((F.col("bytes") > limit) & (F.col("rows") > 1)).select("cell")
-    return leaves, large
+    sums = stored(sums.select("depth", "prefix", "shard_bytes", fits.alias("fits")), "shard-sums")
+    too_large = stored(sums.where("not fits").select("depth", "prefix"), "shard-large")
+    parents = too_large.select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+    nodes = sums.where("fits").withColumn("parent", F.shiftright("prefix", 1))
+    found = nodes.where(F.col("depth") > first).join(parents, ["depth", "parent"], "left_semi")
+    found = found.unionByName(nodes.where(F.col("depth") == first)).select("depth", "prefix", "shard_bytes")
+    beyond = F.expr(f"sequence(0L, shiftleft(1L, {deep} - depth) - 1)")
+    cell = F.expr(f"shiftleft(prefix, {deep} - depth)") + F.col("beyond")
+    leaves = stored(found, "shard-leaves").withColumn("beyond", F.explode(beyond)).select(cell.alias("cell"), "depth", "shard_bytes")
+    return leaves, too_large.where(F.col("depth") == deep).select(F.col("prefix").alias("cell"))
 
 
 def directory(assigned: DataFrame) -> DataFrame:

@@ -321,6 +321,18 @@ def test_shards(documents, empty, limit):
     assert {r["shard"]: r["n_bytes"] for r in sharding.directory(got).collect()} == dict(by)
 
 
+def test_shards_of_many_cells_are_not_broadcast(spark):
+    """Cells are many and pack tightly: only prefixes that are too large may be broadcast."""
+    cells = spark.range(4096).select(F.col("id").alias("cell"), F.lit(10).cast("long").alias("bytes"), F.lit(2).cast("long").alias("rows"))
+    leaves, large = sharding._leaves(cells.where("cell < 4000"), 0, 12, 45)
+    assert leaves.where("cell < 4000").count() == 4000 and large.count() == 0
+    assert {tuple(r) for r in leaves.select("depth", "shard_bytes").distinct().collect()} == {(10, 40)}
+    assert "Join" not in leaves._jdf.queryExecution().executedPlan().toString()
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"))
+    plan = sharding.assign_shards(docs, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def brute_components(rows, width, percent):
     sets = []
     for _, t in rows:
