@@ -262,3 +262,30 @@ def test_spine_text_is_the_same_with_and_without_a_list_of_days(spark, rows):
     listed = dimensions.spine_text(df, D(1995, 1, 1), D(1996, 12, 31))
     texts = ["01/01/1995", "02/29/1996", "12/31/1996", "12/31/1994", "01/01/1997", "03/04/0812", None]
     assert rows(listed) == rows(dimensions.spine_text(df)) == sorted((str(i), "m", t) for i, t in enumerate(texts))
+
+
+def test_free_days_cost_what_differs_between_days_only(spark):
+    """Texts of a unit's attributes are made before its days; days come out of compiled code."""
+    text = F.concat_ws("|", F.coalesce("name", F.lit("~")), F.col("unit_id").cast("string"))
+    got = unit_days.unit_day_base(inputs(spark, sales(spark)), D(2025, 1, 1), D(2025, 3, 3), per_unit={"both": text})
+    assert got.count() == 3 * 62 + 1 and got.where(~F.col("both").eqNullSafe(text)).isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    free = plan[plan.rindex("Generate explode") :]
+    assert "lambda" not in plan and "concat_ws" in free
+
+
+def test_row_text_is_that_of_all_values(spark):
+    from innkeep.domain import queries_marts as M
+
+    columns = sorted(["unit_id", "name", "date", "email", "enddate", "price", "price_total", "season", "season_name", "reservation"])
+    day = D(1989, 12, 31)
+    data = [
+        (1, "a", day, None, None, None, None, None, None, None),
+        (2, None, D(2004, 12, 31), "x", day, 1.005, 2.0, "s", "t", 7),
+        (None, "b", None, None, D(2005, 1, 1), None, 3.0, None, "t", None),
+    ]
+    shape = "unit_id long, name string, date date, email string, enddate date, price double, price_total double, season string, season_name string, reservation long"
+    df = spark.createDataFrame(data, shape)
+    plain = [F.coalesce((F.col(c).cast("decimal(18,2)") if c.startswith("price") else F.col(c)).cast("string"), F.lit("~")) for c in columns]
+    for rows in (df, df.withColumns(M._unit_texts(columns))):
+        assert rows.where(M._row_text(rows, columns) != F.concat_ws("|", *plain)).isEmpty()
