@@ -217,6 +217,20 @@ def test_upkeep_equals_a_full_build(spark):
     assert stored_days.refresh_unit_days(base_source(less), base_source(less), finish, path, START, END, 4) == 0
 
 
+def test_stored_marts_are_finished_part_by_part(spark):
+    """Free days, nearly all rows, are finished where Spark knows that they have no sale."""
+    data, seen = day_inputs(spark), []
+
+    def finish(rows):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString().splitlines()[0])
+        return unit_days.finish_base(rows, data.seasons)
+
+    path = scratch_path(spark, "unit-days")
+    stored_days.build_unit_days(base_source(data), finish, path, START, END, 4)
+    assert len(seen) == 2 and sum("null AS reservation" in plan for plan in seen) == 1
+    assert not {"_unit", "_manager", "_month"} & set(spark.read.parquet(path).columns)
+
+
 def test_by_date_upkeep(spark):
     def source(price, unit, mirror):
         rows = [(i, unit if i == 4 else i % 3, 5, START + dt.timedelta(days=40 * (i % 5)), None if i == 8 else START) for i in range(10)]
